@@ -30,7 +30,9 @@ def shrink_partitions(df: DataFrame, factor: int = 4, how: str = "coalesce") ->
     return df.coalesce(max(1, df.rdd.getNumPartitions() // factor))
 
 
-def arrange(df: DataFrame, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = ()) -> DataFrame:
+def arrange(
+    df: DataFrame, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = (), bucketed: bool = False
+) -> DataFrame:
     """Rows placed for a partitioned and clustered write.
 
     Partitioned: one rebalancing shuffle, so each partition value meets in few
@@ -38,9 +40,12 @@ def arrange(df: DataFrame, partition_by: tuple[str, ...] = (), cluster_by: tuple
     Clustered only: ranges of the cluster columns, so file statistics can skip.
     The number of the source partition breaks ties, so a hot value, or a group of
     identical rows, is spread over several ranges; it repeats on a retried task.
+    Bucketed: rebalanced by the bucket columns, so a bucket comes from few tasks.
     """
     if partition_by:
         return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+    if bucketed:
+        return df.hint("rebalance", *cluster_by)
     if cluster_by:
         return (
             df.withColumn(TIE, F.spark_partition_id())

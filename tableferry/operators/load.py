@@ -12,6 +12,7 @@ from tableferry.functions.mapping import reject_intervals, schema_differences
 from tableferry.functions.nested import nested_to_json, quoted
 from tableferry.operators.layout import arrange, shrink_partitions
 from tableferry.sources.catalog import (
+    STREAM_PROPERTY,
     Definition,
     create_table,
     drop_table,
@@ -80,8 +81,12 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", definition:
     exists = table_exists(spark, target)
     if exists and (mode == "append" or definition is None):
         definition = table_definition(spark, target).fitting(df.columns)
+        if mode == "overwrite":
+            definition.properties.pop(STREAM_PROPERTY, None)
     definition = definition or Definition()
     if exists and mode == "append":
+        if STREAM_PROPERTY in definition.properties:
+            raise ValueError(f"{target} is written by a stream, which would hide rows added here")
         return _insert(df, target, definition)
     incoming = f"{target}__incoming"
     create_table(spark, incoming, df.schema, definition, replace=True)
@@ -101,7 +106,12 @@ def _insert(df: DataFrame, target: str, definition: Definition) -> int:
     differing = [d for d in schema_differences(df.schema, table.schema) if d[3].startswith("only in")]
     if differing:
         raise ValueError(f"columns of the frame and of {target} differ: {differing}")
-    placed = arrange(df.select(*[quoted(c) for c in table.columns]), definition.partition_by, definition.cluster_by)
+    placed = arrange(
+        df.select(*[quoted(c) for c in table.columns]),
+        definition.partition_by,
+        definition.cluster_by,
+        definition.buckets > 0,
+    )
     counted, seen = _counting(placed)
     counted.write.insertInto(quote_name(target))
     return seen.get["rows"]

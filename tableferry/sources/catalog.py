@@ -13,6 +13,8 @@ from tableferry.sources.files import decode_uri
 
 CLUSTER_PROPERTY = "tableferry.cluster_by"
 BUCKET_PROPERTY = "tableferry.buckets"
+# Set on tables that only a stream may append to.
+STREAM_PROPERTY = "tableferry.stream"
 
 
 @dataclass(frozen=True)
