@@ -18,7 +18,7 @@ from tableferry.operators.verify import verify_counts
 from tableferry.session import scratch_root
 from tableferry.sources.batch_config import read_config
 from tableferry.sources.catalog import Definition, create_schema, quote_name, table_exists
-from tableferry.sources.log_table import open_log, read_table, split_version, table_detail
+from tableferry.sources.log_table import latest_version, read_table, split_version, table_detail
 
 log = logging.getLogger("tableferry")
 
@@ -67,11 +67,11 @@ class Job:
 def _read_source(spark: SparkSession, job: Job) -> tuple[DataFrame, int | None]:
     """The source pinned at one version, so that load and check see the same rows."""
     path, version = split_version(job.source_path, job.version)
-    try:
-        version = open_log(spark, path, version).version
-    except FileNotFoundError:
-        if version is not None:
-            raise
+    if version is None:
+        try:
+            version = latest_version(spark, path)
+        except FileNotFoundError:
+            pass  # plain Parquet has no versions
     source = read_table(spark, path, version)
     if job.date_columns or job.time_columns:
         source = map_schema(source, target_schema(source.schema, job.date_columns, job.time_columns))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,17 +47,14 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
 
     The listing is taken when this function is called, not when the frame is used.
     """
-    try:
-        listed = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", pattern)
-            .option("recursiveFileLookup", "true")
-            .load(path)
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], FILE_COLUMNS)
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true")
+        .load(path)
+    )
     return listed.select(
         plain_location(F.col("path")).alias("path"),
         F.col("length").alias("size"),

@@ -163,6 +163,12 @@ def open_log(spark: SparkSession, path: str, version: int | None = None) -> Tabl
     )
 
 
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Newest version in the log, from file names alone."""
+    path, _ = split_version(path)
+    return _pick_log_files(_log_names(spark, path), None)[0]
+
+
 def _check_readable(path: str, protocol, configuration: dict[str, str], vectors: int) -> None:
     needed = set((protocol.readerFeatures if protocol else None) or []) - HARMLESS_READER_FEATURES
     # Version 2 tables list no features; they only differ when a mapping mode is set.
@@ -499,8 +505,8 @@ def write_log_table(df: DataFrame, path: str, mode: str = "overwrite", partition
     before = list_files(spark, path)
     started = time.time()
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
-    written = list_files(spark, path).join(before, "path", "left_anti")
-    return _commit_files(df, path, mode, partition_by, previous, written, started)
+    written = _written_files(df, path, started).join(before, "path", "left_anti")
+    return _commit_files(df, path, mode, partition_by, previous, written)
 
 
 def rebuild_log(spark: SparkSession, files_path: str, path: str, partition_by: tuple[str, ...] = ()) -> int:
@@ -518,13 +524,13 @@ def write_manifest(spark: SparkSession, path: str) -> str:
     return target
 
 
-def _commit_files(df, path, mode, partition_by, previous, written, started) -> int:
+def _commit_files(df, path, mode, partition_by, previous, written) -> int:
     spark = df.sparkSession
     version = 0 if previous is None else previous.version + 1
     now = int(time.time() * 1000)
     root = qualified(spark, path)
     in_table = F.regexp_replace("path", "^" + re.escape(root) + "/", "")
-    adds = written.join(_row_counts(df, path, started), "path", "left").select(
+    adds = written.select(
         _action(
             "add",
             encode_uri(in_table).alias("path"),
@@ -532,7 +538,7 @@ def _commit_files(df, path, mode, partition_by, previous, written, started) -> i
             "size",
             F.unix_millis("modified").alias("modificationTime"),
             F.lit(True).alias("dataChange"),
-            F.to_json(F.struct(F.coalesce("rows", F.lit(0)).alias("numRecords"))).alias("stats"),
+            F.to_json(F.struct(F.col("rows").alias("numRecords"))).alias("stats"),
         )
     )
     lines = [{"commitInfo": {"timestamp": now, "operation": "WRITE", "operationParameters": {"mode": mode}}}]
@@ -573,17 +579,21 @@ def _action(kind: str, *fields: Column | str) -> Column:
     return F.to_json(F.struct(F.struct(*fields).alias(kind))).alias("value")
 
 
-def _row_counts(df: DataFrame, path: str, started: float) -> DataFrame:
-    """Rows per file written since ``started``; an hour's margin covers clock differences."""
-    recent = F.col("_metadata.file_modification_time") > F.timestamp_seconds(F.lit(started - 3600.0))
+def _written_files(df: DataFrame, path: str, started: float) -> DataFrame:
+    """Files with rows written since ``started``; an hour's margin covers clock differences."""
+    modified = F.col("_metadata.file_modification_time")
     return (
         df.sparkSession.read.option("recursiveFileLookup", "true")
         .schema(df.schema)
         .parquet(path)
-        .filter(recent)
-        .groupBy(F.col("_metadata.file_path").alias("uri"))
+        .filter(modified > F.timestamp_seconds(F.lit(started - 3600.0)))
+        .groupBy(
+            F.col("_metadata.file_path").alias("uri"),
+            F.col("_metadata.file_size").alias("size"),
+            modified.alias("modified"),
+        )
         .agg(F.count("*").alias("rows"))
-        .select(plain_location(decode_uri(F.col("uri"))).alias("path"), "rows")
+        .select(plain_location(decode_uri(F.col("uri"))).alias("path"), "size", "modified", "rows")
     )
 
 
