@@ -2,17 +2,39 @@
 
 from __future__ import annotations
 
+import itertools
+import zlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whole numbers from 0 up to 2^48 (12 hexadecimal digits of a digest).
-DIGITS = 12
+# Draws lie below this prime; squares of them still fit a bigint.
+PRIME = 2_147_483_647
+LOW_FACTOR, HIGH_FACTOR = 48_271, 40_692
+
+
+def salt(seed: int, label: str) -> int:
+    """Number that sets one use of a seed apart from another."""
+    return zlib.crc32(f"{seed}:{label}".encode()) % PRIME
 
 
 def draw(key: Column, seed: int, label: str) -> Column:
-    """A uniform whole number below 2^48. A digest is used, so other engines can repeat it."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(label), key.cast("string")).cast("binary"))
-    return F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("bigint")
+    """A whole number below ``PRIME``: the salted key, squared twice modulo the prime.
+
+    Plain arithmetic stays in generated code and is cheaper than a digest, and
+    unlike Spark's own hash functions any SQL engine can repeat it.
+    """
+    start = F.lit(salt(seed, label))
+    wide = key.cast("bigint")
+    mixed = wide.bitwiseAND(F.lit(PRIME)) * LOW_FACTOR + F.shiftright(wide, 31) * HIGH_FACTOR + start
+    first = F.pmod(mixed, F.lit(PRIME))
+    second = (first * first + start) % PRIME
+    return (second * second + start) % PRIME
+
+
+def sub_key(key: Column, number: Column) -> Column:
+    """Key of the numbered part (0 to 15) of a row."""
+    return F.shiftleft(key.cast("bigint"), 4) + number
 
 
 def draw_int(key: Column, seed: int, label: str, low: int, high: int) -> Column:
@@ -32,10 +54,16 @@ def pick(key: Column, seed: int, label: str, values: list) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), draw_int(key, seed, label, 1, len(values)))
 
 
+def orderings(values: list[str], most: int) -> list[tuple[str, ...]]:
+    """Every way to draw ``most`` different values one after another; meant for short lists."""
+    return list(itertools.permutations(values, most))
+
+
 def pick_some(key: Column, seed: int, label: str, values: list[str], most: int) -> Column:
-    """Between none and ``most`` different values of a list, in random order."""
-    ranked = F.array_sort(F.array(*[F.struct(draw(key, seed, f"{label}.{v}"), F.lit(v).alias("value")) for v in values]))
-    return F.slice(F.transform(ranked, lambda item: item["value"]), 1, draw_int(key, seed, label, 0, most))
+    """Between none and ``most`` different values of a short list, in random order."""
+    ways = orderings(values, most)
+    drawn = F.element_at(F.array(*[F.array(*map(F.lit, way)) for way in ways]), draw_int(key, seed, label, 1, len(ways)))
+    return F.slice(drawn, 1, draw_int(key, seed, f"{label}.count", 0, most))
 
 
 def days_before(key: Column, seed: int, label: str, base_date: str, low: int, high: int) -> Column:

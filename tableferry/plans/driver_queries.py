@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.functions import mapping, nested, size
+from tableferry.functions import draws, mapping, nested, size
 from tableferry.operators import incremental, layout, load, quality, verify
 from tableferry.plans import move, reports, sample_tables
 from tableferry.session import scratch_path, scratch_root
@@ -830,7 +830,10 @@ SEED = 7
 
 
 def _draw_sql(key: str, label: str) -> str:
-    return f"CAST('0x' || left(md5(concat('{SEED}:{label}:', {key})), 12) AS BIGINT)"
+    start, prime = draws.salt(SEED, label), draws.PRIME
+    mixed = f"(({key} & {prime}) * {draws.LOW_FACTOR} + ({key} >> 31) * {draws.HIGH_FACTOR} + {start}) % {prime}"
+    square = "((({0}) * ({0}) + {1}) % {2})"
+    return square.format(square.format(mixed, start, prime), start, prime)
 
 
 def _int_sql(key: str, label: str, low: int, high: int) -> str:
@@ -879,9 +882,9 @@ def sample_customers(spark, sf_dir):
       {_pick_sql("o_orderkey", "city", sample_tables.CITIES)} AS city,
       {_pick_sql("o_orderkey", "state", sample_tables.STATES)} AS state,
       CAST({_int_sql("o_orderkey", "zip", 10000, 99999)} AS VARCHAR) AS zip,
-      {_int_sql("concat(o_orderkey, '.', i)", "product_id", 1, 100)} AS product_id,
-      {_int_sql("concat(o_orderkey, '.', i)", "quantity", 1, 5)} AS quantity,
-      {_decimal_sql("concat(o_orderkey, '.', i)", "price", 1000, 20000, 100)} AS price
+      {_int_sql("((o_orderkey << 4) + i)", "product_id", 1, 100)} AS product_id,
+      {_int_sql("((o_orderkey << 4) + i)", "quantity", 1, 5)} AS quantity,
+      {_decimal_sql("((o_orderkey << 4) + i)", "price", 1000, 20000, 100)} AS price
     FROM orders, LATERAL (SELECT unnest(range(1, 1 + {_int_sql("o_orderkey", "items", 1, 3)})) AS i)"""
 )
 def sample_orders(spark, sf_dir):
@@ -903,10 +906,8 @@ def sample_orders(spark, sf_dir):
       {_decimal_sql("p_partkey", "rating", 10, 50, 10)} AS rating,
       {_int_sql("p_partkey", "review_count", 0, 500)} AS review_count,
       {_int_sql("p_partkey", "is_available", 0, 1)} = 1 AS is_available,
-      (SELECT coalesce(string_agg(tag, ',' ORDER BY place), '') FROM (
-         SELECT tag, row_number() OVER (ORDER BY draw) AS place FROM (VALUES
-           {", ".join(f"('{t}', {_draw_sql('p_partkey', f'tags.{t}')})" for t in sample_tables.TAGS)}) AS v(tag, draw))
-       WHERE place <= {_int_sql("p_partkey", "tags", 0, 3)}) AS tags
+      array_to_string(list_slice(([{", ".join(map(str, map(list, draws.orderings(sample_tables.TAGS, 3))))}])
+        [{_int_sql("p_partkey", "tags", 1, 60)}], 1, {_int_sql("p_partkey", "tags.count", 0, 3)}), ',') AS tags
     FROM part"""
 )
 def sample_products(spark, sf_dir):

@@ -15,10 +15,18 @@ from pyspark.sql import functions as F
 from tableferry.functions.mapping import map_schema, target_schema
 from tableferry.operators.load import LoadResult, load_direct, load_staged, remove_stage
 from tableferry.operators.verify import verify_counts
-from tableferry.session import scratch_root
+from tableferry.session import has_source, scratch_root
 from tableferry.sources.batch_config import read_config
 from tableferry.sources.catalog import Definition, create_schema, quote_name, table_exists
-from tableferry.sources.log_table import latest_version, read_table, split_version, table_detail
+from tableferry.sources.log_table import (
+    TableLog,
+    latest_version,
+    log_detail,
+    open_log,
+    read_table,
+    scan_snapshot,
+    split_version,
+)
 
 log = logging.getLogger("tableferry")
 
@@ -67,23 +75,30 @@ class Job:
 def _read_source(spark: SparkSession, job: Job) -> tuple[DataFrame, int | None]:
     """The source pinned at one version, so that load and check see the same rows."""
     path, version = split_version(job.source_path, job.version)
-    if version is None:
+    if has_source(spark, "delta"):
+        version = latest_version(spark, path) if version is None else version
+        source = read_table(spark, path, version)
+    else:
         try:
-            version = latest_version(spark, path)
+            opened = open_log(spark, path, version)
         except FileNotFoundError:
-            pass  # plain Parquet has no versions
-    source = read_table(spark, path, version)
+            if version is not None:
+                raise
+            source = read_table(spark, path, fmt="parquet")
+        else:
+            _report_detail(opened)
+            source, version = scan_snapshot(spark, opened), opened.version
     if job.date_columns or job.time_columns:
         source = map_schema(source, target_schema(source.schema, job.date_columns, job.time_columns))
     return source, version
 
 
-def _log_detail(spark: SparkSession, path: str, version: int | None) -> None:
+def _report_detail(opened: TableLog) -> None:
     """Metadata is nice to have in the log; its absence never fails a job."""
     try:
-        log.info("source %s", table_detail(spark, path, version).first().asDict())
+        log.info("source %s", log_detail(opened).first().asDict())
     except Exception as error:
-        log.warning("no metadata for %s: %s", path, error)
+        log.warning("no metadata for %s: %s", opened.root, error)
 
 
 def _read_target(spark: SparkSession, job: Job) -> DataFrame:
@@ -123,7 +138,6 @@ def run_job(
     try:
         job.check()
         source, outcome["source_version"] = _read_source(spark, job)
-        _log_detail(spark, job.source_path, outcome["source_version"])
         if not job.format:
             create_schema(spark, job.target.rsplit(".", 1)[0])
         before = 0
@@ -138,7 +152,7 @@ def run_job(
                 raise ValueError(f"{job.target} does not hold the rows that were loaded")
         outcome["status"] = "SUCCESS"
     except Exception as error:
-        log.exception("moving %s failed", job.table)
+        log.error("moving %s failed", job.table, exc_info=log.isEnabledFor(logging.INFO))
         outcome["error"] = str(error).split("\n", 1)[0]
     finally:
         if cleanup:

@@ -265,50 +265,44 @@ def scan_snapshot(
 ) -> DataFrame:
     """Rows of the live files, in schema order; only these files are scanned."""
     files = live_files(log, where)
-    summary = files.agg(
-        F.count("*").alias("files"),
-        F.bool_and(_folders_follow_values(log)).alias("in_folders"),
-    ).first()
-    if summary.files == 0:
+    # One row more than allowed tells whether naming the files is possible.
+    named = files.select("path", _folders_follow_values(log).alias("in_folders")).limit(max_named_files + 1).collect()
+    if not named:
         return spark.createDataFrame([], log.schema)
     columns = [F.col(f"`{name}`") for name in log.schema.names]
-    if summary.in_folders and summary.files <= max_named_files:
+    few = len(named) <= max_named_files
+    if few and all(row.in_folders for row in named):
         # Spark takes the partition values from the folders, so filters on them prune files.
         reader = spark.read.schema(log.schema)
         if log.partition_columns:
             reader = reader.option("basePath", log.root)
-        return reader.parquet(*_paths(files)).select(*columns)
+        return reader.parquet(*[row.path for row in named]).select(*columns)
     schema = T.StructType([f for f in log.schema.fields if f.name not in log.partition_columns])
     keyed = files.select(F.col("path").alias("__path"), *log.partition_columns)
-    return _scan_keyed(log, keyed, schema, summary.files, max_named_files).select(*columns)
-
-
-def _paths(files: DataFrame, column: str = "path") -> list[str]:
-    """File names for a scan; callers have checked their number."""
-    return [row[0] for row in files.select(column).distinct().collect()]
+    return _scan_keyed(log, keyed, schema, [row.path for row in named] if few else None).select(*columns)
 
 
-def _scan_keyed(log: TableLog, keyed: DataFrame, schema: T.StructType, count: int, max_named_files: int) -> DataFrame:
+def _scan_keyed(log: TableLog, keyed: DataFrame, schema: T.StructType, named: list[str] | None) -> DataFrame:
     """Rows of the files in ``keyed.__path`` joined with the other columns of ``keyed``.
 
-    Few enough files are scanned by name and the file list is broadcast. More
-    files are found by listing their folders, and Spark chooses the join.
+    Few enough files are scanned by name and the file list is broadcast. Without
+    names the files are found by listing their folders, and Spark chooses the join.
     """
     spark = keyed.sparkSession
-    if count == 0:
+    if named == []:
         scan = spark.createDataFrame([], schema).withColumn("__path", F.lit(""))
         return scan.join(keyed, "__path")
-    named = count <= max_named_files
-    places = _paths(keyed, "__path") if named else _outer_folders(log, keyed)
+    places = _outer_folders(log, keyed) if named is None else sorted(set(named))
     scan = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*places)
-    return scan.withColumn("__path", row_location()).join(F.broadcast(keyed) if named else keyed, "__path")
+    return scan.withColumn("__path", row_location()).join(keyed if named is None else F.broadcast(keyed), "__path")
 
 
 def _outer_folders(log: TableLog, keyed: DataFrame) -> list[str]:
     """Folders that together hold all live files, none inside another: the root and any outside it."""
     parent = F.regexp_replace("__path", "/[^/]*$", "")
     inside = F.col("__path").startswith(log.root + "/")
-    folders = sorted(_paths(keyed.select(F.when(inside, F.lit(log.root)).otherwise(parent).alias("folder")), "folder"))
+    folder = F.when(inside, F.lit(log.root)).otherwise(parent).alias("folder")
+    folders = sorted(row.folder for row in keyed.select(folder).distinct().collect())
     outer: list[str] = []
     for folder in folders:
         if not any(folder == kept or folder.startswith(kept + "/") for kept in outer):
@@ -349,7 +343,10 @@ def read_table(
 
 def table_detail(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One row: format, version, number of files, bytes, records (null when a file has no count), partition columns."""
-    log = open_log(spark, path, version)
+    return log_detail(open_log(spark, path, version))
+
+
+def log_detail(log: TableLog) -> DataFrame:
     complete = F.count("num_records") == F.count("*")
     return live_files(log).agg(
         F.lit(log.provider).alias("format"),
@@ -455,7 +452,8 @@ def read_changes(spark: SparkSession, path: str, after: int, until: int | None =
         if kind is None:
             fields.append(T.StructField("_change_type", T.StringType()))
         # A file added and later removed yields both changes, so a path may occur in two frames.
-        scan = _scan_keyed(log, files, T.StructType(fields), files.count(), MAX_NAMED_FILES)
+        named = [row["__path"] for row in files.select("__path").limit(MAX_NAMED_FILES + 1).collect()]
+        scan = _scan_keyed(log, files, T.StructType(fields), named if len(named) <= MAX_NAMED_FILES else None)
         if kind is not None:
             scan = scan.withColumn("_change_type", F.lit(kind))
         return scan.select(

@@ -1,0 +1,309 @@
+"""Log replay on hand-written logs and on tables the writer made."""
+
+import json
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tableferry.sources import log_table
+from tableferry.sources.log_table import UnsupportedTable, read_table
+
+SCHEMA = json.dumps(
+    {
+        "type": "struct",
+        "fields": [
+            {"name": "id", "type": "integer", "nullable": True, "metadata": {}},
+            {"name": "k", "type": "string", "nullable": True, "metadata": {}},
+        ],
+    }
+)
+PROTOCOL = {"protocol": {"minReaderVersion": 1, "minWriterVersion": 2}}
+
+
+def metadata(partition_columns=(), configuration=None):
+    return {
+        "metaData": {
+            "id": "x",
+            "format": {"provider": "parquet"},
+            "schemaString": SCHEMA,
+            "partitionColumns": list(partition_columns),
+            "configuration": configuration or {},
+        }
+    }
+
+
+def add(path, values=None, **more):
+    return {"add": {"path": path, "partitionValues": values or {}, "size": 1, "dataChange": True, **more}}
+
+
+def remove(path):
+    return {"remove": {"path": path, "deletionTimestamp": 1, "dataChange": True}}
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    """Writes data files by name and commits by version."""
+
+    class Lake:
+        path = str(tmp_path / "table")
+
+        def file(self, name, values, column="id"):
+            target = tmp_path / "table" / name
+            target.parent.mkdir(parents=True, exist_ok=True)
+            draft = tmp_path / "draft" / name.replace("/", "_")
+            frame = spark.createDataFrame([(v, f"k{v}") for v in values], "id int, k string")
+            (frame if column == "both" else frame.select("id")).coalesce(1).write.parquet(str(draft))
+            next(draft.glob("part-*.parquet")).rename(target)
+
+        def commit(self, version, *actions):
+            log = tmp_path / "table" / "_delta_log"
+            log.mkdir(parents=True, exist_ok=True)
+            (log / f"{version:020d}.json").write_text("\n".join(map(json.dumps, actions)))
+
+        def ids(self, version=None, **more):
+            return sorted(r.id for r in read_table(spark, self.path, version, **more).collect())
+
+    return Lake()
+
+
+def test_add_remove_overwrite_and_readd(lake):
+    for name, values in {"a": [1], "b": [2], "c": [3], "d": [4]}.items():
+        lake.file(f"{name}.parquet", values, "both")
+    lake.commit(0, PROTOCOL, metadata(), add("a.parquet"), add("b.parquet"))
+    lake.commit(1, remove("a.parquet"), add("c.parquet"))
+    lake.commit(2, remove("b.parquet"), remove("c.parquet"), add("d.parquet"))
+    lake.commit(3, add("a.parquet"))
+    assert lake.ids(0) == [1, 2]
+    assert lake.ids(1) == [2, 3]
+    assert lake.ids(2) == [4]
+    assert lake.ids() == [1, 4]
+
+
+def test_version_suffix_and_unknown_version(spark, lake):
+    lake.file("a.parquet", [1], "both")
+    lake.commit(0, PROTOCOL, metadata(), add("a.parquet"))
+    assert [r.id for r in read_table(spark, lake.path + "@v0").collect()] == [1]
+    with pytest.raises(ValueError, match="commit 1"):
+        lake.ids(1)
+
+
+def test_partition_values_follow_folders_or_not(spark, lake):
+    lake.file("k=a b/one.parquet", [1])
+    lake.file("k=50%25/two.parquet", [2])
+    lake.file("k=__HIVE_DEFAULT_PARTITION__/three.parquet", [3])
+    actions = [
+        add("k=a%20b/one.parquet", {"k": "a b"}),
+        add("k=50%2525/two.parquet", {"k": "50%"}),
+        add("k=__HIVE_DEFAULT_PARTITION__/three.parquet", {"k": None}),
+    ]
+    lake.commit(0, PROTOCOL, metadata(["k"]), *actions)
+    expected = [(1, "a b"), (2, "50%"), (3, None)]
+    assert rows(read_table(spark, lake.path), "id") == expected
+    plan = read_table(spark, lake.path).filter("k = '50%'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(k" in plan
+    # A file whose folder says nothing about its value makes the scan take values from the log.
+    lake.file("loose.parquet", [4])
+    lake.commit(1, add("loose.parquet", {"k": "a b"}))
+    assert rows(read_table(spark, lake.path), "id") == [*expected, (4, "a b")]
+    assert lake.ids(where="k = 'a b'") == [1, 4]
+    assert lake.ids(where="k is null") == [3]
+
+
+def test_more_files_than_can_be_named(spark, lake):
+    for name in "abc":
+        lake.file(f"{name}.parquet", [ord(name)], "both")
+    lake.commit(0, PROTOCOL, metadata(), add("a.parquet"), add("b.parquet"), add("c.parquet"))
+    lake.commit(1, remove("b.parquet"))
+    log = log_table.open_log(spark, lake.path)
+    assert rows(log_table.scan_snapshot(spark, log, max_named_files=1), "id") == [(97, "k97"), (99, "k99")]
+
+
+def test_absolute_and_uri_paths(spark, lake, tmp_path):
+    lake.file("a.parquet", [1], "both")
+    lake.file("../elsewhere/b.parquet", [2], "both")
+    lake.file("../elsewhere/c.parquet", [3], "both")
+    lake.commit(
+        0,
+        PROTOCOL,
+        metadata(),
+        add("a.parquet"),
+        add(f"{tmp_path}/elsewhere/b.parquet"),
+        add(f"file://{tmp_path}/elsewhere/c.parquet"),
+    )
+    assert lake.ids() == [1, 2, 3]
+    log = log_table.open_log(spark, lake.path)
+    assert log_table.scan_snapshot(spark, log, max_named_files=1).count() == 3
+
+
+def _checkpoint(spark, tmp_path, version, actions, parts=1):
+    log = tmp_path / "table" / "_delta_log"
+    log.mkdir(parents=True, exist_ok=True)
+    frame = spark.read.schema(log_table.LOG_SCHEMA).json(
+        spark.sparkContext.parallelize([json.dumps(a) for a in actions], 1)
+    )
+    for part in range(parts):
+        draft = tmp_path / f"checkpoint{version}-{part}"
+        share = frame.filter(F.pmod(F.xxhash64(F.col("add.path")), F.lit(parts)) == part)
+        share.drop("commitInfo", "cdc").coalesce(1).write.parquet(str(draft))
+        suffix = "" if parts == 1 else f".{part + 1:010d}.{parts:010d}"
+        next(draft.glob("part-*.parquet")).rename(log / f"{version:020d}.checkpoint{suffix}.parquet")
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_checkpoint_stands_for_missing_commits(spark, lake, tmp_path, parts):
+    for name, value in {"a": 1, "b": 2, "c": 3}.items():
+        lake.file(f"{name}.parquet", [value], "both")
+    _checkpoint(spark, tmp_path, 2, [PROTOCOL, metadata(), add("a.parquet"), add("b.parquet")], parts)
+    lake.commit(3, remove("a.parquet"), add("c.parquet"))
+    assert lake.ids() == [2, 3]
+    assert lake.ids(2) == [1, 2]
+    with pytest.raises(ValueError, match="commit 0"):
+        lake.ids(1)
+
+
+def test_incomplete_checkpoint_is_not_used(spark, lake, tmp_path):
+    lake.file("a.parquet", [1], "both")
+    lake.commit(0, PROTOCOL, metadata(), add("a.parquet"))
+    (tmp_path / "table" / "_delta_log" / f"{0:020d}.checkpoint.{1:010d}.{2:010d}.parquet").write_bytes(b"half")
+    assert lake.ids() == [1]
+
+
+@pytest.mark.parametrize(
+    "protocol, configuration, more",
+    [
+        ({"minReaderVersion": 3, "minWriterVersion": 7, "readerFeatures": ["deletionVectors"]}, {}, {}),
+        ({"minReaderVersion": 2, "minWriterVersion": 5}, {"delta.columnMapping.mode": "name"}, {}),
+        ({"minReaderVersion": 1, "minWriterVersion": 2}, {}, {"deletionVector": {"storageType": "u"}}),
+        ({"minReaderVersion": 3, "minWriterVersion": 7, "readerFeatures": ["typeWidening"]}, {}, {}),
+    ],
+)
+def test_unsupported_tables_are_refused(lake, protocol, configuration, more):
+    lake.file("a.parquet", [1], "both")
+    lake.commit(0, {"protocol": protocol}, metadata((), configuration), add("a.parquet", **more))
+    with pytest.raises(UnsupportedTable):
+        lake.ids()
+
+
+def test_column_mapping_mode_none_is_readable(lake):
+    lake.file("a.parquet", [1], "both")
+    protocol = {"minReaderVersion": 3, "minWriterVersion": 7, "readerFeatures": ["columnMapping", "timestampNtz"]}
+    lake.commit(0, {"protocol": protocol}, metadata(), add("a.parquet"))
+    assert lake.ids() == [1]
+
+
+def test_older_files_lack_new_columns(spark, lake):
+    lake.file("a.parquet", [1])
+    lake.file("b.parquet", [2], "both")
+    lake.commit(0, PROTOCOL, metadata(), add("a.parquet"), add("b.parquet"))
+    assert rows(read_table(spark, lake.path), "id") == [(1, None), (2, "k2")]
+
+
+def test_writer_versions_detail_history_and_structure(spark, tmp_path):
+    path = str(tmp_path / "made")
+    frame = spark.createDataFrame([(1, "x/y"), (2, None), (3, "z")], "id int, k string")
+    assert log_table.write_log_table(frame, path, partition_by=("k",)) == 0
+    assert log_table.write_log_table(frame, path, "append") == 1
+    assert log_table.write_log_table(frame.limit(1), path, "overwrite", ("k",)) == 2
+    assert rows(read_table(spark, path), "id") == [(1, "x/y")]
+    assert len(rows(read_table(spark, path, 1))) == 6
+    detail = log_table.table_detail(spark, path, 1).first()
+    assert (detail.format, detail.version, detail.num_records, detail.partition_columns) == ("delta", 1, 6, "k")
+    assert detail.size_bytes > 0
+    history = rows(log_table.log_history(spark, path).select("version", "operation", "added", "removed"), "version")
+    assert history == [(0, "WRITE", 3, 0), (1, "WRITE", 3, 0), (2, "WRITE", 1, 6)]
+    report = log_table.structure_report(spark, path).first()
+    assert (report.log_exists, report.commit_files, report.checkpoint_files, report.data_files) == (True, 3, 0, 7)
+
+
+def test_overwrite_with_nothing_leaves_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "made")
+    frame = spark.range(3)
+    log_table.write_log_table(frame, path)
+    log_table.write_log_table(frame.filter("id < 0"), path)
+    assert read_table(spark, path).count() == 0
+    assert log_table.table_detail(spark, path).first().num_files == 0
+
+
+def test_append_must_keep_the_schema(spark, tmp_path):
+    path = str(tmp_path / "made")
+    log_table.write_log_table(spark.range(3), path)
+    with pytest.raises(ValueError, match="schema"):
+        log_table.write_log_table(spark.range(3).withColumn("x", F.lit(1)), path, "append")
+    assert read_table(spark, path).count() == 3
+
+
+def test_changes_and_rows_since(spark, tmp_path):
+    path = str(tmp_path / "made")
+    log_table.write_log_table(spark.range(2), path)
+    first = log_table.log_history(spark, path).first().committed_at
+    log_table.write_log_table(spark.range(10, 12), path, "append")
+    log_table.write_log_table(spark.range(20, 21), path, "overwrite")
+    changes = log_table.read_changes(spark, path, 0).select("_commit_version", "_change_type", "id")
+    assert rows(changes, "_commit_version", "_change_type", "id") == [
+        (1, "insert", 10),
+        (1, "insert", 11),
+        (2, "delete", 0),
+        (2, "delete", 1),
+        (2, "delete", 10),
+        (2, "delete", 11),
+        (2, "insert", 20),
+    ]
+    assert rows(log_table.read_changes(spark, path, 0, 1).select("id"), "id") == [(10,), (11,)]
+    assert rows(log_table.read_since(spark, path, str(first)), "id") == [(10,), (11,), (20,)]
+    assert log_table.read_since(spark, path, "2999-01-01 00:00:00").count() == 0
+
+
+def test_change_files_take_precedence(spark, lake, tmp_path):
+    lake.file("a.parquet", [1, 2], "both")
+    lake.file("b.parquet", [1, 3], "both")
+    changed = spark.createDataFrame([(2, "k2", "delete"), (3, "k3", "insert")], "id int, k string, _change_type string")
+    changed.coalesce(1).write.parquet(str(tmp_path / "changed"))
+    (tmp_path / "table" / "_change_data").mkdir()
+    next((tmp_path / "changed").glob("part-*.parquet")).rename(tmp_path / "table" / "_change_data" / "c.parquet")
+    lake.commit(0, PROTOCOL, metadata(), add("a.parquet"))
+    cdc = {"cdc": {"path": "_change_data/c.parquet", "partitionValues": {}, "size": 1, "dataChange": False}}
+    lake.commit(1, remove("a.parquet"), add("b.parquet"), cdc)
+    found = log_table.read_changes(spark, lake.path, 0).select("id", "_change_type", "_commit_version")
+    assert rows(found, "id") == [(2, "delete", 1), (3, "insert", 1)]
+
+
+def test_compaction_is_no_change(spark, lake):
+    lake.file("a.parquet", [1], "both")
+    lake.file("b.parquet", [1], "both")
+    lake.commit(0, PROTOCOL, metadata(), add("a.parquet"))
+    quiet = remove("a.parquet")
+    quiet["remove"]["dataChange"] = False
+    lake.commit(1, quiet, add("b.parquet", dataChange=False))
+    assert lake.ids() == [1]
+    assert log_table.read_changes(spark, lake.path, 0).count() == 0
+
+
+def test_manifest_lists_live_files(spark, tmp_path):
+    path = str(tmp_path / "made")
+    frame = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
+    log_table.write_log_table(frame, path, partition_by=("k",))
+    log_table.write_log_table(frame, path, "overwrite", ("k",))
+    target = log_table.write_manifest(spark, path)
+    listed = spark.read.option("recursiveFileLookup", "true").text(target)
+    assert sorted(r.value for r in listed.collect()) == sorted(
+        r.path for r in log_table.snapshot_files(spark, path).collect()
+    )
+    assert read_table(spark, path).count() == 2
+
+
+def test_plain_files_and_rebuilt_log(spark, tmp_path):
+    path, rebuilt = str(tmp_path / "made"), str(tmp_path / "rebuilt")
+    log_table.write_log_table(spark.range(3), path)
+    log_table.write_log_table(spark.range(3), path)
+    assert read_table(spark, path, fmt="parquet").count() == 6
+    assert log_table.rebuild_log(spark, path, rebuilt) == 0
+    assert read_table(spark, rebuilt, fmt="log").count() == 6
+
+
+def test_plain_parquet_without_log(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "plain"))
+    assert read_table(spark, str(tmp_path / "plain")).count() == 4
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, str(tmp_path / "plain"), fmt="log")
+    assert log_table.structure_report(spark, str(tmp_path / "plain")).first().log_exists is False
