@@ -2,34 +2,34 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
-import zlib
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Draws lie below this prime; squares of them still fit a bigint.
-PRIME = 2_147_483_647
-LOW_FACTOR, HIGH_FACTOR = 48_271, 40_692
+# Two primes just below 2^31: products of numbers below them fit a bigint.
+KEY_PRIME = 2_147_483_647
+DRAW_PRIME = 2_147_483_629
 
 
-def salt(seed: int, label: str) -> int:
-    """Number that sets one use of a seed apart from another."""
-    return zlib.crc32(f"{seed}:{label}".encode()) % PRIME
+def factors(seed: int, label: str) -> tuple[int, ...]:
+    """Five multipliers and offsets that set one use of a seed apart from another."""
+    digest = hashlib.md5(f"{seed}:{label}".encode(), usedforsecurity=False).digest()
+    return tuple(1 + int.from_bytes(digest[3 * i : 3 * i + 4], "big") % (2**29 if i == 1 else 2**31 - 64) for i in range(5))
 
 
 def draw(key: Column, seed: int, label: str) -> Column:
-    """A whole number below ``PRIME``: the salted key, squared twice modulo the prime.
+    """A whole number below ``DRAW_PRIME``: two congruential steps with different primes.
 
-    Plain arithmetic stays in generated code and is cheaper than a digest, and
-    unlike Spark's own hash functions any SQL engine can repeat it.
+    Plain arithmetic stays in generated code and uses every intermediate once,
+    is cheaper than a digest, and unlike Spark's own hash functions can be
+    repeated by any SQL engine.
     """
-    start = F.lit(salt(seed, label))
+    low, high, shift, spread, offset = factors(seed, label)
     wide = key.cast("bigint")
-    mixed = wide.bitwiseAND(F.lit(PRIME)) * LOW_FACTOR + F.shiftright(wide, 31) * HIGH_FACTOR + start
-    first = F.pmod(mixed, F.lit(PRIME))
-    second = (first * first + start) % PRIME
-    return (second * second + start) % PRIME
+    mixed = wide.bitwiseAND(F.lit(KEY_PRIME)) * low + F.shiftright(wide, 31) * high + shift
+    return (F.pmod(mixed, F.lit(KEY_PRIME)) * spread + offset) % DRAW_PRIME
 
 
 def sub_key(key: Column, number: Column) -> Column:

@@ -83,7 +83,8 @@ def convert(value: Column, source: T.DataType, target: T.DataType, zone: str = "
         return value
     if isinstance(source, T.StringType):
         if isinstance(target, T.DateType):
-            return F.try_to_date(value, "yyyy-MM-dd")
+            # A cast parses faster than a pattern but takes other spellings, so those are ruled out first.
+            return F.when(value.rlike(ONLY_DATE), value.try_cast(target))
         if isinstance(target, T.TimestampType):
             # Text without a zone is read in the stated zone, whatever the session's zone is.
             zoned = (

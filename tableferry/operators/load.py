@@ -96,8 +96,14 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", definition:
         drop_table(spark, incoming)
         raise
     if exists:
-        drop_table(spark, target)
-    rename_table(spark, incoming, target)
+        # The old table goes only once the new one carries its name.
+        previous = f"{target}__previous"
+        drop_table(spark, previous)
+        rename_table(spark, target, previous)
+        rename_table(spark, incoming, target)
+        drop_table(spark, previous)
+    else:
+        rename_table(spark, incoming, target)
     return rows
 
 

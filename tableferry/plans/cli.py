@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m``-style entry for one table or a batch.
+"""Command line for moving one table or a batch: ``spark-submit tableferry/plans/cli.py ...``.
 
 Exits with 1 when a table failed and with 2 on wrong arguments.
 """
@@ -28,6 +28,9 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="option for --format")
     parser.add_argument("--partition-by", action="append", default=[])
     parser.add_argument("--cluster-by", action="append", default=[])
+    parser.add_argument("--key", action="append", default=[], help="append only rows whose key the target lacks")
+    parser.add_argument("--incremental-column", help="append only rows above the target's largest value")
+    parser.add_argument("--since", help="append only rows of commits after this time")
     parser.add_argument("--config-file", help="JSON array of tables to move")
     parser.add_argument("--parallel", type=int, default=1, help="tables moved at the same time")
     parser.add_argument("--no-verify", action="store_true")
@@ -65,6 +68,9 @@ def main(argv: list[str] | None = None) -> int:
             options=dict(pair.split("=", 1) for pair in args.option),
             partition_by=tuple(args.partition_by),
             cluster_by=tuple(args.cluster_by),
+            key=tuple(args.key),
+            incremental_column=args.incremental_column,
+            since=args.since,
         )
         results = move_table(spark, job, **flags)
     results.show(1000, truncate=False)

@@ -384,7 +384,7 @@ def _loose_dates(spark, sf_dir) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         F.concat(
-            F.date_format("l_shipdate", "yyyy-MM-"), (F.col("l_linenumber") + 26).cast("string")
+            F.left(F.col("l_shipdate").cast("string"), F.lit(8)), (F.col("l_linenumber") + 26).cast("string")
         ).alias("ship_text"),
     )
 
@@ -830,10 +830,9 @@ SEED = 7
 
 
 def _draw_sql(key: str, label: str) -> str:
-    start, prime = draws.salt(SEED, label), draws.PRIME
-    mixed = f"(({key} & {prime}) * {draws.LOW_FACTOR} + ({key} >> 31) * {draws.HIGH_FACTOR} + {start}) % {prime}"
-    square = "((({0}) * ({0}) + {1}) % {2})"
-    return square.format(square.format(mixed, start, prime), start, prime)
+    low, high, shift, spread, offset = draws.factors(SEED, label)
+    mixed = f"(({key} & {draws.KEY_PRIME}) * {low} + ({key} >> 31) * {high} + {shift}) % {draws.KEY_PRIME}"
+    return f"((({mixed}) * {spread} + {offset}) % {draws.DRAW_PRIME})"
 
 
 def _int_sql(key: str, label: str, low: int, high: int) -> str:
@@ -891,7 +890,8 @@ def sample_orders(spark, sf_dir):
     """One row per item."""
     ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     orders = sample_tables.orders_for(ids, SEED)
-    flat = orders.select("*", "shipping_address.*", F.inline("items"))
+    # Outer, although no order lacks items: it saves a check that would compute the items twice.
+    flat = orders.select("*", "shipping_address.*", F.inline_outer("items"))
     return flat.drop("shipping_address", "items", "created_at")
 
 

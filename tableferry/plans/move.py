@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.functions.mapping import map_schema, target_schema
+from tableferry.operators.incremental import incremental, rows_not_in
 from tableferry.operators.load import LoadResult, load_direct, load_staged, remove_stage
 from tableferry.operators.verify import verify_counts
 from tableferry.session import has_source, scratch_root
@@ -23,6 +24,7 @@ from tableferry.sources.log_table import (
     latest_version,
     log_detail,
     open_log,
+    read_since,
     read_table,
     scan_snapshot,
     split_version,
@@ -39,7 +41,12 @@ RESULT_SCHEMA = """
 
 @dataclass(frozen=True)
 class Job:
-    """What to move where. ``format`` names a connector; without it the session catalog is the target."""
+    """What to move where. ``format`` names a connector; without it the session catalog is the target.
+
+    Three ways to move only what is new, all for appends: ``since`` takes the
+    rows of commits after a time, ``incremental_column`` the rows above the
+    target's largest value, ``key`` the rows whose key the target lacks.
+    """
 
     source_path: str | None
     table: str | None
@@ -57,6 +64,9 @@ class Job:
     cluster_by: tuple[str, ...] = ()
     date_columns: tuple[str, ...] = ()
     time_columns: tuple[str, ...] = ()
+    key: tuple[str, ...] = ()
+    incremental_column: str | None = None
+    since: str | None = None
 
     @property
     def target(self) -> str:
@@ -70,12 +80,17 @@ class Job:
             raise ValueError(f"missing {', '.join(missing)}")
         if self.method not in METHODS:
             raise ValueError(f"unknown method {self.method!r}, expected staged or direct")
+        if (self.key or self.incremental_column or self.since) and self.mode != "append":
+            raise ValueError("key, incremental_column and since only make sense with mode append")
 
 
 def _read_source(spark: SparkSession, job: Job) -> tuple[DataFrame, int | None]:
     """The source pinned at one version, so that load and check see the same rows."""
     path, version = split_version(job.source_path, job.version)
-    if has_source(spark, "delta"):
+    if job.since:
+        version = latest_version(spark, path) if version is None else version
+        source = read_since(spark, path, job.since, version)
+    elif has_source(spark, "delta"):
         version = latest_version(spark, path) if version is None else version
         source = read_table(spark, path, version)
     else:
@@ -110,6 +125,9 @@ def _read_target(spark: SparkSession, job: Job) -> DataFrame:
 def _load(spark: SparkSession, job: Job, source: DataFrame, staged: list[str]) -> LoadResult:
     layout = Definition(job.partition_by, job.cluster_by) if job.partition_by or job.cluster_by else None
     settings = {"nested": job.nested, "definition": layout, "fmt": job.format, "options": job.options}
+    if job.key:
+        # Counting partitions to merge them would run the join with the target a second time.
+        settings["shrink"] = "rebalance"
     if METHODS[job.method] == "direct":
         return load_direct(source, job.target, job.mode, **settings)
     result = load_staged(source, job.target, job.stage_root or f"{scratch_root(spark)}/stage", job.mode, **settings)
@@ -117,10 +135,25 @@ def _load(spark: SparkSession, job: Job, source: DataFrame, staged: list[str]) -
     return result
 
 
-def _verify(source: DataFrame, target: DataFrame, before: int) -> tuple[bool, int | None]:
-    """A check that cannot be carried out counts as failed."""
+def _new_rows(job: Job, source: DataFrame, target: DataFrame) -> DataFrame:
+    """What an append still has to add."""
+    if job.incremental_column:
+        source = incremental(source, target, job.incremental_column)
+    if job.key:
+        source = rows_not_in(source, target, list(job.key))
+    return source
+
+
+def _verify(spark: SparkSession, job: Job, source: DataFrame, before: int, loaded: int) -> tuple[bool, int | None]:
+    """Count both sides; a check that cannot be carried out counts as failed.
+
+    With a key the rows still missing are none by now, so the rows counted
+    while writing stand in for the source.
+    """
     try:
-        row = verify_counts(source, target, before).first()
+        if job.key:
+            source, before = source.limit(0), before + loaded
+        row = verify_counts(source, _read_target(spark, job), before).first()
         return row.passed, row.target_rows
     except Exception as error:
         log.error("verification could not run: %s", error)
@@ -141,13 +174,14 @@ def run_job(
         if not job.format:
             create_schema(spark, job.target.rsplit(".", 1)[0])
         before = 0
-        if verify and job.mode == "append" and (job.format or table_exists(spark, job.target)):
-            before = _read_target(spark, job).count()
+        if job.mode == "append" and (job.format or table_exists(spark, job.target)):
+            before = _read_target(spark, job).count() if verify else 0
+            source = _new_rows(job, source, _read_target(spark, job))
         result = _load(spark, job, source, staged)
         outcome["source_rows"] = result.rows
         outcome["staged_path"] = result.staged_path
         if verify:
-            outcome["verified"], outcome["target_rows"] = _verify(source, _read_target(spark, job), before)
+            outcome["verified"], outcome["target_rows"] = _verify(spark, job, source, before, result.rows)
             if strict_verify and not outcome["verified"]:
                 raise ValueError(f"{job.target} does not hold the rows that were loaded")
         outcome["status"] = "SUCCESS"

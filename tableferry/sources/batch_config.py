@@ -30,6 +30,9 @@ FIELDS = {
     "cluster_by": "array<string>",
     "date_columns": "array<string>",
     "time_columns": "array<string>",
+    "key": "array<string>",
+    "incremental_column": "string",
+    "since": "string",
 }
 
 

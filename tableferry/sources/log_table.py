@@ -343,6 +343,17 @@ def read_table(
 
 def table_detail(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One row: format, version, number of files, bytes, records (null when a file has no count), partition columns."""
+    if has_source(spark, "delta") and version is None:
+        path, version = split_version(path)
+        if version is None:
+            return spark.sql(f"DESCRIBE DETAIL delta.`{path}`").select(
+                "format",
+                F.lit(latest_version(spark, path)).cast("bigint").alias("version"),
+                F.col("numFiles").alias("num_files"),
+                F.col("sizeInBytes").alias("size_bytes"),
+                F.lit(None).cast("bigint").alias("num_records"),
+                F.array_join("partitionColumns", ",").alias("partition_columns"),
+            )
     return log_detail(open_log(spark, path, version))
 
 
@@ -467,13 +478,13 @@ def read_changes(spark: SparkSession, path: str, after: int, until: int | None =
     )
 
 
-def read_since(spark: SparkSession, path: str, timestamp: str) -> DataFrame:
-    """Rows inserted by commits later than a timestamp: the source side of an append-only sync."""
+def read_since(spark: SparkSession, path: str, timestamp: str, until: int | None = None) -> DataFrame:
+    """Rows inserted by commits later than a timestamp, up to a version: the source side of an append-only sync."""
     later = log_history(spark, path).filter(F.col("committed_at") > F.lit(timestamp).cast("timestamp"))
     first = later.agg(F.min("version").alias("version")).first().version
-    if first is None:
-        return scan_snapshot(spark, open_log(spark, path), where=F.lit(False))
-    changes = read_changes(spark, path, first - 1)
+    if first is None or (until is not None and first > until):
+        return scan_snapshot(spark, open_log(spark, path, until), where=F.lit(False))
+    changes = read_changes(spark, path, first - 1, until)
     return changes.filter(F.col("_change_type").isin("insert", "update_postimage")).drop(
         "_change_type", "_commit_version", "_commit_timestamp"
     )

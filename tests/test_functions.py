@@ -207,4 +207,4 @@ def test_draws_do_not_depend_on_partitioning(spark):
 def test_draws_of_large_and_negative_keys(spark):
     keys = spark.createDataFrame([(-(2**63),), (-1,), (2**31,), (2**62 - 1,), (2**63 - 1,)], "id bigint")
     values = [r[0] for r in keys.select(draws.draw(F.col("id"), 1, "x")).collect()]
-    assert all(0 <= v < draws.PRIME for v in values) and len(set(values)) >= 4
+    assert all(0 <= v < draws.DRAW_PRIME for v in values) and len(set(values)) >= 4

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tableferry.functions.mapping import map_schema, target_schema
 from tableferry.operators import load
-from tableferry.plans import cli, move, reports, sample_tables
+from tableferry.plans import cli, move, reports, sample_cli, sample_tables
 from tableferry.plans.move import Job
 from tableferry.sources import catalog, log_table
 
@@ -185,6 +185,23 @@ def test_move_pins_the_version_it_read(spark, schema, source):
     assert result(spark, Job(source, "t", schema)).target_rows == 7
 
 
+def test_append_only_what_is_new(spark, schema, source):
+    first = log_table.log_history(spark, source).first().committed_at
+    by = {"k": {"key": ("id",)}, "c": {"incremental_column": "id"}, "s": {"since": str(first)}}
+    assert "only make sense" in result(spark, Job(source, "k", schema, key=("id",))).error
+    for name in by:
+        assert result(spark, Job(source, name, schema)).target_rows == 5
+    later = spark.sql("SELECT id + 5 AS id, array(id) AS l, '2025-01-03' AS d FROM range(2)")
+    log_table.write_log_table(later, source, "append")
+    for name, only_new in by.items():
+        row = result(spark, Job(source, name, schema, mode="append", **only_new))
+        assert (row.status, row.source_rows, row.target_rows, row.verified) == ("SUCCESS", 2, 7, True)
+        assert rows(spark.table(f"{schema}.{name}").select("id"), "id") == [(i,) for i in range(7)]
+    for name in "kc":
+        row = result(spark, Job(source, name, schema, mode="append", **by[name]))
+        assert (row.status, row.source_rows, row.target_rows, row.verified) == ("SUCCESS", 0, 7, True)
+
+
 def test_move_reports_failures(spark, schema, source, tmp_path):
     assert "missing table" in result(spark, Job(source, None, schema)).error
     assert "unknown method" in result(spark, Job(source, "t", schema, method="fax")).error
@@ -248,6 +265,14 @@ def test_command_line(spark, source, tmp_path):
     assert stopped.value.code == 2
 
 
+def test_sample_command_line_honours_row_counts(spark, tmp_path, capsys):
+    sizes = {"customers": 30, "orders": 40, "products": 20}
+    given = [text for name, n in sizes.items() for text in (f"--{name}", str(n))]
+    assert sample_cli.main(["--output-dir", str(tmp_path), *given]) == 0
+    assert {n: log_table.read_table(spark, str(tmp_path / n)).count() for n in sizes} == sizes
+    assert "orders: version 0, 1 commits" in capsys.readouterr().out
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     from tableferry import session
 
