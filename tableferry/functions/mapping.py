@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,7 +125,7 @@ def convert(value: Column, source: T.DataType, target: T.DataType, zone: str = "
     return value.try_cast(target)
 
 
-def _lost(value: Column, converted: Column, source: T.DataType, target: T.DataType) -> Column:
+def loses(value: Column, converted: Column, source: T.DataType, target: T.DataType) -> Column:
     """True where the conversion dropped a value, also one inside an array, struct or map."""
     whole = value.isNotNull() & converted.isNull()
     if source == target or not (is_nested(source) and is_nested(target)):
@@ -132,34 +134,36 @@ def _lost(value: Column, converted: Column, source: T.DataType, target: T.DataTy
         present = {f.name: f.dataType for f in source.fields}
         for f in target.fields:
             if f.name in present:
-                whole = whole | _lost(value.getField(f.name), converted.getField(f.name), present[f.name], f.dataType)
+                whole = whole | loses(value.getField(f.name), converted.getField(f.name), present[f.name], f.dataType)
         return F.coalesce(whole, F.lit(False))
     if isinstance(source, T.ArrayType):
         pairs = F.arrays_zip(value.alias("a"), converted.alias("b"))
-        inner = F.exists(pairs, lambda p: _lost(p["a"], p["b"], source.elementType, target.elementType))
+        inner = F.exists(pairs, lambda p: loses(p["a"], p["b"], source.elementType, target.elementType))
         return F.coalesce(whole | inner, whole)
     pairs = F.arrays_zip(F.map_entries(value).alias("a"), F.map_entries(converted).alias("b"))
-    inner = F.exists(pairs, lambda p: _lost(p["a"]["value"], p["b"]["value"], source.valueType, target.valueType))
+    inner = F.exists(pairs, lambda p: loses(p["a"]["value"], p["b"]["value"], source.valueType, target.valueType))
     return F.coalesce(whole | inner, whole)
 
 
-def _mapped_columns(df: DataFrame, target: T.StructType, zone: str):
-    """Per target field: the field, its converted column and the condition under which a row is bad."""
+def _converted(df: DataFrame, target: T.StructType, zone: str) -> tuple[DataFrame, list[Column]]:
+    """Source columns beside their converted forms ``__0, __1, ..``, and per target field when a row is bad.
+
+    Conversion has its own projection: results are used both as values and to
+    tell bad rows, and Spark keeps projections apart rather than compute twice.
+    """
     sources = {f.name: f.dataType for f in df.schema.fields}
-    for field in target.fields:
+    converted, bad = [], []
+    for position, field in enumerate(target.fields):
+        name = f"__{position}"
         if field.name not in sources:
-            yield field, F.lit(None).cast(field.dataType), F.lit(not field.nullable)
+            converted.append(F.lit(None).cast(field.dataType).alias(name))
+            bad.append(F.lit(not field.nullable))
             continue
-        value = quoted(field.name)
-        converted = convert(value, sources[field.name], field.dataType, zone)
-        bad = (
-            F.lit(False)
-            if sources[field.name] == field.dataType
-            else _lost(value, converted, sources[field.name], field.dataType)
-        )
-        if not field.nullable:
-            bad = bad | value.isNull()
-        yield field, converted, bad
+        value, kind = quoted(field.name), sources[field.name]
+        converted.append(convert(value, kind, field.dataType, zone).alias(name))
+        wrong = F.lit(False) if kind == field.dataType else loses(value, F.col(name), kind, field.dataType)
+        bad.append(wrong if field.nullable else wrong | value.isNull())
+    return df.select(*[quoted(c) for c in df.columns], *converted), bad
 
 
 def map_schema(df: DataFrame, target: T.StructType, zone: str = "UTC", allow_missing: bool = True) -> DataFrame:
@@ -169,21 +173,27 @@ def map_schema(df: DataFrame, target: T.StructType, zone: str = "UTC", allow_mis
     requires; absent nullable ones become null unless ``allow_missing`` is off.
     """
     _check_names(df, target, allow_missing)
+    both, bad = _converted(df, target, zone)
     columns = []
-    for field, converted, bad in _mapped_columns(df, target, zone):
-        complaint = F.raise_error(F.lit(f"column {field.name} holds a value that does not fit {field.dataType.simpleString()}"))
-        columns.append(F.when(bad, complaint.cast(field.dataType)).otherwise(converted).alias(field.name))
-    return df.select(*columns)
+    for position, field in enumerate(target.fields):
+        wanted = field.dataType.simpleString()
+        complaint = F.raise_error(F.lit(f"column {field.name} holds a value that does not fit {wanted}"))
+        good = F.when(bad[position], complaint.cast(field.dataType)).otherwise(F.col(f"__{position}"))
+        columns.append(good.alias(field.name))
+    return both.select(*columns)
 
 
 def map_schema_flagged(df: DataFrame, target: T.StructType, zone: str = "UTC") -> DataFrame:
     """Like ``map_schema`` but bad values become null and ``_rejects`` names their columns."""
     _check_names(df, target, True)
-    mapped = list(_mapped_columns(df, target, zone))
-    rejects = F.filter(
-        F.array(*[F.when(bad, F.lit(field.name)) for field, _, bad in mapped]), lambda name: name.isNotNull()
+    both, bad = _converted(df, target, zone)
+    named = F.array(*[F.when(wrong, F.lit(field.name)) for field, wrong in zip(target.fields, bad)])
+    # Only a bad row pays for naming its columns.
+    rejects = F.when(reduce(lambda left, right: left | right, bad), F.array_compact(named)).otherwise(
+        F.array().cast("array<string>")
     )
-    return df.select(*[converted.alias(field.name) for field, converted, _ in mapped], rejects.alias(REJECTS))
+    columns = [F.col(f"__{position}").alias(field.name) for position, field in enumerate(target.fields)]
+    return both.select(*columns, rejects.alias(REJECTS))
 
 
 def split_rejects(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:

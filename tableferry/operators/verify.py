@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.functions.mapping import convert, schema_differences
+from tableferry.functions.mapping import convert, loses, schema_differences
 from tableferry.functions.nested import is_nested, quoted
+from tableferry.session import empty_frame
 
 
 def verify_counts(source: DataFrame, target: DataFrame, before: int = 0) -> DataFrame:
@@ -161,7 +162,7 @@ def schema_diff(source: DataFrame, target: T.StructType, zone: str = "UTC") -> D
     differences = schema_differences(source.schema, target)
     schema = "column_name string, source_type string, target_type string, issue string, lossy_rows bigint"
     if not differences:
-        return source.sparkSession.createDataFrame([], schema)
+        return empty_frame(source.sparkSession, schema)
     lossy = []
     for position, (name, _, _, issue) in enumerate(differences):
         if issue == "only in source":
@@ -170,8 +171,8 @@ def schema_diff(source: DataFrame, target: T.StructType, zone: str = "UTC") -> D
             count = F.lit(0).cast("bigint") if target[name].nullable else F.count("*")
         elif issue == "type differs":
             value = quoted(name)
-            converted = convert(value, source.schema[name].dataType, target[name].dataType, zone)
-            count = F.count_if(value.isNotNull() & converted.isNull())
+            kinds = source.schema[name].dataType, target[name].dataType
+            count = F.count_if(loses(value, convert(value, *kinds, zone), *kinds))
         else:
             count = F.count_if(quoted(name).isNull())
         lossy.append(count.alias(f"__{position}"))

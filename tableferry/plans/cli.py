@@ -1,4 +1,4 @@
-"""Command line for moving one table or a batch: ``spark-submit tableferry/plans/cli.py ...``.
+"""Command line for moving one table or a batch: ``spark-submit move_tables.py ...``.
 
 Exits with 1 when a table failed and with 2 on wrong arguments.
 """

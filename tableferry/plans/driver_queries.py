@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tableferry.functions import draws, mapping, nested, size
 from tableferry.operators import incremental, layout, load, quality, verify
 from tableferry.plans import move, reports, sample_tables
-from tableferry.session import scratch_path, scratch_root
+from tableferry.session import scratch_path, scratch_root, text_frame
 from tableferry.sources import catalog, files, log_table
 from tableferry.streaming import append
 
@@ -803,7 +803,7 @@ def _batch(spark, sf_dir) -> DataFrame:
         for name in [MOVED[0], "absent", *MOVED[1:]]
     ]
     config = f"{root}-config"
-    spark.createDataFrame([(json.dumps(entries),)], "value string").coalesce(1).write.text(config)
+    text_frame(spark, [json.dumps(entries)]).write.text(config)
     return move.move_all(spark, config, parallel=2)
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import time
-from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -16,7 +16,7 @@ from tableferry.functions.mapping import map_schema, target_schema
 from tableferry.operators.incremental import incremental, rows_not_in
 from tableferry.operators.load import LoadResult, load_direct, load_staged, remove_stage
 from tableferry.operators.verify import verify_counts
-from tableferry.session import has_source, scratch_root
+from tableferry.session import has_source, scratch_root, text_frame
 from tableferry.sources.batch_config import read_config
 from tableferry.sources.catalog import Definition, create_schema, quote_name, table_exists
 from tableferry.sources.log_table import (
@@ -197,8 +197,9 @@ def run_job(
     return outcome
 
 
-def _results(spark: SparkSession, outcomes: Iterable[dict]) -> DataFrame:
-    return spark.createDataFrame([tuple(o.values()) for o in outcomes], RESULT_SCHEMA)
+def _results(spark: SparkSession, outcomes: list[dict]) -> DataFrame:
+    lines = text_frame(spark, [json.dumps(o) for o in outcomes])
+    return lines.select(F.from_json("value", RESULT_SCHEMA).alias("row")).select("row.*")
 
 
 def move_table(spark: SparkSession, job: Job, **flags: bool) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Write the sample tables as log tables: ``spark-submit tableferry/plans/sample_cli.py --output-dir DIR``."""
+"""Write the sample tables as log tables: ``spark-submit make_sample_tables.py --output-dir DIR``."""
 
 from __future__ import annotations
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings the loads rely on. Sizes that depend on the cluster (executors,
 # memory, initial shuffle width) belong in conf/cluster.conf, not in code.
@@ -63,3 +65,14 @@ def has_source(spark: SparkSession, name: str) -> bool:
         return True
     except Exception:
         return False
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """A frame without rows that is planned away, unlike one made from an empty Python list."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def text_frame(spark: SparkSession, lines: list[str]) -> DataFrame:
+    """A few lines as a column ``value``, held in the plan."""
+    return spark.range(0, 1, 1, 1).select(F.explode(F.array(*map(F.lit, lines))).alias("value"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableferry.session import empty_frame
+
 FILE_COLUMNS = "path string, size bigint, modified timestamp"
 
 
@@ -48,7 +50,7 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
     The listing is taken when this function is called, not when the frame is used.
     """
     if not path_exists(spark, path):
-        return spark.createDataFrame([], FILE_COLUMNS)
+        return empty_frame(spark, FILE_COLUMNS)
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)

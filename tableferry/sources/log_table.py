@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.session import has_source
+from tableferry.session import empty_frame, has_source, text_frame
 from tableferry.sources.files import (
     decode_uri,
     encode_uri,
@@ -268,7 +268,7 @@ def scan_snapshot(
     # One row more than allowed tells whether naming the files is possible.
     named = files.select("path", _folders_follow_values(log).alias("in_folders")).limit(max_named_files + 1).collect()
     if not named:
-        return spark.createDataFrame([], log.schema)
+        return empty_frame(spark, log.schema)
     columns = [F.col(f"`{name}`") for name in log.schema.names]
     few = len(named) <= max_named_files
     if few and all(row.in_folders for row in named):
@@ -290,7 +290,7 @@ def _scan_keyed(log: TableLog, keyed: DataFrame, schema: T.StructType, named: li
     """
     spark = keyed.sparkSession
     if named == []:
-        scan = spark.createDataFrame([], schema).withColumn("__path", F.lit(""))
+        scan = empty_frame(spark, schema).withColumn("__path", F.lit(""))
         return scan.join(keyed, "__path")
     places = _outer_folders(log, keyed) if named is None else sorted(set(named))
     scan = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*places)
@@ -375,7 +375,7 @@ def log_history(spark: SparkSession, path: str) -> DataFrame:
     names = _log_names(spark, path)
     versions = [int(m[1]) for m in (re.match(COMMIT_NAME, n) for n in names) if m]
     if not versions:
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+        return empty_frame(spark, HISTORY_SCHEMA)
     return (
         _commits(spark, path, min(versions), max(versions))
         .groupBy("version")
@@ -563,7 +563,7 @@ def _commit_files(df, path, mode, partition_by, previous, written) -> int:
             "createdTime": now,
         }
         lines.append({"metaData": metadata})
-    commit = spark.createDataFrame([(json.dumps(line),) for line in lines], "value string").unionByName(adds)
+    commit = text_frame(spark, [json.dumps(line) for line in lines]).unionByName(adds)
     if previous is not None and mode == "overwrite":
         removes = live_files(previous).select(
             _action(
@@ -593,6 +593,7 @@ def _written_files(df: DataFrame, path: str, started: float) -> DataFrame:
     modified = F.col("_metadata.file_modification_time")
     return (
         df.sparkSession.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
         .schema(df.schema)
         .parquet(path)
         .filter(modified > F.timestamp_seconds(F.lit(started - 3600.0)))
