@@ -19,6 +19,7 @@ from tableferry.operators.verify import verify_counts
 from tableferry.session import has_source, scratch_root, text_frame
 from tableferry.sources.batch_config import read_config
 from tableferry.sources.catalog import Definition, create_schema, quote_name, table_exists
+from tableferry.sources.files import path_exists
 from tableferry.sources.log_table import (
     TableLog,
     latest_version,
@@ -97,7 +98,7 @@ def _read_source(spark: SparkSession, job: Job) -> tuple[DataFrame, int | None]:
         try:
             opened = open_log(spark, path, version)
         except FileNotFoundError:
-            if version is not None:
+            if version is not None or not path_exists(spark, path):
                 raise
             source = read_table(spark, path, fmt="parquet")
         else:

@@ -50,9 +50,8 @@ COMMIT_NAME = r"^(\d{20})\.json$"
 CHECKPOINT_NAME = r"^(\d{20})\.checkpoint(?:\.(\d{10})\.(\d{10}))?\.parquet$"
 HARMLESS_READER_FEATURES = {"timestampNtz", "vacuumProtocolCheck"}
 
-# Up to this many live files are handed to the scan by name and may be
-# broadcast (about 300 bytes each, so under 60 MB). Beyond it the scan lists
-# the folders in parallel and joins with the live files on their location.
+# Up to this many files are handed to a scan by name, or broadcast as a list
+# (about 300 bytes each, so under 60 MB). See scan_snapshot for what happens beyond.
 MAX_NAMED_FILES = 200_000
 
 HISTORY_SCHEMA = "version bigint, committed_at timestamp, operation string, added bigint, removed bigint"
@@ -245,10 +244,15 @@ def snapshot_files(spark: SparkSession, path: str, version: int | None = None) -
     )
 
 
+def _in_place(log: TableLog) -> tuple[Column, str]:
+    """Location of a file below the root, and the pattern it has when folders spell the partition columns."""
+    relative = F.substring(F.col("path"), len(log.root) + 2, 1 << 30)
+    return relative, "^" + "".join(f"{re.escape(name)}=([^/]*)/" for name in log.partition_columns) + "[^/]*$"
+
+
 def _folders_follow_values(log: TableLog) -> Column:
     """True for a file whose folders spell its logged partition values, so Spark can read them from the path."""
-    relative = F.substring(F.col("path"), len(log.root) + 2, 1 << 30)
-    pattern = "^" + "".join(f"{re.escape(name)}=([^/]*)/" for name in log.partition_columns) + "[^/]*$"
+    relative, pattern = _in_place(log)
     agrees = F.col("path").startswith(log.root + "/") & relative.rlike(pattern)
     for position, name in enumerate(log.partition_columns, start=1):
         spelled = decode_uri(F.regexp_extract(relative, pattern, position))
@@ -263,7 +267,16 @@ def scan_snapshot(
     where: str | Column | None = None,
     max_named_files: int = MAX_NAMED_FILES,
 ) -> DataFrame:
-    """Rows of the live files, in schema order; only these files are scanned."""
+    """Rows of the live files, in schema order.
+
+    1. Few enough live files: the scan gets them by name.
+    2. More, but the folder holds few files that are not live: the folder is
+       scanned, and rows of the others are dropped by a broadcast list.
+    3. Otherwise the folders are scanned and joined with the live files.
+
+    Where folders spell the partition values, 1 and 2 leave them to Spark, so
+    that later filters on them prune files. If not, a join by file attaches them.
+    """
     files = live_files(log, where)
     # One row more than allowed tells whether naming the files is possible.
     named = files.select("path", _folders_follow_values(log).alias("in_folders")).limit(max_named_files + 1).collect()
@@ -272,16 +285,38 @@ def scan_snapshot(
     columns = [F.col(f"`{name}`") for name in log.schema.names]
     few = len(named) <= max_named_files
     if few and all(row.in_folders for row in named):
-        # Spark takes the partition values from the folders, so filters on them prune files.
         reader = spark.read.schema(log.schema)
         if log.partition_columns:
             reader = reader.option("basePath", log.root)
         return reader.parquet(*[row.path for row in named]).select(*columns)
+    if not few:
+        rows = _scan_folder(spark, log, max_named_files)
+        if rows is not None:
+            return (rows if where is None else rows.filter(where)).select(*columns)
     schema = T.StructType([f for f in log.schema.fields if f.name not in log.partition_columns])
     keyed = files.select(F.col("path").alias("__path"), *log.partition_columns)
     return _scan_keyed(log, keyed, schema, [row.path for row in named] if few else None).select(*columns)
 
 
+def _scan_folder(spark: SparkSession, log: TableLog, max_named_files: int) -> DataFrame | None:
+    """Rows of the table's folder without those of files that are not live, or ``None`` where that is not possible."""
+    live = live_files(log)
+    if not live.agg(F.bool_and(_folders_follow_values(log)).alias("all")).first().all:
+        return None
+    relative, pattern = _in_place(log)
+    stale = list_files(spark, log.root).join(live.select("path"), "path", "left_anti")
+    found = stale.select(relative.rlike(pattern).alias("in_place")).limit(max_named_files + 1).agg(
+        F.count("*").alias("files"), F.bool_and("in_place").alias("in_place")
+    ).first()
+    if found.files > max_named_files or found.in_place is False:
+        return None
+    scan = spark.read.schema(log.schema).parquet(log.root)
+    if found.files == 0:
+        return scan
+    stale_paths = F.broadcast(stale.select(F.col("path").alias("__path")))
+    return scan.withColumn("__path", row_location()).join(stale_paths, "__path", "left_anti")
+
+
 def _scan_keyed(log: TableLog, keyed: DataFrame, schema: T.StructType, named: list[str] | None) -> DataFrame:
     """Rows of the files in ``keyed.__path`` joined with the other columns of ``keyed``.
 

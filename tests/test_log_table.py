@@ -110,13 +110,44 @@ def test_partition_values_follow_folders_or_not(spark, lake):
     assert lake.ids(where="k is null") == [3]
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_more_files_than_can_be_named(spark, lake):
     for name in "abc":
         lake.file(f"{name}.parquet", [ord(name)], "both")
     lake.commit(0, PROTOCOL, metadata(), add("a.parquet"), add("b.parquet"), add("c.parquet"))
+    log = log_table.open_log(spark, lake.path)
+    nothing_stale = log_table.scan_snapshot(spark, log, max_named_files=1)
+    assert nothing_stale.count() == 3 and "Join" not in executed(nothing_stale)
     lake.commit(1, remove("b.parquet"))
     log = log_table.open_log(spark, lake.path)
-    assert rows(log_table.scan_snapshot(spark, log, max_named_files=1), "id") == [(97, "k97"), (99, "k99")]
+    expected = [(97, "k97"), (99, "k99")]
+    one_stale = log_table.scan_snapshot(spark, log, max_named_files=1)
+    assert rows(one_stale, "id") == expected and "LeftAnti" in executed(one_stale)
+    many_stale = log_table.scan_snapshot(spark, log, max_named_files=0)
+    assert rows(many_stale, "id") == expected and "Inner" in executed(many_stale)
+
+
+@pytest.mark.parametrize("limit", [0, 1, 2, 9])
+def test_partitioned_scan_is_the_same_every_way(spark, tmp_path, limit):
+    path = str(tmp_path / "made")
+    frame = spark.createDataFrame([(1, "x/y %"), (2, None), (3, "z")], "id int, k string")
+    log_table.write_log_table(frame.filter("id = 1"), path, partition_by=("k",))
+    log_table.write_log_table(frame, path, "overwrite", ("k",))
+    log = log_table.open_log(spark, path)
+    scan = log_table.scan_snapshot(spark, log, max_named_files=limit)
+    assert rows(scan, "id") == rows(frame, "id")
+    assert rows(scan.filter("k = 'x/y %'"), "id") == [(1, "x/y %")]
+    assert rows(log_table.scan_snapshot(spark, log, "k is null", max_named_files=limit)) == [(2, None)]
+    # A stray file outside the partition folders rules out scanning the folder.
+    (tmp_path / "made" / "odd").mkdir()
+    next((tmp_path / "made" / "k=z").glob("*.parquet")).rename(tmp_path / "moved")
+    (tmp_path / "moved").rename(tmp_path / "made" / "odd" / "stray.parquet")
+    log_table.write_log_table(frame, path, "overwrite", ("k",))
+    log = log_table.open_log(spark, path)
+    assert rows(log_table.scan_snapshot(spark, log, max_named_files=limit), "id") == rows(frame, "id")
 
 
 def test_absolute_and_uri_paths(spark, lake, tmp_path):
