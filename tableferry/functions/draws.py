@@ -16,7 +16,8 @@ DRAW_PRIME = 2_147_483_629
 def factors(seed: int, label: str) -> tuple[int, ...]:
     """Five multipliers and offsets that set one use of a seed apart from another."""
     digest = hashlib.md5(f"{seed}:{label}".encode(), usedforsecurity=False).digest()
-    return tuple(1 + int.from_bytes(digest[3 * i : 3 * i + 4], "big") % (2**29 if i == 1 else 2**31 - 64) for i in range(5))
+    limits = (2**31 - 64, 2**29, 2**31 - 64, 2**31 - 64, 2**31 - 64)
+    return tuple(1 + int.from_bytes(digest[3 * i : 3 * i + 4], "big") % limit for i, limit in enumerate(limits))
 
 
 def draw(key: Column, seed: int, label: str) -> Column:
@@ -62,7 +63,8 @@ def orderings(values: list[str], most: int) -> list[tuple[str, ...]]:
 def pick_some(key: Column, seed: int, label: str, values: list[str], most: int) -> Column:
     """Between none and ``most`` different values of a short list, in random order."""
     ways = orderings(values, most)
-    drawn = F.element_at(F.array(*[F.array(*map(F.lit, way)) for way in ways]), draw_int(key, seed, label, 1, len(ways)))
+    choices = F.array(*[F.array(*map(F.lit, way)) for way in ways])
+    drawn = F.element_at(choices, draw_int(key, seed, label, 1, len(ways)))
     return F.slice(drawn, 1, draw_int(key, seed, f"{label}.count", 0, most))
 
 

@@ -42,15 +42,16 @@ def arrange(
     identical rows, is spread over several ranges; it repeats on a retried task.
     Bucketed: rebalanced by the bucket columns, so a bucket comes from few tasks.
     """
+    partition_columns, cluster_columns = [quoted(c) for c in partition_by], [quoted(c) for c in cluster_by]
     if partition_by:
-        return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+        return df.hint("rebalance", *partition_columns).sortWithinPartitions(*partition_columns, *cluster_columns)
     if bucketed:
-        return df.hint("rebalance", *cluster_by)
+        return df.hint("rebalance", *cluster_columns)
     if cluster_by:
         return (
             df.withColumn(TIE, F.spark_partition_id())
-            .repartitionByRange(*cluster_by, TIE)
-            .sortWithinPartitions(*cluster_by)
+            .repartitionByRange(*cluster_columns, TIE)
+            .sortWithinPartitions(*cluster_columns)
             .drop(TIE)
         )
     return df

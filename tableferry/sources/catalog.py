@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,10 @@ def quote_name(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.replace("`", "").split("."))
 
 
+def quote_column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -62,11 +67,11 @@ def create_table(
     statement = [f"CREATE TABLE {quote_name(name)} ({columns}) USING parquet"]
     properties = dict(definition.properties)
     if definition.partition_by:
-        statement.append(f"PARTITIONED BY ({', '.join(quote_name(c) for c in definition.partition_by)})")
+        statement.append(f"PARTITIONED BY ({', '.join(quote_column(c) for c in definition.partition_by)})")
     if definition.cluster_by:
         properties[CLUSTER_PROPERTY] = ",".join(definition.cluster_by)
         if definition.buckets:
-            names = ", ".join(quote_name(c) for c in definition.cluster_by)
+            names = ", ".join(quote_column(c) for c in definition.cluster_by)
             statement.append(f"CLUSTERED BY ({names}) SORTED BY ({names}) INTO {definition.buckets} BUCKETS")
             properties[BUCKET_PROPERTY] = str(definition.buckets)
     if definition.comment:
@@ -123,7 +128,7 @@ def expire_partitions(spark: SparkSession, name: str, column: str, before: str)
     Only partition names reach the driver; their number is that of the table's
     date partitions.
     """
-    value = decode_uri(F.regexp_extract("partition", f"(?:^|/){column}=([^/]*)", 1))
+    value = decode_uri(F.regexp_extract("partition", f"(?:^|/){re.escape(column)}=([^/]*)", 1))
     day = F.try_to_date(value, "yyyy-MM-dd")
     old = (
         spark.sql(f"SHOW PARTITIONS {quote_name(name)}")
@@ -133,7 +138,7 @@ def expire_partitions(spark: SparkSession, name: str, column: str, before: str)
         .collect()
     )
     if old:
-        specs = ", ".join(f"PARTITION ({quote_name(column)} = {_text(r.value)})" for r in old)
+        specs = ", ".join(f"PARTITION ({quote_column(column)} = {_text(r.value)})" for r in old)
         spark.sql(f"ALTER TABLE {quote_name(name)} DROP IF EXISTS {specs}")
     return len(old)
 

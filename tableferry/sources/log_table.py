@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableferry.functions.nested import quoted
 from tableferry.session import empty_frame, has_source, text_frame
 from tableferry.sources.files import (
     decode_uri,
@@ -54,7 +55,8 @@ HARMLESS_READER_FEATURES = {"timestampNtz", "vacuumProtocolCheck"}
 # (about 300 bytes each, so under 60 MB). See scan_snapshot for what happens beyond.
 MAX_NAMED_FILES = 200_000
 
-HISTORY_SCHEMA = "version bigint, committed_at timestamp, operation string, added bigint, removed bigint"
+HISTORY_SCHEMA = """
+  version bigint, committed_at timestamp, operation string, added bigint, removed bigint, added_records bigint"""
 
 
 class UnsupportedTable(ValueError):
@@ -195,7 +197,7 @@ def _file_location(root: str, path: Column) -> Column:
 
 
 def live_files(log: TableLog, where: str | Column | None = None) -> DataFrame:
-    """Live data files: ``path, version, size, num_records, partition_values`` and one typed column per partition column.
+    """Live data files: ``path, version, size, num_records, partition_values`` and each partition column, typed.
 
     The last action on a path decides. ``max_by`` is combined before the
     shuffle, so no path's history is gathered or sorted. ``where`` filters on
@@ -206,15 +208,14 @@ def live_files(log: TableLog, where: str | Column | None = None) -> DataFrame:
         F.struct("remove.path", "remove.partitionValues", "remove.size", F.lit(None).cast("string").alias("stats")),
     )
     is_add = F.col("add").isNotNull()
+    # Within one commit an add outranks a remove of the same path.
+    rank = F.col("version") * 2 + F.col("is_add").cast("int")
     last = (
         log.actions.filter(is_add | F.col("remove").isNotNull())
         .select("version", is_add.alias("is_add"), action.alias("file"))
         .select("version", "is_add", "file", _file_location(log.root, F.col("file.path")).alias("path"))
         .groupBy("path")
-        # Within one commit an add outranks a remove of the same path.
-        .agg(
-            F.max_by(F.struct("version", "is_add", "file"), F.col("version") * 2 + F.col("is_add").cast("int")).alias("a")
-        )
+        .agg(F.max_by(F.struct("version", "is_add", "file"), rank).alias("a"))
         .filter("a.is_add")
     )
     values = F.col("a.file.partitionValues")
@@ -222,13 +223,17 @@ def live_files(log: TableLog, where: str | Column | None = None) -> DataFrame:
         "path",
         F.col("a.version").alias("version"),
         F.col("a.file.size").alias("size"),
-        F.get_json_object("a.file.stats", "$.numRecords").cast("bigint").alias("num_records"),
+        _num_records(F.col("a.file.stats")).alias("num_records"),
         values.alias("partition_values"),
         *_partition_columns(log, values),
     )
     return files if where is None else files.filter(where)
 
 
+def _num_records(stats: Column) -> Column:
+    return F.get_json_object(stats, "$.numRecords").cast("bigint")
+
+
 def _partition_columns(log: TableLog, values: Column) -> list[Column]:
     """Partition values live in the log as text; the empty string stands for null."""
     return [
@@ -282,7 +287,7 @@ def scan_snapshot(
     named = files.select("path", _folders_follow_values(log).alias("in_folders")).limit(max_named_files + 1).collect()
     if not named:
         return empty_frame(spark, log.schema)
-    columns = [F.col(f"`{name}`") for name in log.schema.names]
+    columns = [quoted(name) for name in log.schema.names]
     few = len(named) <= max_named_files
     if few and all(row.in_folders for row in named):
         reader = spark.read.schema(log.schema)
@@ -294,7 +299,7 @@ def scan_snapshot(
         if rows is not None:
             return (rows if where is None else rows.filter(where)).select(*columns)
     schema = T.StructType([f for f in log.schema.fields if f.name not in log.partition_columns])
-    keyed = files.select(F.col("path").alias("__path"), *log.partition_columns)
+    keyed = files.select(F.col("path").alias("__path"), *[quoted(name) for name in log.partition_columns])
     return _scan_keyed(log, keyed, schema, [row.path for row in named] if few else None).select(*columns)
 
 
@@ -405,7 +410,7 @@ def log_detail(log: TableLog) -> DataFrame:
 
 
 def log_history(spark: SparkSession, path: str) -> DataFrame:
-    """One row per commit file still in the log."""
+    """One row per commit file still in the log: time, operation, files added and removed, records in added files."""
     path, _ = split_version(path)
     names = _log_names(spark, path)
     versions = [int(m[1]) for m in (re.match(COMMIT_NAME, n) for n in names) if m]
@@ -419,6 +424,7 @@ def log_history(spark: SparkSession, path: str) -> DataFrame:
             F.max("commitInfo.operation").alias("operation"),
             F.count("add").alias("added"),
             F.count("remove").alias("removed"),
+            F.sum(_num_records(F.col("add.stats"))).alias("added_records"),
         )
     )
 
@@ -503,7 +509,7 @@ def read_changes(spark: SparkSession, path: str, after: int, until: int | None =
         if kind is not None:
             scan = scan.withColumn("_change_type", F.lit(kind))
         return scan.select(
-            *[F.col(f"`{name}`") for name in log.schema.names], "_change_type", "_commit_version", "_commit_timestamp"
+            *[quoted(name) for name in log.schema.names], "_change_type", "_commit_version", "_commit_timestamp"
         )
 
     return (
@@ -562,9 +568,8 @@ def write_manifest(spark: SparkSession, path: str) -> str:
     """List the live files as text below the table, one folder per partition, for engines that read manifests."""
     log = open_log(spark, path)
     target = f"{log.root}/_symlink_format_manifest"
-    live_files(log).select("path", *log.partition_columns).write.mode("overwrite").partitionBy(
-        *log.partition_columns
-    ).text(target)
+    listed = live_files(log).select("path", *[quoted(name) for name in log.partition_columns])
+    listed.write.mode("overwrite").partitionBy(*log.partition_columns).text(target)
     return target
 
 

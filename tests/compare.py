@@ -10,6 +10,16 @@ from decimal import Decimal
 import duckdb
 
 
+SAME_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def connect(sf_dir: str):
     con = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
@@ -46,8 +56,7 @@ def differences(frame, con, sql: str) -> list[str]:
     bad = [(a, b) for a, b in zip(ours, theirs) if a != b]
     if bad:
         problems.append(f"{len(bad)} rows differ, first {bad[0]}")
-    widths = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
     for name, kind in frame.dtypes:
-        if kind in widths and widths[kind] not in kinds[name].upper() and kinds[name] not in ("NUMBER", "STRING", "BOOL"):
+        if kind in SAME_TYPES and kinds[name] != SAME_TYPES[kind]:
             problems.append(f"type of {name}: {kind} against {kinds[name]}")
     return problems

@@ -15,7 +15,12 @@ from tableferry.session import build_session
 sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.001'}"
 spark = build_session(
     "queries",
-    **{"spark.master": "local[8]", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"},
+    **{
+        "spark.master": "local[8]",
+        "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g",
+    },
 )
 spark.sparkContext.setLogLevel("ERROR")
 con = connect(sf_dir)
@@ -32,5 +37,6 @@ for name, run in contract.queries().items():
         traceback.print_exc(limit=-3)
         problems = [str(error)[:500]]
     failed += bool(problems)
-    print(f"{'FAIL' if problems else 'ok  '} {name:32s} {time.time() - started:6.2f}s {'' if name in oracles else 'rows only'}", *problems, flush=True)
+    state, note = "FAIL" if problems else "ok  ", "" if name in oracles else "rows only"
+    print(f"{state} {name:32s} {time.time() - started:6.2f}s {note}", *problems, flush=True)
 print("failed", failed)

@@ -25,7 +25,7 @@ def edges(spark):
 def test_nested_to_json_defaults(edges):
     text = nested.nested_to_json(edges)
     assert text.columns == edges.columns
-    assert [f.dataType.simpleString() for f in text.schema.fields] == ["int", "string", "string", "string", "double"]
+    assert [kind for _, kind in text.dtypes] == ["int", "string", "string", "string", "double"]
     found = [tuple(r)[1:4] for r in text.orderBy("id").collect()]
     assert found == [
         ('{"a":1,"t":"2025-01-01T10:00:00.123Z"}', '["x",null]', '{"7":"seven"}'),
@@ -173,7 +173,8 @@ def test_schema_differences():
 
 
 def test_row_size_counts_bytes_not_characters(spark):
-    frame = spark.createDataFrame([(1, "é" * 5, [1, 2]), (2, "e" * 5, None), (None, None, None)], "i int, s string, l array<int>")
+    values = [(1, "é" * 5, [1, 2]), (2, "e" * 5, None), (None, None, None)]
+    frame = spark.createDataFrame(values, "i int, s string, l array<int>")
     sizes = [r[0] for r in frame.select(size.row_bytes(frame.schema)).collect()]
     assert sizes == [4 + 10 + 5, 4 + 5, 0]
     assert rows(size.oversized(frame, 9).select("i", "row_bytes")) == [(1, 19)]

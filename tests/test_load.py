@@ -107,7 +107,8 @@ def test_overwrite_keeps_layout_and_may_read_itself(spark, schema):
 def test_failed_overwrite_leaves_the_old_table(spark, schema):
     name = f"{schema}.t"
     load.write_table(spark.range(3), name)
-    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("boom")).cast("bigint")).otherwise(0).alias("id"))
+    failure = F.raise_error(F.lit("boom")).cast("bigint")
+    broken = spark.range(3).select(F.when(F.col("id") == 2, failure).otherwise(0).alias("id"))
     with pytest.raises(Exception, match="boom"):
         load.write_table(broken, name)
     assert spark.table(name).count() == 3
@@ -133,6 +134,14 @@ def test_strict_load_refuses_a_bad_cast(spark, schema):
     assert spark.table(name).count() == 1
 
 
+def test_odd_column_names(spark, schema):
+    frame = spark.sql("SELECT id, CAST(id % 2 AS string) AS `a.b`, id AS `c d` FROM range(10)")
+    load.write_table(frame, f"{schema}.p", definition=Definition(("a.b",), ("c d",)))
+    load.write_table(frame, f"{schema}.c", definition=Definition((), ("a.b", "c d")))
+    for name in "pc":
+        assert rows(spark.table(f"{schema}.{name}").select("id", "`a.b`", "`c d`"), "id") == rows(frame, "id")
+
+
 def test_staged_load(spark, schema, tmp_path):
     name = f"{schema}.t"
     frame = spark.sql("SELECT 1 AS id, array(1, 2) AS l")
@@ -185,13 +194,32 @@ def test_partitioned_table_prunes_and_expires(spark, schema):
     load.load_direct(frame, name, definition=Definition(("day",), ("id",)), shrink="rebalance")
     assert spark.sql(f"SHOW PARTITIONS {name}").count() == 7
     pruned = spark.table(name).filter("day = date'2025-01-02' AND id > 30")
-    assert "PartitionFilters: [isnotnull(day" in plan(pruned) and "PushedFilters: [IsNotNull(id), GreaterThan(id,30)]" in plan(pruned)
+    assert "PartitionFilters: [isnotnull(day" in plan(pruned)
+    assert "PushedFilters: [IsNotNull(id), GreaterThan(id,30)]" in plan(pruned)
     assert pruned.count() == 5
     assert catalog.expire_partitions(spark, name, "day", "2025-01-03") == 2
     assert spark.table(name).count() == 41
     assert catalog.expire_partitions(spark, name, "day", "2025-01-03") == 0
 
 
+def test_hot_partition_is_split_over_tasks(spark, schema):
+    """One day holds nearly all rows; rebalancing writes it from several tasks instead of one."""
+    frame = spark.range(0, 200_000, 1, 8).select(
+        F.md5(F.col("id").cast("string").cast("binary")).alias("text"),
+        F.when(F.col("id") % 20 > 0, "2025-01-01").otherwise("2025-01-02").cast("date").alias("day"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        load.write_table(frame, f"{schema}.t", definition=Definition(("day",), ("text",)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.table(f"{schema}.t").groupBy("day").agg(F.count_distinct("_metadata.file_path").alias("n"))
+    found = {str(r.day): r.n for r in files.collect()}
+    assert found["2025-01-01"] >= 4
+    assert found["2025-01-02"] <= 2
+    assert spark.table(f"{schema}.t").count() == 200_000
+
+
 def test_bucketed_tables_join_without_shuffle(spark, schema):
     definition = Definition(cluster_by=("id",), buckets=4)
     for name in "ab":

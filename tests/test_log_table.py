@@ -223,6 +223,14 @@ def test_column_mapping_mode_none_is_readable(lake):
     assert lake.ids() == [1]
 
 
+def test_partition_column_with_a_dot(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "a"), (2, "b")], "id int, `k.x` string")
+    log_table.write_log_table(frame, str(tmp_path / "made"), partition_by=("k.x",))
+    log = log_table.open_log(spark, str(tmp_path / "made"))
+    for limit in (0, 9):
+        assert rows(log_table.scan_snapshot(spark, log, max_named_files=limit), "id") == [(1, "a"), (2, "b")]
+
+
 def test_older_files_lack_new_columns(spark, lake):
     lake.file("a.parquet", [1])
     lake.file("b.parquet", [2], "both")
