@@ -73,6 +73,15 @@ def days_before(key: Column, seed: int, label: str, base_date: str, low: int, hi
     return F.date_format(F.date_sub(F.lit(base_date).cast("date"), draw_int(key, seed, label, low, high)), "yyyy-MM-dd")
 
 
+def filled(template: str, *values: Column) -> Column:
+    """Text with each ``{}`` replaced by a value."""
+    pieces = template.split("{}")
+    parts = [F.lit(pieces[0])]
+    for value, piece in zip(values, pieces[1:], strict=True):
+        parts += [value.cast("string"), F.lit(piece)]
+    return F.concat(*parts)
+
+
 def iso_text(moment: str) -> Column:
     """ISO text of a moment without zone, with microseconds."""
     return F.date_format(F.lit(moment).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

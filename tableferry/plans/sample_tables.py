@@ -6,12 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.functions.draws import days_before, draw_decimal, draw_int, iso_text, pick, pick_some, sub_key
+from tableferry.functions.draws import (
+    days_before,
+    draw_decimal,
+    draw_int,
+    filled,
+    iso_text,
+    pick,
+    pick_some,
+    sub_key,
+)
 from tableferry.sources.catalog import Definition
 
 BASE_DATE = "2025-01-01"
 
-# The vocabulary of the sample tables.
+# The vocabulary, text forms and ranges of the sample tables.
 FIRST_NAMES = ["John", "Jane", "Michael", "Sarah", "David", "Emily", "Robert", "Lisa"]
 LAST_NAMES = ["Smith", "Johnson", "Williams", "Brown", "Jones", "Garcia", "Miller", "Davis"]
 COUNTRIES = ["USA", "Canada", "UK", "Germany", "France"]
@@ -22,6 +31,32 @@ STATES = ["NY", "CA", "IL", "TX", "AZ"]
 CATEGORIES = ["Electronics", "Clothing", "Home & Garden", "Sports", "Books"]
 BRANDS = ["BrandA", "BrandB", "BrandC", "BrandD", "BrandE"]
 TAGS = ["new", "sale", "featured", "popular", "clearance"]
+EMAIL = "customer{}@example.com"
+PHONE = "+1-555-{}-{}"
+STREET = "{} Main St"
+PRODUCT_NAME = "Product {}"
+DESCRIPTION = "High quality product number {} with excellent features"
+WHOLE = {
+    "phone": (1000, 9999),
+    "registration_days": (1, 365),
+    "order_days": (1, 180),
+    "street": (100, 9999),
+    "zip": (10000, 99999),
+    "product_id": (1, 100),
+    "quantity": (1, 5),
+    "items": (1, 3),
+    "stock_quantity": (0, 1000),
+    "review_count": (0, 500),
+}
+DECIMAL = {
+    "lifetime_value": ("100", "10000", 2),
+    "order_amount": ("10", "1000", 2),
+    "item_price": ("10", "200", 2),
+    "price": ("9.99", "999.99", 2),
+    "cost": ("5", "500", 2),
+    "rating": ("1", "5", 1),
+}
+MOST_TAGS = 3
 
 # The warehouse schemas and layouts of these tables.
 CUSTOMERS_TARGET = """
@@ -77,84 +112,101 @@ def _ids(spark: SparkSession, count: int) -> DataFrame:
     return spark.range(1, count + 1)
 
 
-def _flag(key: Column, seed: int, label: str) -> Column:
-    return draw_int(key, seed, label, 0, 1) == 1
+class _Drawer:
+    """Draws of one table: the row's id and the seed are given once."""
+
+    def __init__(self, key: Column, seed: int, base_date: str):
+        self.key, self.seed, self.base_date = key, seed, base_date
+
+    def whole(self, label: str, of: str | None = None) -> Column:
+        return draw_int(self.key, self.seed, label, *WHOLE[of or label])
+
+    def decimal(self, label: str, of: str | None = None) -> Column:
+        return draw_decimal(self.key, self.seed, label, *DECIMAL[of or label])
+
+    def pick(self, label: str, values: list[str]) -> Column:
+        return pick(self.key, self.seed, label, values)
+
+    def flag(self, label: str) -> Column:
+        return draw_int(self.key, self.seed, label, 0, 1) == 1
+
+    def day(self, label: str, of: str) -> Column:
+        return days_before(self.key, self.seed, label, self.base_date, *WHOLE[of])
+
+    def made(self) -> Column:
+        return iso_text(f"{self.base_date} 00:00:00")
 
 
 def customers_for(ids: DataFrame, seed: int = 0, base_date: str = BASE_DATE) -> DataFrame:
     """One sample customer per row of ``ids`` (column ``id``)."""
     key = F.col("id")
-    made = iso_text(f"{base_date} 00:00:00")
+    draw = _Drawer(key, seed, base_date)
     return ids.select(
         key.cast("int").alias("customer_id"),
-        pick(key, seed, "first_name", FIRST_NAMES).alias("first_name"),
-        pick(key, seed, "last_name", LAST_NAMES).alias("last_name"),
-        F.concat(F.lit("customer"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.concat_ws(
-            "-",
-            F.lit("+1-555"),
-            draw_int(key, seed, "phone.1", 1000, 9999).cast("string"),
-            draw_int(key, seed, "phone.2", 1000, 9999).cast("string"),
-        ).alias("phone"),
-        days_before(key, seed, "registration_date", base_date, 1, 365).alias("registration_date"),
-        pick(key, seed, "country", COUNTRIES).alias("country"),
-        _flag(key, seed, "is_active").alias("is_active"),
-        draw_decimal(key, seed, "lifetime_value", "100", "10000", 2).alias("lifetime_value"),
-        made.alias("created_at"),
+        draw.pick("first_name", FIRST_NAMES).alias("first_name"),
+        draw.pick("last_name", LAST_NAMES).alias("last_name"),
+        filled(EMAIL, key).alias("email"),
+        filled(PHONE, draw.whole("phone.1", "phone"), draw.whole("phone.2", "phone")).alias("phone"),
+        draw.day("registration_date", "registration_days").alias("registration_date"),
+        draw.pick("country", COUNTRIES).alias("country"),
+        draw.flag("is_active").alias("is_active"),
+        draw.decimal("lifetime_value").alias("lifetime_value"),
+        draw.made().alias("created_at"),
     )
 
 
 def orders_for(ids: DataFrame, seed: int = 0, base_date: str = BASE_DATE, customers: int = 1000) -> DataFrame:
     """One sample order with nested address and one to three items per row of ``ids``."""
     key = F.col("id")
+    draw = _Drawer(key, seed, base_date)
 
-    def item(number: Column) -> Column:
-        part = sub_key(key, number)
+    def item(number: int) -> Column:
+        part = _Drawer(sub_key(key, F.lit(number)), seed, base_date)
         return F.struct(
-            draw_int(part, seed, "product_id", 1, 100).alias("product_id"),
-            draw_int(part, seed, "quantity", 1, 5).alias("quantity"),
-            draw_decimal(part, seed, "price", "10", "200", 2).alias("price"),
+            part.whole("product_id").alias("product_id"),
+            part.whole("quantity").alias("quantity"),
+            part.decimal("price", "item_price").alias("price"),
         )
 
+    # All items are drawn: unlike a lambda over a sequence this stays in generated code.
+    drawn = F.array(*[item(number) for number in range(1, WHOLE["items"][1] + 1)])
     return ids.select(
         key.cast("int").alias("order_id"),
         draw_int(key, seed, "customer_id", 1, customers).alias("customer_id"),
-        days_before(key, seed, "order_date", base_date, 1, 180).alias("order_date"),
-        draw_decimal(key, seed, "order_amount", "10", "1000", 2).alias("order_amount"),
-        pick(key, seed, "status", STATUSES).alias("status"),
-        pick(key, seed, "payment_method", PAYMENTS).alias("payment_method"),
+        draw.day("order_date", "order_days").alias("order_date"),
+        draw.decimal("order_amount").alias("order_amount"),
+        draw.pick("status", STATUSES).alias("status"),
+        draw.pick("payment_method", PAYMENTS).alias("payment_method"),
         F.struct(
-            F.concat(draw_int(key, seed, "street", 100, 9999).cast("string"), F.lit(" Main St")).alias("street"),
-            pick(key, seed, "city", CITIES).alias("city"),
-            pick(key, seed, "state", STATES).alias("state"),
-            draw_int(key, seed, "zip", 10000, 99999).cast("string").alias("zip"),
+            filled(STREET, draw.whole("street")).alias("street"),
+            draw.pick("city", CITIES).alias("city"),
+            draw.pick("state", STATES).alias("state"),
+            draw.whole("zip").cast("string").alias("zip"),
         ).alias("shipping_address"),
-        # All three are drawn: unlike a lambda over a sequence this stays in generated code.
-        F.slice(F.array(*[item(F.lit(i)) for i in (1, 2, 3)]), 1, draw_int(key, seed, "items", 1, 3)).alias("items"),
-        iso_text(f"{base_date} 00:00:00").alias("created_at"),
+        F.slice(drawn, 1, draw.whole("items")).alias("items"),
+        draw.made().alias("created_at"),
     )
 
 
 def products_for(ids: DataFrame, seed: int = 0, base_date: str = BASE_DATE) -> DataFrame:
     """One sample product with up to three tags per row of ``ids``."""
     key = F.col("id")
-    text = key.cast("string")
-    made = iso_text(f"{base_date} 00:00:00")
+    draw = _Drawer(key, seed, base_date)
     return ids.select(
         key.cast("int").alias("product_id"),
-        F.concat(F.lit("Product "), text).alias("product_name"),
-        pick(key, seed, "category", CATEGORIES).alias("category"),
-        pick(key, seed, "brand", BRANDS).alias("brand"),
-        draw_decimal(key, seed, "price", "9.99", "999.99", 2).alias("price"),
-        draw_decimal(key, seed, "cost", "5", "500", 2).alias("cost"),
-        draw_int(key, seed, "stock_quantity", 0, 1000).alias("stock_quantity"),
-        F.concat(F.lit("High quality product number "), text, F.lit(" with excellent features")).alias("description"),
-        draw_decimal(key, seed, "rating", "1", "5", 1).alias("rating"),
-        draw_int(key, seed, "review_count", 0, 500).alias("review_count"),
-        _flag(key, seed, "is_available").alias("is_available"),
-        pick_some(key, seed, "tags", TAGS, 3).alias("tags"),
-        made.alias("created_at"),
-        made.alias("updated_at"),
+        filled(PRODUCT_NAME, key).alias("product_name"),
+        draw.pick("category", CATEGORIES).alias("category"),
+        draw.pick("brand", BRANDS).alias("brand"),
+        draw.decimal("price").alias("price"),
+        draw.decimal("cost").alias("cost"),
+        draw.whole("stock_quantity").alias("stock_quantity"),
+        filled(DESCRIPTION, key).alias("description"),
+        draw.decimal("rating").alias("rating"),
+        draw.whole("review_count").alias("review_count"),
+        draw.flag("is_available").alias("is_available"),
+        pick_some(key, seed, "tags", TAGS, MOST_TAGS).alias("tags"),
+        draw.made().alias("created_at"),
+        draw.made().alias("updated_at"),
     )
 
 
