@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tableferry.functions.nested import is_nested, parse_json_text, quoted
 
 REJECTS = "_rejects"
+SOURCE = "_source"
 # Names used in flat table definitions and their Spark types.
 FLAT_TYPES = {
     "INTEGER": "bigint",
@@ -183,23 +184,31 @@ def map_schema(df: DataFrame, target: T.StructType, zone: str = "UTC", allow_mis
     return both.select(*columns)
 
 
-def map_schema_flagged(df: DataFrame, target: T.StructType, zone: str = "UTC") -> DataFrame:
-    """Like ``map_schema`` but bad values become null and ``_rejects`` names their columns."""
+def map_schema_flagged(
+    df: DataFrame, target: T.StructType, zone: str = "UTC", keep_source: bool = False
+) -> DataFrame:
+    """Like ``map_schema`` but bad values become null and ``_rejects`` names their columns.
+
+    ``keep_source`` adds ``_source``, the row as it came as JSON text, for bad rows.
+    """
     _check_names(df, target, True)
     both, bad = _converted(df, target, zone)
     named = F.array(*[F.when(wrong, F.lit(field.name)) for field, wrong in zip(target.fields, bad)])
-    # Only a bad row pays for naming its columns.
-    rejects = F.when(reduce(lambda left, right: left | right, bad), F.array_compact(named)).otherwise(
-        F.array().cast("array<string>")
-    )
+    # Only a bad row pays for naming its columns and printing itself.
+    any_bad = reduce(lambda left, right: left | right, bad)
+    rejects = F.when(any_bad, F.array_compact(named)).otherwise(F.array().cast("array<string>"))
     columns = [F.col(f"__{position}").alias(field.name) for position, field in enumerate(target.fields)]
-    return both.select(*columns, rejects.alias(REJECTS))
+    columns.append(rejects.alias(REJECTS))
+    if keep_source:
+        text = F.to_json(F.struct(*[quoted(c) for c in df.columns]), {"ignoreNullFields": "false"})
+        columns.append(F.when(any_bad, text).alias(SOURCE))
+    return both.select(*columns)
 
 
 def split_rejects(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean rows without the flag, and rejected rows with it."""
     clean = F.size(REJECTS) == 0
-    return flagged.filter(clean).drop(REJECTS), flagged.filter(~clean)
+    return flagged.filter(clean).drop(REJECTS, SOURCE), flagged.filter(~clean)
 
 
 def _check_names(df: DataFrame, target: T.StructType, allow_missing: bool) -> None:

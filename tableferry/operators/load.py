@@ -7,8 +7,9 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tableferry.functions.mapping import reject_intervals, schema_differences
+from tableferry.functions.mapping import map_schema_flagged, reject_intervals, schema_differences, split_rejects
 from tableferry.functions.nested import nested_to_json, quoted
 from tableferry.operators.layout import arrange, shrink_partitions
 from tableferry.sources.catalog import (
@@ -176,6 +177,32 @@ def load_staged(
     return LoadResult(rows, path)
 
 
+def load_permissive(
+    df: DataFrame,
+    schema: T.StructType,
+    target: str,
+    rejects: str,
+    stage_root: str,
+    mode: str = "overwrite",
+    *,
+    nested: str = "json",
+    definition: Definition | None = None,
+) -> tuple[LoadResult, int]:
+    """Map to ``schema`` and load the rows that fit; rows that do not are appended to the table ``rejects``.
+
+    Rejected rows keep their original values as JSON text. Both tables are
+    loaded from one staged copy, so each row is converted once. Returns the load
+    and the number of rejected rows.
+    """
+    check_mode(mode)
+    path = stage_path(stage_root, target)
+    write_stage(shrink_partitions(map_schema_flagged(df, schema, keep_source=True)), path)
+    good, bad = split_rejects(df.sparkSession.read.parquet(path))
+    rows = write_table(prepare(good, nested), target, mode, definition)
+    rejected = write_table(prepare(bad, "json"), rejects, "append")
+    return LoadResult(rows, path), rejected
+
+
 def remove_stage(spark: SparkSession, path: str) -> bool:
     """Delete a staged copy. A failure is reported as ``False``; it never fails the load."""
     try:

@@ -414,6 +414,30 @@ def mapped_rejected_rows(spark, sf_dir):
     return rejected.select("l_orderkey", "l_linenumber", F.array_join(mapping.REJECTS, ",").alias("rejected"))
 
 
+@query(
+    f"""SELECT l_orderkey, l_linenumber, TRY_CAST(t AS DATE) AS ship_text, NULL AS original FROM ({LOOSE_SQL})
+        WHERE TRY_CAST(t AS DATE) IS NOT NULL
+        UNION ALL
+        SELECT l_orderkey, l_linenumber, NULL, concat('{{"l_orderkey":', l_orderkey, ',"l_linenumber":', l_linenumber,
+               ',"ship_text":"', t, '"}}')
+        FROM ({LOOSE_SQL}) WHERE TRY_CAST(t AS DATE) IS NULL"""
+)
+def permissive_load(spark, sf_dir):
+    """Rows that fit land in the target, the others with their original text in a second table."""
+    schema = workspace(spark)
+    result, _ = load.load_permissive(
+        _loose_dates(spark, sf_dir),
+        T.StructType.fromDDL(LOOSE_TARGET),
+        f"{schema}.lineitem",
+        f"{schema}.rejects",
+        f"{scratch_root(spark)}/stage",
+    )
+    load.remove_stage(spark, result.staged_path)
+    good = spark.table(f"{schema}.lineitem").withColumn("original", F.lit(None).cast("string"))
+    bad = spark.table(f"{schema}.rejects").withColumnRenamed(mapping.SOURCE, "original").drop(mapping.REJECTS)
+    return good.unionByName(bad)
+
+
 @query(
     f"""SELECT 'ship_text' AS column_name, 'string' AS source_type, 'date' AS target_type, 'type differs' AS issue,
                count(*) AS lossy_rows

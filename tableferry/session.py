@@ -21,6 +21,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # The JVM does not compile methods beyond 8,000 bytes of byte code, so wide
+    # generated stages would be interpreted; this runs them operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_scratch: tempfile.TemporaryDirectory | None = None

@@ -159,6 +159,22 @@ def test_staged_load(spark, schema, tmp_path):
     assert not load.remove_stage(spark, "nosuchscheme://x")
 
 
+def test_permissive_load(spark, schema, tmp_path):
+    frame = spark.createDataFrame([(1, "2025-01-01"), (2, "x"), (None, "2025-01-03")], "id int, d string")
+    wanted = T.StructType.fromDDL("id bigint NOT NULL, d date")
+    for times in (1, 2):
+        result, rejected = load.load_permissive(frame, wanted, f"{schema}.t", f"{schema}.bad", str(tmp_path))
+        assert (result.rows, rejected) == (1, 2)
+        assert spark.table(f"{schema}.t").dtypes == [("id", "bigint"), ("d", "date")]
+        assert spark.table(f"{schema}.t").count() == 1
+        assert spark.table(f"{schema}.bad").count() == 2 * times
+    bad = spark.table(f"{schema}.bad").select("_rejects", "_source").distinct()
+    assert rows(bad, "_source") == [
+        ('["d"]', '{"id":2,"d":"x"}'),
+        ('["id"]', '{"id":null,"d":"2025-01-03"}'),
+    ]
+
+
 def test_stage_name():
     assert load.stage_path("/s/", "a.b", datetime(2025, 1, 2, 3, 4, 5)) == "/s/a/b_20250102_030405"
 
