@@ -69,13 +69,20 @@ def write_stage(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def write_table(df: DataFrame, target: str, mode: str = "overwrite", definition: Definition | None = None) -> int:
+def write_table(
+    df: DataFrame,
+    target: str,
+    mode: str = "overwrite",
+    definition: Definition | None = None,
+    shrink: str | None = None,
+) -> int:
     """Write to a catalog table and return the rows written.
 
     Append matches columns by name and keeps the table's layout. Overwrite writes
     a complete new table beside the old one and then takes its name, so a failed
     load leaves the old table readable and the source may be the table itself.
     Without a definition an existing table's layout, comment and properties are kept.
+    ``shrink`` merges output files where the table has no layout of its own.
     """
     check_mode(mode)
     spark = df.sparkSession
@@ -88,11 +95,11 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", definition:
     if exists and mode == "append":
         if STREAM_PROPERTY in definition.properties:
             raise ValueError(f"{target} is written by a stream, which would hide rows added here")
-        return _insert(df, target, definition)
+        return _insert(df, target, definition, shrink)
     incoming = f"{target}__incoming"
     create_table(spark, incoming, df.schema, definition, replace=True)
     try:
-        rows = _insert(df, incoming, definition)
+        rows = _insert(df, incoming, definition, shrink)
     except BaseException:
         drop_table(spark, incoming)
         raise
@@ -108,17 +115,17 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", definition:
     return rows
 
 
-def _insert(df: DataFrame, target: str, definition: Definition) -> int:
+def _insert(df: DataFrame, target: str, definition: Definition, shrink: str | None) -> int:
     table = df.sparkSession.table(quote_name(target))
     differing = [d for d in schema_differences(df.schema, table.schema) if d[3].startswith("only in")]
     if differing:
         raise ValueError(f"columns of the frame and of {target} differ: {differing}")
-    placed = arrange(
-        df.select(*[quoted(c) for c in table.columns]),
-        definition.partition_by,
-        definition.cluster_by,
-        definition.buckets > 0,
-    )
+    placed = df.select(*[quoted(c) for c in table.columns])
+    if definition.partition_by or definition.cluster_by:
+        # The shuffle decides the files; merging partitions before it would only slow the scan.
+        placed = arrange(placed, definition.partition_by, definition.cluster_by, definition.buckets > 0)
+    elif shrink:
+        placed = shrink_partitions(placed, how=shrink)
     counted, seen = _counting(placed)
     counted.write.insertInto(quote_name(target))
     return seen.get["rows"]
@@ -146,10 +153,10 @@ def load_direct(
 ) -> LoadResult:
     """One pass from source to target; ``fmt`` names a connector, otherwise the session catalog is the target."""
     check_mode(mode)
-    ready = shrink_partitions(prepare(df, nested, keep_nulls), how=shrink)
+    ready = prepare(df, nested, keep_nulls)
     if fmt:
-        return LoadResult(write_format(ready, fmt, mode, options or {}))
-    return LoadResult(write_table(ready, target, mode, definition))
+        return LoadResult(write_format(shrink_partitions(ready, how=shrink), fmt, mode, options or {}))
+    return LoadResult(write_table(ready, target, mode, definition, shrink))
 
 
 def load_staged(
@@ -164,10 +171,11 @@ def load_staged(
     fmt: str | None = None,
     options: dict[str, str] | None = None,
     shrink: str = "coalesce",
+    path: str | None = None,
 ) -> LoadResult:
     """Write a Parquet copy, then load that copy: the source is read once however often the load is repeated."""
     check_mode(mode)
-    path = stage_path(stage_root, target)
+    path = path or stage_path(stage_root, target)
     write_stage(shrink_partitions(prepare(df, nested, keep_nulls), how=shrink), path)
     staged = df.sparkSession.read.parquet(path)
     if fmt:

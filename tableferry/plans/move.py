@@ -6,7 +6,7 @@ import json
 import logging
 import time
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tableferry.functions.mapping import map_schema, target_schema
 from tableferry.operators.incremental import incremental, rows_not_in
-from tableferry.operators.load import LoadResult, load_direct, load_staged, remove_stage
+from tableferry.operators.load import LoadResult, load_direct, load_staged, remove_stage, stage_path
 from tableferry.operators.verify import verify_counts
 from tableferry.session import has_source, scratch_root, text_frame
 from tableferry.sources.batch_config import read_config
@@ -29,6 +29,7 @@ from tableferry.sources.log_table import (
     read_table,
     scan_snapshot,
     split_version,
+    table_detail,
 )
 
 log = logging.getLogger("tableferry")
@@ -85,28 +86,40 @@ class Job:
             raise ValueError("key, incremental_column and since only make sense with mode append")
 
 
-def _read_source(spark: SparkSession, job: Job) -> tuple[DataFrame, int | None]:
-    """The source pinned at one version, so that load and check see the same rows."""
+@dataclass(frozen=True)
+class Source:
+    """What a job reads: rows pinned at one version, so that load and check see the same."""
+
+    rows: DataFrame
+    version: int | None = None
+    partition_by: tuple[str, ...] = ()
+
+
+def _read_source(spark: SparkSession, job: Job) -> Source:
     path, version = split_version(job.source_path, job.version)
-    if job.since:
-        version = latest_version(spark, path) if version is None else version
-        source = read_since(spark, path, job.since, version)
-    elif has_source(spark, "delta"):
+    if has_source(spark, "delta"):
         version = latest_version(spark, path) if version is None else version
-        source = read_table(spark, path, version)
+        rows = read_since(spark, path, job.since, version) if job.since else read_table(spark, path, version)
+        detail = table_detail(spark, path).first()
+        source = Source(rows, version, tuple(c for c in detail.partition_columns.split(",") if c))
     else:
-        try:
-            opened = open_log(spark, path, version)
-        except FileNotFoundError:
-            if version is not None or not path_exists(spark, path):
-                raise
-            source = read_table(spark, path, fmt="parquet")
-        else:
-            _report_detail(opened)
-            source, version = scan_snapshot(spark, opened), opened.version
+        source = _replay_source(spark, job, path, version)
     if job.date_columns or job.time_columns:
-        source = map_schema(source, target_schema(source.schema, job.date_columns, job.time_columns))
-    return source, version
+        schema = target_schema(source.rows.schema, job.date_columns, job.time_columns)
+        source = replace(source, rows=map_schema(source.rows, schema))
+    return source
+
+
+def _replay_source(spark: SparkSession, job: Job, path: str, version: int | None) -> Source:
+    try:
+        opened = open_log(spark, path, version)
+    except FileNotFoundError:
+        if version is not None or job.since or not path_exists(spark, path):
+            raise
+        return Source(read_table(spark, path, fmt="parquet"))
+    _report_detail(opened)
+    rows = read_since(spark, path, job.since, opened.version) if job.since else scan_snapshot(spark, opened)
+    return Source(rows, opened.version, tuple(opened.partition_columns))
 
 
 def _report_detail(opened: TableLog) -> None:
@@ -117,23 +130,58 @@ def _report_detail(opened: TableLog) -> None:
         log.warning("no metadata for %s: %s", opened.root, error)
 
 
+def connector_options(job: Job) -> dict[str, str]:
+    """Options for the target's data source; a warehouse connector it knows gets its usual ones as defaults."""
+    if job.format != "bigquery":
+        return dict(job.options)
+    defaults = {"table": job.target, "writeMethod": "direct"}
+    if job.stage_root:
+        defaults["temporaryGcsBucket"] = job.stage_root.removeprefix("gs://").split("/", 1)[0]
+    if len(job.partition_by) == 1:
+        defaults.update(partitionField=job.partition_by[0], partitionType="DAY")
+    if job.cluster_by:
+        defaults["clusteredFields"] = ",".join(job.cluster_by)
+    return {**defaults, **job.options}
+
+
 def _read_target(spark: SparkSession, job: Job) -> DataFrame:
     if job.format:
-        return spark.read.format(job.format).options(**job.options).load()
+        return spark.read.format(job.format).options(**connector_options(job)).load()
     return spark.table(quote_name(job.target))
 
 
-def _load(spark: SparkSession, job: Job, source: DataFrame, staged: list[str]) -> LoadResult:
-    layout = Definition(job.partition_by, job.cluster_by) if job.partition_by or job.cluster_by else None
-    settings = {"nested": job.nested, "definition": layout, "fmt": job.format, "options": job.options}
+def _rows_before(spark: SparkSession, job: Job, count: bool) -> int | None:
+    """Rows an append finds in its target, 0 if they need not be counted; ``None`` when there is no target yet."""
+    if not job.format and not table_exists(spark, job.target):
+        return None
+    try:
+        target = _read_target(spark, job)
+        return target.count() if count else 0
+    except Exception as error:
+        log.info("%s cannot be read yet: %s", job.target, error)
+        return None
+
+
+def _layout(spark: SparkSession, job: Job, source: Source) -> Definition | None:
+    """The job's layout, else that of the existing target, else the source's partitioning."""
+    if job.partition_by or job.cluster_by:
+        return Definition(job.partition_by, job.cluster_by)
+    if job.format or table_exists(spark, job.target):
+        return None
+    return Definition(source.partition_by)
+
+
+def _load(spark: SparkSession, job: Job, source: Source, staged: list[str]) -> LoadResult:
+    settings = {"nested": job.nested, "definition": _layout(spark, job, source), "fmt": job.format}
+    settings["options"] = connector_options(job)
     if job.key:
         # Counting partitions to merge them would run the join with the target a second time.
         settings["shrink"] = "rebalance"
     if METHODS[job.method] == "direct":
-        return load_direct(source, job.target, job.mode, **settings)
-    result = load_staged(source, job.target, job.stage_root or f"{scratch_root(spark)}/stage", job.mode, **settings)
-    staged.append(result.staged_path)
-    return result
+        return load_direct(source.rows, job.target, job.mode, **settings)
+    root = job.stage_root or f"{scratch_root(spark)}/stage"
+    staged.append(stage_path(root, job.target))
+    return load_staged(source.rows, job.target, root, job.mode, path=staged[-1], **settings)
 
 
 def _new_rows(job: Job, source: DataFrame, target: DataFrame) -> DataFrame:
@@ -171,18 +219,18 @@ def run_job(
     staged: list[str] = []
     try:
         job.check()
-        source, outcome["source_version"] = _read_source(spark, job)
+        source = _read_source(spark, job)
+        outcome["source_version"] = source.version
         if not job.format:
             create_schema(spark, job.target.rsplit(".", 1)[0])
-        before = 0
-        if job.mode == "append" and (job.format or table_exists(spark, job.target)):
-            before = _read_target(spark, job).count() if verify else 0
-            source = _new_rows(job, source, _read_target(spark, job))
+        before = _rows_before(spark, job, verify) if job.mode == "append" else None
+        if before is not None:
+            source = replace(source, rows=_new_rows(job, source.rows, _read_target(spark, job)))
         result = _load(spark, job, source, staged)
         outcome["source_rows"] = result.rows
         outcome["staged_path"] = result.staged_path
         if verify:
-            outcome["verified"], outcome["target_rows"] = _verify(spark, job, source, before, result.rows)
+            outcome["verified"], outcome["target_rows"] = _verify(spark, job, source.rows, before or 0, result.rows)
             if strict_verify and not outcome["verified"]:
                 raise ValueError(f"{job.target} does not hold the rows that were loaded")
         outcome["status"] = "SUCCESS"

@@ -187,6 +187,20 @@ def test_direct_load_keeps_nested_columns_on_request(spark, schema):
         load.load_direct(frame, f"{schema}.t", nested="flat")
 
 
+def test_files_follow_the_partitions(spark, schema):
+    """A quarter as many files as partitions; with a layout the scan keeps its width instead."""
+
+    def files(name):
+        return spark.table(f"{schema}.{name}").select("_metadata.file_path").distinct().count()
+
+    load.load_direct(spark.range(0, 800, 1, 8), f"{schema}.merged")
+    assert files("merged") == 2
+    load.write_table(spark.range(0, 800, 1, 8), f"{schema}.plain")
+    assert files("plain") == 8
+    load.load_direct(spark.range(0, 800, 1, 8), f"{schema}.sorted", definition=Definition((), ("id",)))
+    assert files("sorted") == 1 and spark.table(f"{schema}.sorted").count() == 800
+
+
 def test_load_through_a_data_source(spark, tmp_path):
     target = str(tmp_path / "out")
     options = {"path": target}

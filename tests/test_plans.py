@@ -172,6 +172,45 @@ def test_move_keeps_the_stage_on_request(spark, schema, source, tmp_path):
     assert os.path.isdir(row.staged_path)
 
 
+def test_failed_load_leaves_no_stage(spark, schema, source, tmp_path):
+    load.write_table(spark.range(1).withColumnRenamed("id", "other"), f"{schema}.t")
+    row = result(spark, Job(source, "t", schema, mode="append", stage_root=str(tmp_path / "stage")))
+    assert row.status == "FAILED" and "differ" in row.error
+    assert not list((tmp_path / "stage" / schema).iterdir())
+    assert spark.table(f"{schema}.t").count() == 1
+
+
+def test_partitioning_is_carried_over(spark, schema, tmp_path):
+    path = str(tmp_path / "lake")
+    frame = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
+    log_table.write_log_table(frame, path, partition_by=("k",))
+    for _ in range(2):
+        assert result(spark, Job(path, "t", schema)).verified
+        assert catalog.table_definition(spark, f"{schema}.t").partition_by == ("k",)
+    assert result(spark, Job(path, "u", schema, cluster_by=("id",))).verified
+    assert catalog.table_definition(spark, f"{schema}.u").partition_by == ()
+
+
+def test_connector_options():
+    job = Job("x", "t", "s", project="p", format="bigquery", stage_root="gs://bucket/stage", partition_by=("d",),
+              cluster_by=("a", "b"), options={"writeMethod": "indirect"})
+    assert move.connector_options(job) == {
+        "table": "p.s.t",
+        "temporaryGcsBucket": "bucket",
+        "writeMethod": "indirect",
+        "partitionField": "d",
+        "partitionType": "DAY",
+        "clusteredFields": "a,b",
+    }
+
+
+def test_append_through_a_connector(spark, source, tmp_path):
+    out = {"path": str(tmp_path / "out")}
+    for total in (5, 10):
+        row = result(spark, Job(source, "t", "s", format="orc", options=out, mode="append"))
+        assert (row.status, row.target_rows, row.verified) == ("SUCCESS", total, True)
+
+
 def test_move_appends_and_verifies_with_the_rows_before(spark, schema, source):
     for total in (5, 10):
         row = result(spark, Job(source, "t", schema, mode="append", nested="keep"))
