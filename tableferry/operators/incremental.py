@@ -4,22 +4,32 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.functions.nested import quoted
 
 
-def high_water_mark(target: DataFrame, column: str):
-    """The largest value the target holds, or ``None`` when it holds none."""
-    return target.agg(F.max(quoted(column)).alias("mark")).first().mark
+def high_water_mark(target: DataFrame, column: str) -> Column | None:
+    """The largest value the target holds, as a literal, or ``None`` when it holds none.
+
+    Times travel as microseconds, as a Python datetime would pass through the
+    driver's own time zone.
+    """
+    top = F.max(quoted(column))
+    if isinstance(target.schema[column].dataType, T.TimestampType):
+        micros = target.agg(F.unix_micros(top).alias("mark")).first().mark
+        return None if micros is None else F.timestamp_micros(F.lit(micros))
+    mark = target.agg(top.alias("mark")).first().mark
+    return None if mark is None else F.lit(mark)
 
 
-def rows_above(df: DataFrame, column: str, mark) -> DataFrame:
+def rows_above(df: DataFrame, column: str, mark: Column | None) -> DataFrame:
     """Rows above a mark; all rows when there is none. A literal mark is pushed into the scan."""
     if mark is None:
         return df
-    return df.filter(quoted(column) > F.lit(mark).cast(df.schema[column].dataType))
+    return df.filter(quoted(column) > mark.cast(df.schema[column].dataType))
 
 
 def incremental(df: DataFrame, target: DataFrame, column: str) -> DataFrame:

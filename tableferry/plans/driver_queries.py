@@ -514,7 +514,7 @@ def append_only_missing(spark, sf_dir):
 def partitioned_load(spark, sf_dir):
     target = f"{workspace(spark)}.events"
     rows = layout.with_partition_date(table(spark, sf_dir, "events"), "ts", "day")
-    load.load_direct(rows, target, definition=catalog.Definition(partition_by=("day",)), shrink="rebalance")
+    load.load_direct(rows, target, definition=catalog.Definition(partition_by=("day",)))
     return spark.table(target)
 
 
@@ -526,7 +526,7 @@ def expired_partitions(spark, sf_dir):
     """Date partitions before a day are dropped."""
     target = f"{workspace(spark)}.events"
     rows = layout.with_partition_date(table(spark, sf_dir, "events"), "ts", "day")
-    load.load_direct(rows, target, definition=catalog.Definition(partition_by=("day",)), shrink="rebalance")
+    load.load_direct(rows, target, definition=catalog.Definition(partition_by=("day",)))
     catalog.expire_partitions(spark, target, "day", "2024-01-20")
     return spark.table(target)
 
@@ -535,7 +535,7 @@ def expired_partitions(spark, sf_dir):
 def clustered_load(spark, sf_dir):
     target = f"{workspace(spark)}.customers"
     definition = catalog.Definition(cluster_by=("country", "is_active"), comment="Customer information table")
-    load.load_direct(customers(spark, sf_dir), target, definition=definition, shrink="rebalance")
+    load.load_direct(customers(spark, sf_dir), target, definition=definition)
     return spark.table(target)
 
 
@@ -543,7 +543,7 @@ def clustered_load(spark, sf_dir):
 def bucketed_load(spark, sf_dir):
     target = f"{workspace(spark)}.orders"
     definition = catalog.Definition(cluster_by=("customer_id",), buckets=8)
-    load.load_direct(sales(spark, sf_dir), target, definition=definition, shrink="rebalance")
+    load.load_direct(sales(spark, sf_dir), target, definition=definition)
     return spark.table(target)
 
 

@@ -280,6 +280,18 @@ def test_high_water_mark_reaches_the_scan(spark, tmp_path):
     assert new.count() == 5
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "decimal(10,2)", "double", "string"])
+def test_high_water_mark_of_each_type(spark, tmp_path, kind):
+    text = {"date": "concat('2025-01-1', id)", "timestamp": "concat('2025-03-30 01:30:00.00000', id)"}
+    text["timestamp_ntz"] = text["timestamp"]
+    source = spark.range(5).select(F.expr(f"CAST({text.get(kind, 'id')} AS {kind}) AS at"))
+    source.write.parquet(str(tmp_path / "p"))
+    loaded = source.sort("at").limit(3)
+    new = incremental.incremental(spark.read.parquet(str(tmp_path / "p")), loaded, "at")
+    assert rows(new, "at") == rows(source, "at")[3:]
+    assert "PushedFilters: [IsNotNull(at), GreaterThan(at," in plan(new)
+
+
 def test_rows_not_in_keeps_null_keys(spark):
     source = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, None), (None, "c")], "i int, k string")
     target = spark.createDataFrame([("a", 1), (None, 3), ("b", 9)], "k string, i int")
