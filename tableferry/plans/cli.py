@@ -35,6 +35,7 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--parallel", type=int, default=1, help="tables moved at the same time")
     parser.add_argument("--no-verify", action="store_true")
     parser.add_argument("--strict-verify", action="store_true", help="a failed check fails the table")
+    parser.add_argument("--checksum", action="store_true", help="after an overwrite, also compare the content")
     parser.add_argument("--no-cleanup", action="store_true", help="keep staged copies")
     return parser
 
@@ -50,6 +51,7 @@ def main(argv: list[str] | None = None) -> int:
         "verify": not args.no_verify,
         "cleanup": not args.no_cleanup,
         "strict_verify": args.strict_verify,
+        "checksum": args.checksum,
     }
     if args.config_file:
         results = move_all(spark, args.config_file, args.method, args.mode, args.parallel, **flags)

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tableferry.functions.mapping import map_schema, target_schema
 from tableferry.operators.incremental import incremental, rows_not_in
-from tableferry.operators.load import LoadResult, load_direct, load_staged, remove_stage, stage_path
-from tableferry.operators.verify import verify_counts
+from tableferry.operators.load import LoadResult, load_direct, load_staged, prepare, remove_stage, stage_path
+from tableferry.operators.verify import verify_checksum, verify_counts
 from tableferry.session import has_source, scratch_root, text_frame
 from tableferry.sources.batch_config import read_config
 from tableferry.sources.catalog import Definition, create_schema, quote_name, table_exists
@@ -209,10 +209,28 @@ def _verify(spark: SparkSession, job: Job, source: DataFrame, before: int, loade
         return False, None
 
 
+def _same_content(spark: SparkSession, job: Job, source: DataFrame) -> bool:
+    """Compare digests of all rows as they were loaded; a check that cannot be carried out counts as failed."""
+    try:
+        return verify_checksum(prepare(source, job.nested), _read_target(spark, job)).first().passed
+    except Exception as error:
+        log.error("checksum could not run: %s", error)
+        return False
+
+
 def run_job(
-    spark: SparkSession, job: Job, verify: bool = True, cleanup: bool = True, strict_verify: bool = False
+    spark: SparkSession,
+    job: Job,
+    verify: bool = True,
+    cleanup: bool = True,
+    strict_verify: bool = False,
+    checksum: bool = False,
 ) -> dict:
-    """Move one table and describe the outcome; failures are returned, not raised."""
+    """Move one table and describe the outcome; failures are returned, not raised.
+
+    ``verify`` counts both sides. ``checksum`` also compares the content, which
+    reads both sides in full and needs an overwrite: an appended-to table holds more.
+    """
     started = time.monotonic()
     outcome = dict.fromkeys([f.strip().split()[0].strip("`") for f in RESULT_SCHEMA.split(",")])
     outcome.update(table=job.table, status="FAILED", method=job.method, mode=job.mode)
@@ -231,6 +249,8 @@ def run_job(
         outcome["staged_path"] = result.staged_path
         if verify:
             outcome["verified"], outcome["target_rows"] = _verify(spark, job, source.rows, before or 0, result.rows)
+            if checksum and job.mode == "overwrite" and outcome["verified"]:
+                outcome["verified"] = _same_content(spark, job, source.rows)
             if strict_verify and not outcome["verified"]:
                 raise ValueError(f"{job.target} does not hold the rows that were loaded")
         outcome["status"] = "SUCCESS"

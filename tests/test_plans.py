@@ -259,6 +259,16 @@ def test_failed_check_warns_or_fails(spark, schema, source, monkeypatch):
     assert result(spark, Job(source, "t", schema)).verified is False
 
 
+def test_checksum_of_a_move(spark, schema, source, monkeypatch):
+    for nested in ("json", "keep"):
+        assert result(spark, Job(source, "t", schema, nested=nested), checksum=True).verified
+    assert result(spark, Job(source, "t", schema, mode="append", nested="keep"), checksum=True).verified
+    changed = spark.sql("SELECT id, array(id) AS l, 'x' AS d FROM range(5)")
+    monkeypatch.setattr(move, "_read_target", lambda *a: changed)
+    assert result(spark, Job(source, "t", schema)).verified
+    assert result(spark, Job(source, "t", schema, nested="keep"), checksum=True).verified is False
+
+
 def test_move_plain_parquet_through_a_connector(spark, tmp_path):
     spark.range(6).write.parquet(str(tmp_path / "plain"))
     out = {"path": str(tmp_path / "out")}
