@@ -33,15 +33,17 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 
 def publish_single_file(spark: SparkSession, folder: str, target: str) -> None:
-    """Rename the one part file of ``folder`` to ``target``, which must not exist yet."""
+    """Rename the one part file of ``folder`` to ``target``, which must not exist yet; the folder goes either way."""
     fs, hadoop_folder = _filesystem(spark, folder)
-    parts = [s.getPath() for s in fs.listStatus(hadoop_folder) if s.getPath().getName().startswith("part-")]
-    if len(parts) != 1:
-        raise ValueError(f"{folder} holds {len(parts)} part files, expected one")
     _, hadoop_target = _filesystem(spark, target)
-    if fs.exists(hadoop_target) or not fs.rename(parts[0], hadoop_target):
-        raise FileExistsError(f"{target} was written by somebody else")
-    fs.delete(hadoop_folder, True)
+    try:
+        parts = [s.getPath() for s in fs.listStatus(hadoop_folder) if s.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise ValueError(f"{folder} holds {len(parts)} part files, expected one")
+        if fs.exists(hadoop_target) or not fs.rename(parts[0], hadoop_target):
+            raise FileExistsError(f"{target} was written by somebody else")
+    finally:
+        fs.delete(hadoop_folder, True)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:

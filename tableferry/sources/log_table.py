@@ -118,6 +118,8 @@ def _commits(spark: SparkSession, root: str, first: int, last: int) -> DataFrame
     return (
         spark.read.schema(LOG_SCHEMA)
         .option("pathGlobFilter", "*.json")
+        # A damaged commit must stop the read; skipping its actions would change the table.
+        .option("mode", "FAILFAST")
         .json(f"{root}/{LOG_FOLDER}")
         .filter(name.between(f"{first:020d}.json", f"{last:020d}.json") & name.rlike(COMMIT_NAME))
         .withColumn("version", F.substring(name, 1, 20).cast("bigint"))

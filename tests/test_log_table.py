@@ -264,6 +264,30 @@ def test_overwrite_with_nothing_leaves_an_empty_table(spark, tmp_path):
     assert log_table.table_detail(spark, path).first().num_files == 0
 
 
+def test_damaged_commit_stops_the_read(spark, lake, tmp_path):
+    lake.file("a.parquet", [1], "both")
+    lake.commit(0, PROTOCOL, metadata(), add("a.parquet"))
+    lake.commit(1, add("b.parquet"))
+    commit = tmp_path / "table" / "_delta_log" / f"{1:020d}.json"
+    commit.write_text(commit.read_text()[:40])
+    assert lake.ids(0) == [1]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        lake.ids()
+
+
+def test_two_writers_cannot_publish_the_same_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "made")
+    log_table.write_log_table(spark.range(3), path)
+    stale = log_table.open_log(spark, path)
+    log_table.write_log_table(spark.range(5), path, "append")
+    monkeypatch.setattr(log_table, "open_log", lambda *a: stale)
+    with pytest.raises(FileExistsError):
+        log_table.write_log_table(spark.range(7), path, "append")
+    monkeypatch.undo()
+    assert read_table(spark, path).count() == 8
+    assert not list((tmp_path / "made" / "_delta_log").glob("_draft*"))
+
+
 def test_append_must_keep_the_schema(spark, tmp_path):
     path = str(tmp_path / "made")
     log_table.write_log_table(spark.range(3), path)
