@@ -144,4 +144,6 @@ def expire_partitions(spark: SparkSession, name: str, column: str, before: str)
 
 
 def rename_table(spark: SparkSession, name: str, new_name: str) -> None:
+    """Rename within a catalog; the new name is stated without the catalog, as Spark expects."""
+    new_name = ".".join(new_name.replace("`", "").split(".")[-2:])
     spark.sql(f"ALTER TABLE {quote_name(name)} RENAME TO {quote_name(new_name)}")

@@ -172,6 +172,13 @@ def test_move_keeps_the_stage_on_request(spark, schema, source, tmp_path):
     assert os.path.isdir(row.staged_path)
 
 
+def test_target_in_a_named_catalog(spark, schema, source):
+    for mode, total in (("overwrite", 5), ("overwrite", 5), ("append", 10)):
+        row = result(spark, Job(source, "t", schema, catalog="spark_catalog", mode=mode))
+        assert (row.status, row.target_rows, row.error) == ("SUCCESS", total, None)
+    assert spark.table(f"{schema}.t").count() == 10
+
+
 def test_failed_load_leaves_no_stage(spark, schema, source, tmp_path):
     load.write_table(spark.range(1).withColumnRenamed("id", "other"), f"{schema}.t")
     row = result(spark, Job(source, "t", schema, mode="append", stage_root=str(tmp_path / "stage")))
