@@ -54,7 +54,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forty shards by consistent hashing with exact load bounds."""
     dealt = ring.shard(spark, _table(spark, sf_dir, "documents"), 40)
-    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
