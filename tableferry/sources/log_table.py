@@ -12,9 +12,12 @@ import json
 import re
 import time
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +54,8 @@ COMMIT_NAME = r"^(\d{20})\.json$"
 CHECKPOINT_NAME = r"^(\d{20})\.checkpoint(?:\.(\d{10})\.(\d{10}))?\.parquet$"
 HARMLESS_READER_FEATURES = {"timestampNtz", "vacuumProtocolCheck"}
 
-# Up to this many files are handed to a scan by name, or broadcast as a list
-# (about 300 bytes each, so under 60 MB). See scan_snapshot for what happens beyond.
+# Files handed to one scan by name, or broadcast as a list (about 300 bytes each,
+# so under 60 MB). More files make more scans; see scan_snapshot.
 MAX_NAMED_FILES = 200_000
 
 HISTORY_SCHEMA = """
@@ -251,15 +254,10 @@ def snapshot_files(spark: SparkSession, path: str, version: int | None = None) -
     )
 
 
-def _in_place(log: TableLog) -> tuple[Column, str]:
-    """Location of a file below the root, and the pattern it has when folders spell the partition columns."""
-    relative = F.substring(F.col("path"), len(log.root) + 2, 1 << 30)
-    return relative, "^" + "".join(f"{re.escape(name)}=([^/]*)/" for name in log.partition_columns) + "[^/]*$"
-
-
 def _folders_follow_values(log: TableLog) -> Column:
-    """True for a file whose folders spell its logged partition values, so Spark can read them from the path."""
-    relative, pattern = _in_place(log)
+    """True for a file below the root whose folders spell its logged partition values, so Spark can read them from the path."""
+    relative = F.substring(F.col("path"), len(log.root) + 2, 1 << 30)
+    pattern = "^" + "".join(f"{re.escape(name)}=([^/]*)/" for name in log.partition_columns) + "[^/]*$"
     agrees = F.col("path").startswith(log.root + "/") & relative.rlike(pattern)
     for position, name in enumerate(log.partition_columns, start=1):
         spelled = decode_uri(F.regexp_extract(relative, pattern, position))
@@ -276,80 +274,41 @@ def scan_snapshot(
 ) -> DataFrame:
     """Rows of the live files, in schema order.
 
-    1. Few enough live files: the scan gets them by name.
-    2. More, but the folder holds few files that are not live: the folder is
-       scanned, and rows of the others are dropped by a broadcast list.
-    3. Otherwise the folders are scanned and joined with the live files.
-
-    Where folders spell the partition values, 1 and 2 leave them to Spark, so
-    that later filters on them prune files. If not, a join by file attaches them.
+    Every live file is handed to a scan by name, ``max_named_files`` to a scan,
+    and the scans are united: a file that is missing stops the read, and what
+    else lies in the folder is never touched, however many files there are. No
+    row is shuffled. Where folders spell the partition values, Spark reads them
+    from the path, so that later filters on them prune files; other files get
+    theirs from a broadcast list, one row per file of the scan.
     """
     files = live_files(log, where)
-    # One row more than allowed tells whether naming the files is possible.
-    named = files.select("path", _folders_follow_values(log).alias("in_folders")).limit(max_named_files + 1).collect()
-    if not named:
-        return empty_frame(spark, log.schema)
+    spelled = files.filter(_folders_follow_values(log)).select("path")
+    others = files.filter(~_folders_follow_values(log)).select(
+        F.col("path").alias("__path"), *[quoted(name) for name in log.partition_columns]
+    )
     columns = [quoted(name) for name in log.schema.names]
-    few = len(named) <= max_named_files
-    if few and all(row.in_folders for row in named):
-        reader = spark.read.schema(log.schema)
-        if log.partition_columns:
-            reader = reader.option("basePath", log.root)
-        return reader.parquet(*[row.path for row in named]).select(*columns)
-    if not few:
-        rows = _scan_folder(spark, log, max_named_files)
-        if rows is not None:
-            return (rows if where is None else rows.filter(where)).select(*columns)
-    schema = T.StructType([f for f in log.schema.fields if f.name not in log.partition_columns])
-    keyed = files.select(F.col("path").alias("__path"), *[quoted(name) for name in log.partition_columns])
-    return _scan_keyed(log, keyed, schema, [row.path for row in named] if few else None).select(*columns)
-
-
-def _scan_folder(spark: SparkSession, log: TableLog, max_named_files: int) -> DataFrame | None:
-    """Rows of the table's folder without those of files that are not live, or ``None`` where that is not possible."""
-    live = live_files(log)
-    if not live.agg(F.bool_and(_folders_follow_values(log)).alias("all")).first().all:
-        return None
-    relative, pattern = _in_place(log)
-    stale = list_files(spark, log.root).join(live.select("path"), "path", "left_anti")
-    found = stale.select(relative.rlike(pattern).alias("in_place")).limit(max_named_files + 1).agg(
-        F.count("*").alias("files"), F.bool_and("in_place").alias("in_place")
-    ).first()
-    if found.files > max_named_files or found.in_place is False:
-        return None
-    scan = spark.read.schema(log.schema).parquet(log.root)
-    if found.files == 0:
-        return scan
-    stale_paths = F.broadcast(stale.select(F.col("path").alias("__path")))
-    return scan.withColumn("__path", row_location()).join(stale_paths, "__path", "left_anti")
+    reader = spark.read.schema(log.schema)
+    if log.partition_columns:
+        reader = reader.option("basePath", log.root)
+    scans = [reader.parquet(*[row.path for row in some]) for some in _portions(spelled, max_named_files)]
+    own = T.StructType([f for f in log.schema.fields if f.name not in log.partition_columns])
+    scans += [_scan_keyed(spark, some, others.schema, own) for some in _portions(others, max_named_files)]
+    if not scans:
+        return empty_frame(spark, log.schema)
+    return reduce(DataFrame.unionByName, [scan.select(*columns) for scan in scans])
 
 
-def _scan_keyed(log: TableLog, keyed: DataFrame, schema: T.StructType, named: list[str] | None) -> DataFrame:
-    """Rows of the files in ``keyed.__path`` joined with the other columns of ``keyed``.
+def _portions(files: DataFrame, most: int) -> Iterator[list]:
+    """Rows about files, in lists of at most ``most``. Names only: a scan's own file index holds as much."""
+    rows = files.toLocalIterator()
+    while some := list(islice(rows, max(1, most))):
+        yield some
 
-    Few enough files are scanned by name and the file list is broadcast. Without
-    names the files are found by listing their folders, and Spark chooses the join.
-    """
-    spark = keyed.sparkSession
-    if named == []:
-        scan = empty_frame(spark, schema).withColumn("__path", F.lit(""))
-        return scan.join(keyed, "__path")
-    places = _outer_folders(log, keyed) if named is None else sorted(set(named))
-    scan = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*places)
-    return scan.withColumn("__path", row_location()).join(keyed if named is None else F.broadcast(keyed), "__path")
-
-
-def _outer_folders(log: TableLog, keyed: DataFrame) -> list[str]:
-    """Folders that together hold all live files, none inside another: the root and any outside it."""
-    parent = F.regexp_replace("__path", "/[^/]*$", "")
-    inside = F.col("__path").startswith(log.root + "/")
-    folder = F.when(inside, F.lit(log.root)).otherwise(parent).alias("folder")
-    folders = sorted(row.folder for row in keyed.select(folder).distinct().collect())
-    outer: list[str] = []
-    for folder in folders:
-        if not any(folder == kept or folder.startswith(kept + "/") for kept in outer):
-            outer.append(folder)
-    return outer
+
+def _scan_keyed(spark: SparkSession, files: list, keyed: T.StructType, schema: T.StructType) -> DataFrame:
+    """Rows of the files named in ``files.__path`` with the other values of ``files``, which are broadcast."""
+    scan = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*sorted({row["__path"] for row in files}))
+    return scan.withColumn("__path", row_location()).join(F.broadcast(spark.createDataFrame(files, keyed)), "__path")
 
 
 def read_table(
@@ -463,12 +422,66 @@ def structure_report(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _commit_times(spark: SparkSession, path: str) -> DataFrame:
+    """``version, committed_at, has_change_files`` per commit still in the log; a commit that states no time has its file's."""
+    versions = [int(m[1]) for m in (re.match(COMMIT_NAME, n) for n in _log_names(spark, path)) if m]
+    if not versions:
+        return empty_frame(spark, "version bigint, committed_at timestamp, has_change_files boolean")
+    return (
+        _commits(spark, path, min(versions), max(versions))
+        .withColumn("written", F.col("_metadata.file_modification_time"))
+        .groupBy("version")
+        .agg(
+            F.coalesce(F.timestamp_millis(F.max("commitInfo.timestamp")), F.max("written")).alias("committed_at"),
+            (F.count("cdc") > 0).alias("has_change_files"),
+        )
+    )
+
+
+def _changed(spark: SparkSession, log: TableLog, after: int, kinds: tuple[str, ...]) -> DataFrame:
+    """Rows of the change files (``cdc``), added files (``add``) or removed files (``remove``) of the commits after one.
+
+    A commit with change files is told by those alone. Rows of added files are
+    inserts, rows of removed files deletes; every file asked for must be stored.
+    """
+    times = _commit_times(spark, log.root).filter(F.col("version").between(after + 1, log.version))
+    present = {row.version for row in times.select("version").collect()}
+    missing = [v for v in range(after + 1, log.version + 1) if v not in present]
+    if missing:
+        raise ValueError(f"changes need commit {missing[0]}, which is not in the log")
+    commits = _commits(spark, log.root, after + 1, log.version).join(F.broadcast(times), "version")
+    columns = [quoted(name) for name in log.schema.names]
+    own = [f for f in log.schema.fields if f.name not in log.partition_columns]
+    scans = []
+    for action in kinds:
+        told = action == "cdc"
+        wanted = F.col(action).isNotNull() & (F.col("has_change_files") == told)
+        files = commits.filter(wanted if told else wanted & F.col(f"{action}.dataChange")).select(
+            _file_location(log.root, F.col(f"{action}.path")).alias("__path"),
+            F.col("version").alias("_commit_version"),
+            F.col("committed_at").alias("_commit_timestamp"),
+            *_partition_columns(log, F.col(f"{action}.partitionValues")),
+        )
+        # A file added and later removed yields both changes, so a path may occur in two frames.
+        schema = T.StructType([*own, T.StructField("_change_type", T.StringType())] if told else own)
+        for some in _portions(files, MAX_NAMED_FILES):
+            scan = _scan_keyed(spark, some, files.schema, schema)
+            if not told:
+                scan = scan.withColumn("_change_type", F.lit("insert" if action == "add" else "delete"))
+            scans.append(scan.select(*columns, "_change_type", "_commit_version", "_commit_timestamp"))
+    if not scans:
+        return empty_frame(
+            spark, T.StructType([*log.schema.fields, *T.StructType.fromDDL("_change_type string, _commit_version bigint, _commit_timestamp timestamp").fields])
+        )
+    return reduce(DataFrame.unionByName, scans)
+
+
 def read_changes(spark: SparkSession, path: str, after: int, until: int | None = None) -> DataFrame:
     """Row changes of the commits ``after+1..until`` with ``_change_type, _commit_version, _commit_timestamp``.
 
     The installed delta source answers from its change feed. Without it a
     commit's own change files are used where it has them, else rows of added
-    files count as inserts and rows of removed files (if still stored) as deletes.
+    files count as inserts and rows of removed files as deletes.
     """
     path, _ = split_version(path)
     if has_source(spark, "delta"):
@@ -476,58 +489,27 @@ def read_changes(spark: SparkSession, path: str, after: int, until: int | None =
         if until is not None:
             feed = feed.option("endingVersion", until)
         return feed.load(path)
-    log = open_log(spark, path, until)
-    present = {int(m[1]) for m in (re.match(COMMIT_NAME, n) for n in _log_names(spark, path)) if m}
-    missing = [v for v in range(after + 1, log.version + 1) if v not in present]
-    if missing:
-        raise ValueError(f"changes need commit {missing[0]}, which is not in the log")
-    commits = _commits(spark, log.root, after + 1, log.version)
-    per_commit = commits.groupBy("version").agg(
-        F.timestamp_millis(F.max("commitInfo.timestamp")).alias("committed_at"),
-        (F.count("cdc") > 0).alias("has_change_files"),
-    )
-
-    def changed(action: str, kind: str | None, has_change_files: bool) -> DataFrame:
-        values = F.col(f"{action}.partitionValues")
-        wanted = F.col(action).isNotNull()
-        if kind is not None:
-            wanted = wanted & F.col(f"{action}.dataChange")
-        files = (
-            commits.filter(wanted)
-            .join(per_commit.filter(F.col("has_change_files") == has_change_files), "version")
-            .select(
-                _file_location(log.root, F.col(f"{action}.path")).alias("__path"),
-                F.col("version").alias("_commit_version"),
-                F.col("committed_at").alias("_commit_timestamp"),
-                *_partition_columns(log, values),
-            )
-        )
-        fields = [f for f in log.schema.fields if f.name not in log.partition_columns]
-        if kind is None:
-            fields.append(T.StructField("_change_type", T.StringType()))
-        # A file added and later removed yields both changes, so a path may occur in two frames.
-        named = [row["__path"] for row in files.select("__path").limit(MAX_NAMED_FILES + 1).collect()]
-        scan = _scan_keyed(log, files, T.StructType(fields), named if len(named) <= MAX_NAMED_FILES else None)
-        if kind is not None:
-            scan = scan.withColumn("_change_type", F.lit(kind))
-        return scan.select(
-            *[quoted(name) for name in log.schema.names], "_change_type", "_commit_version", "_commit_timestamp"
-        )
-
-    return (
-        changed("cdc", None, True)
-        .unionByName(changed("add", "insert", False))
-        .unionByName(changed("remove", "delete", False))
-    )
+    return _changed(spark, open_log(spark, path, until), after, ("cdc", "add", "remove"))
 
 
 def read_since(spark: SparkSession, path: str, timestamp: str, until: int | None = None) -> DataFrame:
-    """Rows inserted by commits later than a timestamp, up to a version: the source side of an append-only sync."""
-    later = log_history(spark, path).filter(F.col("committed_at") > F.lit(timestamp).cast("timestamp"))
-    first = later.agg(F.min("version").alias("version")).first().version
-    if first is None or (until is not None and first > until):
-        return scan_snapshot(spark, open_log(spark, path, until), where=F.lit(False))
-    changes = read_changes(spark, path, first - 1, until)
+    """Rows inserted by commits later than a timestamp, up to a version: the source side of an append-only sync.
+
+    The log must reach back to the timestamp: to version 0 or to a commit not
+    later than it. Removed files are not read, so they may be gone.
+    """
+    path, _ = split_version(path)
+    log = open_log(spark, path, until)
+    times = _commit_times(spark, log.root).withColumn("later", F.col("committed_at") > F.lit(timestamp).cast("timestamp"))
+    reach = times.agg(F.min("version").alias("oldest"), F.count_if(~F.col("later")).alias("earlier"), F.min(F.when(F.col("later"), F.col("version"))).alias("first")).first()
+    if reach.oldest != 0 and not reach.earlier:
+        raise ValueError(f"the log of {path} reaches back to version {reach.oldest} only, which is later than {timestamp}")
+    if reach.first is None or reach.first > log.version:
+        return empty_frame(spark, log.schema)
+    if has_source(spark, "delta"):
+        changes = read_changes(spark, path, reach.first - 1, until)
+    else:
+        changes = _changed(spark, log, reach.first - 1, ("cdc", "add"))
     return changes.filter(F.col("_change_type").isin("insert", "update_postimage")).drop(
         "_change_type", "_commit_version", "_commit_timestamp"
     )
@@ -554,11 +536,12 @@ def write_log_table(df: DataFrame, path: str, mode: str = "overwrite", partition
         if previous.schema.simpleString() != df.schema.simpleString():
             raise ValueError("an appended frame must have the table's schema")
         partition_by = tuple(previous.partition_columns)
-    before = list_files(spark, path)
-    started = time.time()
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
-    written = _written_files(df, path, started).join(before, "path", "left_anti")
-    return _commit_files(df, path, mode, partition_by, previous, written)
+    # A name of their own tells the files of this write from all others, whatever clocks say.
+    name = f"part-{uuid.uuid4().hex}"
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").option("mapreduce.output.basename", name).partitionBy(*partition_by).parquet(path)
+    return _commit_files(df, path, mode, partition_by, previous, _written_files(df, path, name), seen.get["rows"])
 
 
 def rebuild_log(spark: SparkSession, files_path: str, path: str, partition_by: tuple[str, ...] = ()) -> int:
@@ -575,8 +558,11 @@ def write_manifest(spark: SparkSession, path: str) -> str:
     return target
 
 
-def _commit_files(df, path, mode, partition_by, previous, written) -> int:
+def _commit_files(df, path, mode, partition_by, previous, written, rows: int) -> int:
     spark = df.sparkSession
+    listed = written.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first().rows
+    if listed != rows:
+        raise RuntimeError(f"{rows} rows were written to {path}, but its new files hold {listed}; nothing is committed")
     version = 0 if previous is None else previous.version + 1
     now = int(time.time() * 1000)
     root = qualified(spark, path)
@@ -621,7 +607,7 @@ def _commit_files(df, path, mode, partition_by, previous, written) -> int:
     folder = f"{path}/{LOG_FOLDER}"
     draft = f"{folder}/_draft-{uuid.uuid4().hex}"
     # A commit is one file by format; it holds one line per data file, never rows.
-    commit.coalesce(1).write.text(draft)
+    commit.repartition(1).write.text(draft)
     publish_single_file(spark, draft, f"{folder}/{version:020d}.json")
     return version
 
@@ -630,19 +616,17 @@ def _action(kind: str, *fields: Column | str) -> Column:
     return F.to_json(F.struct(F.struct(*fields).alias(kind))).alias("value")
 
 
-def _written_files(df: DataFrame, path: str, started: float) -> DataFrame:
-    """Files with rows written since ``started``; an hour's margin covers clock differences."""
-    modified = F.col("_metadata.file_modification_time")
+def _written_files(df: DataFrame, path: str, name: str) -> DataFrame:
+    """The files of a write, which begin with ``name``, with their row counts."""
     return (
         df.sparkSession.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
+        .option("pathGlobFilter", f"{name}*.parquet")
         .schema(df.schema)
         .parquet(path)
-        .filter(modified > F.timestamp_seconds(F.lit(started - 3600.0)))
         .groupBy(
             F.col("_metadata.file_path").alias("uri"),
             F.col("_metadata.file_size").alias("size"),
-            modified.alias("modified"),
+            F.col("_metadata.file_modification_time").alias("modified"),
         )
         .agg(F.count("*").alias("rows"))
         .select(plain_location(decode_uri(F.col("uri"))).alias("path"), "size", "modified", "rows")

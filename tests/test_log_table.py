@@ -61,6 +61,8 @@ def lake(spark, tmp_path):
             log.mkdir(parents=True, exist_ok=True)
             (log / f"{version:020d}.json").write_text("\n".join(map(json.dumps, actions)))
 
+        root = tmp_path / "table"
+
         def ids(self, version=None, **more):
             return sorted(r.id for r in read_table(spark, self.path, version, **more).collect())
 
@@ -114,23 +116,24 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_more_files_than_can_be_named(spark, lake):
-    for name in "abc":
+@pytest.mark.parametrize("limit", [1, 2, 1000])
+def test_every_size_reads_all_live_files_or_stops(spark, lake, limit):
+    for name in "abcd":
         lake.file(f"{name}.parquet", [ord(name)], "both")
-    lake.commit(0, PROTOCOL, metadata(), add("a.parquet"), add("b.parquet"), add("c.parquet"))
-    log = log_table.open_log(spark, lake.path)
-    nothing_stale = log_table.scan_snapshot(spark, log, max_named_files=1)
-    assert nothing_stale.count() == 3 and "Join" not in executed(nothing_stale)
+    lake.file("stray.parquet", [1], "both")
+    (lake.root / "notes.txt").write_text("no table data")
+    lake.commit(0, PROTOCOL, metadata(), *[add(f"{name}.parquet") for name in "abcd"])
     lake.commit(1, remove("b.parquet"))
     log = log_table.open_log(spark, lake.path)
-    expected = [(97, "k97"), (99, "k99")]
-    one_stale = log_table.scan_snapshot(spark, log, max_named_files=1)
-    assert rows(one_stale, "id") == expected and "LeftAnti" in executed(one_stale)
-    many_stale = log_table.scan_snapshot(spark, log, max_named_files=0)
-    assert rows(many_stale, "id") == expected and "Inner" in executed(many_stale)
+    scan = log_table.scan_snapshot(spark, log, max_named_files=limit)
+    assert rows(scan, "id") == [(97, "k97"), (99, "k99"), (100, "k100")]
+    assert "Join" not in executed(scan) and "Exchange" not in executed(scan)
+    (lake.root / "c.parquet").unlink()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        log_table.scan_snapshot(spark, log, max_named_files=limit).count()
 
 
-@pytest.mark.parametrize("limit", [0, 1, 2, 9])
+@pytest.mark.parametrize("limit", [1, 2, 9])
 def test_partitioned_scan_is_the_same_every_way(spark, tmp_path, limit):
     path = str(tmp_path / "made")
     frame = spark.createDataFrame([(1, "x/y %"), (2, None), (3, "z")], "id int, k string")
@@ -141,13 +144,6 @@ def test_partitioned_scan_is_the_same_every_way(spark, tmp_path, limit):
     assert rows(scan, "id") == rows(frame, "id")
     assert rows(scan.filter("k = 'x/y %'"), "id") == [(1, "x/y %")]
     assert rows(log_table.scan_snapshot(spark, log, "k is null", max_named_files=limit)) == [(2, None)]
-    # A stray file outside the partition folders rules out scanning the folder.
-    (tmp_path / "made" / "odd").mkdir()
-    next((tmp_path / "made" / "k=z").glob("*.parquet")).rename(tmp_path / "moved")
-    (tmp_path / "moved").rename(tmp_path / "made" / "odd" / "stray.parquet")
-    log_table.write_log_table(frame, path, "overwrite", ("k",))
-    log = log_table.open_log(spark, path)
-    assert rows(log_table.scan_snapshot(spark, log, max_named_files=limit), "id") == rows(frame, "id")
 
 
 def test_absolute_and_uri_paths(spark, lake, tmp_path):
@@ -370,3 +366,45 @@ def test_plain_parquet_without_log(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_table(spark, str(tmp_path / "plain"), fmt="log")
     assert log_table.structure_report(spark, str(tmp_path / "plain")).first().log_exists is False
+
+
+def test_writer_trusts_no_clock(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(log_table.time, "time", lambda real=log_table.time.time: real() + 7200)
+    path = str(tmp_path / "t")
+    log_table.write_log_table(spark.range(50), path)
+    assert read_table(spark, path).count() == 50
+
+
+def test_writer_stops_when_files_do_not_hold_what_was_written(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    lose = log_table._written_files
+    monkeypatch.setattr(log_table, "_written_files", lambda *a: lose(*a).filter("path like '%-00000-%'"))
+    with pytest.raises(RuntimeError, match="nothing is committed"):
+        log_table.write_log_table(spark.range(50).repartition(3), path)
+    assert not list((tmp_path / "t").glob("_delta_log/*.json"))
+
+
+def test_rows_since_needs_a_log_that_reaches_back(spark, lake):
+    for k in range(4):
+        lake.file(f"{k}.parquet", [k], "both")
+        lake.commit(k, *([PROTOCOL, metadata()] if k == 0 else []), add(f"{k}.parquet"))
+    assert sorted(r.id for r in log_table.read_since(spark, lake.path, "2000-01-01").collect()) == [0, 1, 2, 3]
+    assert log_table.read_since(spark, lake.path, "2999-01-01").count() == 0
+    for k in (0, 1):
+        (lake.root / "_delta_log" / f"{k:020d}.json").unlink()
+    actions = spark.read.schema(log_table.LOG_SCHEMA).json(str(lake.root / "_delta_log" / f"{2:020d}.json"))
+    first = spark.read.schema(log_table.LOG_SCHEMA).json(spark.sparkContext.parallelize([json.dumps(a) for a in (PROTOCOL, metadata())]))
+    first.unionByName(actions).coalesce(1).write.parquet(str(lake.root / "made"))
+    next((lake.root / "made").glob("*.parquet")).rename(lake.root / "_delta_log" / f"{1:020d}.checkpoint.parquet")
+    with pytest.raises(ValueError, match="reaches back"):
+        log_table.read_since(spark, lake.path, "2000-01-01")
+
+
+def test_rows_since_ignores_removed_files_that_are_gone(spark, lake):
+    for k in range(3):
+        lake.file(f"{k}.parquet", [k], "both")
+    lake.commit(0, PROTOCOL, metadata(), add("0.parquet"), {"commitInfo": {"timestamp": 1000, "operation": "WRITE"}})
+    lake.commit(1, add("1.parquet"))
+    lake.commit(2, remove("0.parquet"), add("2.parquet"))
+    (lake.root / "0.parquet").unlink()
+    assert sorted(r.id for r in log_table.read_since(spark, lake.path, "2000-01-01").collect()) == [1, 2]
