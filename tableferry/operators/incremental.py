@@ -33,8 +33,31 @@ def rows_above(df: DataFrame, column: str, mark: Column | None) -> DataFrame:
 
 
 def incremental(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """Source rows above the target's high-water mark. The mark is the one value fetched."""
-    return rows_above(df, column, high_water_mark(target, column))
+    """Source rows above the target's high-water mark. The mark is the one value fetched.
+
+    A row without a value has no place above or below a mark and would never be
+    loaded, so such a source is refused; ``incremental_by_key`` takes it.
+    """
+    mark = high_water_mark(target, column)
+    if mark is not None and df.filter(quoted(column).isNull()).limit(1).count():
+        raise ValueError(f"{column} holds nulls, which no high-water mark can pass; name a key as well")
+    return rows_above(df, column, mark)
+
+
+def incremental_by_key(df: DataFrame, target: DataFrame, column: str, key: list[str]) -> DataFrame:
+    """Source rows at or above the mark, or without a value, whose key the target lacks: late rows that tie with the mark are loaded."""
+    mark = high_water_mark(target, column)
+    if mark is not None:
+        df = df.filter((quoted(column) >= mark.cast(df.schema[column].dataType)) | quoted(column).isNull())
+    return rows_not_in(df, target, key)
+
+
+def key_range(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
+    """The part of ``target`` whose ``column`` lies within the values of ``df``: two values are fetched, and they prune the scan."""
+    low, high = df.agg(F.min(quoted(column)), F.max(quoted(column))).first()
+    if low is None:
+        return target.limit(0)
+    return target.filter(quoted(column).between(F.lit(low), F.lit(high)))
 
 
 def rows_not_in(df: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
@@ -43,7 +66,7 @@ def rows_not_in(df: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     Rows with a null in the key can match nothing; they bypass the join, where
     they would all meet in one task.
     """
-    keys = target.select(*[quoted(k).alias(f"__k{i}") for i, k in enumerate(key)]).distinct()
+    keys = target.select(*[quoted(k).alias(f"__k{i}") for i, k in enumerate(key)])
     matches = reduce(lambda a, b: a & b, [quoted(k) == F.col(f"__k{i}") for i, k in enumerate(key)])
     whole_key = reduce(lambda a, b: a & b, [quoted(k).isNotNull() for k in key])
     missing = df.filter(whole_key).join(keys, matches, "left_anti")

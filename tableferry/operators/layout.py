@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tableferry.functions.nested import quoted
 
 TIE = "__part"
+# Plan nodes that keep every partition where it is.
+NARROW = ("Project", "Filter", "Union", "Generate", "CollectMetrics", "SubqueryAlias")
 GRAINS = ("hour", "day", "month", "year")
 
 
@@ -19,17 +21,32 @@ def shrink_partitions(df: DataFrame, factor: int = 4, how: str = "coalesce") ->
     """Fewer, larger output files.
 
     ``coalesce`` merges partitions in place: no shuffle, and the right choice
-    after a scan. Asking for the partition count plans the frame, which runs any
-    shuffle below it, so use ``rebalance`` for derived frames: it lets adaptive
-    execution size the files and split oversized partitions.
+    after a scan. Asking a derived frame for its partition count would run the
+    shuffles below it, so frames that join, group or sort are rebalanced instead:
+    adaptive execution sizes their files and splits oversized partitions. Which
+    it is is read from the plan, before any job.
     """
     if how == "rebalance":
         return df.hint("rebalance")
     if how != "coalesce":
         raise ValueError(f"unknown way to shrink: {how!r}")
+    if not is_bare_scan(df):
+        return df.hint("rebalance")
     return df.coalesce(max(1, df.rdd.getNumPartitions() // factor))
 
 
+def is_bare_scan(df: DataFrame) -> bool:
+    """True for a frame that only filters, projects and unites what it reads."""
+    waiting = [df._jdf.queryExecution().optimizedPlan()]
+    while waiting:
+        node = waiting.pop()
+        children = node.children()
+        if children.size() and node.nodeName() not in NARROW:
+            return False
+        waiting.extend(children.apply(i) for i in range(children.size()))
+    return True
+
+
 def arrange(
     df: DataFrame, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = (), bucketed: bool = False
 ) -> DataFrame:

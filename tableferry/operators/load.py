@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -19,18 +20,21 @@ from tableferry.sources.catalog import (
     drop_table,
     quote_name,
     rename_table,
+    set_property,
     table_definition,
     table_exists,
 )
 from tableferry.sources.files import delete_path
 
 MODES = ("overwrite", "append")
+SWAP_PROPERTY = "tableferry.swap.target"
 
 
 @dataclass(frozen=True)
 class LoadResult:
     rows: int
     staged_path: str | None = None
+    rejected: int = 0
 
 
 def check_mode(mode: str) -> None:
@@ -81,38 +85,65 @@ def write_table(
     Append matches columns by name and keeps the table's layout. Overwrite writes
     a complete new table beside the old one and then takes its name, so a failed
     load leaves the old table readable and the source may be the table itself.
+    A load that died between the two renames is put right by the next one.
     Without a definition an existing table's layout, comment and properties are kept.
     ``shrink`` merges output files where the table has no layout of its own.
     """
     check_mode(mode)
     spark = df.sparkSession
-    exists = table_exists(spark, target)
+    exists = table_exists(spark, target) or recover_table(spark, target)
     if exists and (mode == "append" or definition is None):
         definition = table_definition(spark, target).fitting(df.columns)
         if mode == "overwrite":
             definition.properties.pop(STREAM_PROPERTY, None)
+            definition.properties.pop(SWAP_PROPERTY, None)
     definition = definition or Definition()
     if exists and mode == "append":
         if STREAM_PROPERTY in definition.properties:
             raise ValueError(f"{target} is written by a stream, which would hide rows added here")
         return _insert(df, target, definition, shrink)
-    incoming = f"{target}__incoming"
-    create_table(spark, incoming, df.schema, definition, replace=True)
+    if not exists:
+        return _fill(df, target, definition, shrink)
+    # Names nobody else has; the property tells recover_table which table the old rows belong to.
+    token = uuid.uuid4().hex
+    incoming, previous = f"{target}__incoming_{token}", f"{target}__previous_{token}"
+    rows = _fill(df, incoming, definition, shrink)
+    set_property(spark, target, SWAP_PROPERTY, _plain(target))
+    rename_table(spark, target, previous)
+    rename_table(spark, incoming, target)
+    drop_table(spark, previous)
+    return rows
+
+
+def _plain(name: str) -> str:
+    return name.replace("`", "").lower()
+
+
+def _fill(df: DataFrame, name: str, definition: Definition, shrink: str | None) -> int:
+    """Create a table and fill it; a failed load leaves none behind."""
+    create_table(df.sparkSession, name, df.schema, definition)
     try:
-        rows = _insert(df, incoming, definition, shrink)
+        return _insert(df, name, definition, shrink)
     except BaseException:
-        drop_table(spark, incoming)
+        drop_table(df.sparkSession, name)
         raise
-    if exists:
-        # The old table goes only once the new one carries its name.
-        previous = f"{target}__previous"
-        drop_table(spark, previous)
-        rename_table(spark, target, previous)
-        rename_table(spark, incoming, target)
-        drop_table(spark, previous)
-    else:
-        rename_table(spark, incoming, target)
-    return rows
+
+
+def recover_table(spark: SparkSession, target: str) -> bool:
+    """Give a table its old rows back where a load died between the two renames; True if it did.
+
+    Only a table that carries this package's mark for ``target`` is renamed.
+    """
+    if table_exists(spark, target):
+        return False
+    schema, _, table = _plain(target).rpartition(".")
+    places = f" IN {quote_name(schema)}" if schema else ""
+    for row in spark.sql(f"SHOW TABLES{places} LIKE '{table}__previous_*'").collect():
+        old = f"{schema}.{row.tableName}" if schema else row.tableName
+        if table_definition(spark, old).properties.get(SWAP_PROPERTY) == _plain(target):
+            rename_table(spark, old, target)
+            return True
+    return False
 
 
 def _insert(df: DataFrame, target: str, definition: Definition, shrink: str | None) -> int:
@@ -194,21 +225,26 @@ def load_permissive(
     mode: str = "overwrite",
     *,
     nested: str = "json",
+    keep_nulls: bool = False,
     definition: Definition | None = None,
 ) -> tuple[LoadResult, int]:
-    """Map to ``schema`` and load the rows that fit; rows that do not are appended to the table ``rejects``.
+    """Map to ``schema`` and load the rows that fit; rows that do not go to the table ``rejects``, in the same mode.
 
     Rejected rows keep their original values as JSON text. Both tables are
-    loaded from one staged copy, so each row is converted once. Returns the load
-    and the number of rejected rows.
+    loaded from one staged copy, so each row is converted once; a failed load
+    removes the copy. Returns the load and the number of rejected rows.
     """
     check_mode(mode)
     path = stage_path(stage_root, target)
-    write_stage(shrink_partitions(map_schema_flagged(df, schema, keep_source=True)), path)
-    good, bad = split_rejects(df.sparkSession.read.parquet(path))
-    rows = write_table(prepare(good, nested), target, mode, definition)
-    rejected = write_table(prepare(bad, "json"), rejects, "append")
-    return LoadResult(rows, path), rejected
+    try:
+        write_stage(shrink_partitions(map_schema_flagged(df, schema, keep_source=True)), path)
+        good, bad = split_rejects(df.sparkSession.read.parquet(path))
+        rows = write_table(prepare(good, nested, keep_nulls), target, mode, definition)
+        rejected = write_table(prepare(bad, "json"), rejects, mode)
+    except BaseException:
+        remove_stage(df.sparkSession, path)
+        raise
+    return LoadResult(rows, path, rejected), rejected
 
 
 def remove_stage(spark: SparkSession, path: str) -> bool:

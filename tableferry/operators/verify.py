@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.mapping import convert, loses, schema_differences
-from tableferry.functions.nested import is_nested, quoted
+from tableferry.functions.nested import MICROSECOND_TEXT, is_nested, quoted
 from tableferry.session import empty_frame
 
 
+#: Nested values are compared as JSON text that leaves nothing out.
+EVERYTHING = {"ignoreNullFields": "false", **MICROSECOND_TEXT}
+
+
 def verify_counts(source: DataFrame, target: DataFrame, before: int = 0) -> DataFrame:
     """Rows of both sides in one job. ``before`` is what an appended-to target held already."""
     zero = F.lit(0).cast("bigint")
@@ -32,9 +36,9 @@ def _comparable(column: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.FloatType):
         return column.cast("double")
     if isinstance(data_type, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(column)))
+        return F.to_json(F.array_sort(F.map_entries(column)), EVERYTHING)
     if is_nested(data_type):
-        return F.to_json(column)
+        return F.to_json(column, EVERYTHING)
     return column
 
 

@@ -24,6 +24,12 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--method", choices=list(METHODS), default="staged")
     parser.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     parser.add_argument("--nested", choices=["json", "keep"], default="json")
+    parser.add_argument("--keep-nulls", action="store_true", help="JSON text keeps null fields and microseconds")
+    parser.add_argument("--version", type=int, help="version of the source table")
+    parser.add_argument("--map-types", action="store_true", help="widen types to those of the target system")
+    parser.add_argument("--date-column", action="append", default=[], help="text column to load as a date")
+    parser.add_argument("--time-column", action="append", default=[], help="text column to load as a timestamp")
+    parser.add_argument("--rejects", help="table for rows that do not fit the mapped types, which else stop the load")
     parser.add_argument("--format", help="data source of the target instead of the session catalog")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="option for --format")
     parser.add_argument("--partition-by", action="append", default=[])
@@ -73,9 +79,16 @@ def main(argv: list[str] | None = None) -> int:
             key=tuple(args.key),
             incremental_column=args.incremental_column,
             since=args.since,
+            keep_nulls=args.keep_nulls,
+            version=args.version,
+            map_types=args.map_types,
+            date_columns=tuple(args.date_column),
+            time_columns=tuple(args.time_column),
+            rejects=args.rejects,
         )
         results = move_table(spark, job, **flags)
-    results.show(1000, truncate=False)
+    for row in results.collect():  # one line per table of the batch
+        print("\t".join(f"{name}={value}" for name, value in row.asDict().items() if value is not None))
     totals = batch_totals(results).first()
     print(f"{totals.succeeded}/{totals.tables} tables moved")
     return 0 if totals.succeeded == totals.tables else 1

@@ -298,25 +298,57 @@ ITEMS_JSON_SQL = """
       concat('{"product_id":', o_custkey + i, ',"quantity":', i, '}')), 'string_agg', ',') || ']'"""
 
 
-@query(f"SELECT o_orderkey AS order_id, o_orderpriority AS city, {ITEMS_JSON_SQL} AS items_json FROM orders")
+@query(
+    f"""SELECT o_orderkey AS order_id, o_orderpriority AS city, {ITEMS_JSON_SQL} AS items_json,
+               o_totalprice AS first_price FROM orders"""
+)
 def nested_to_json_fields(spark, sf_dir):
-    """Nested columns become JSON text, which is then queried; without prices, which engines print differently."""
-    orders = nested_orders(spark, sf_dir)
-    slim = orders.withColumn("items", F.transform("items", lambda item: item.dropFields("price")))
-    return reports.order_cities_json(nested.nested_to_json(slim))
+    """Nested columns become JSON text, which is then queried; prices are compared as numbers, as engines print them differently."""
+    found = reports.order_cities_json(nested.nested_to_json(nested_orders(spark, sf_dir)))
+    return found.select(
+        "order_id",
+        "city",
+        F.regexp_replace("items_json", r',"price":[^,}]*', "").alias("items_json"),
+        F.get_json_object("items_json", "$[0].price").cast("double").alias("first_price"),
+    )
 
 
-@query(
-    """SELECT o_orderkey AS order_id, concat(o_orderkey, ' Main St') AS street, o_orderpriority AS city,
+ITEM_ROWS_SQL = """
+       SELECT o_orderkey AS order_id, concat(o_orderkey, ' Main St') AS street, o_orderpriority AS city,
               o_orderstatus AS state, lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS zip, i AS position,
               o_custkey + i AS product_id, i AS quantity, o_totalprice AS price
        FROM orders, LATERAL (SELECT CAST(unnest(range(1, CAST(2 + o_orderkey % 3 AS BIGINT))) AS INTEGER) AS i)"""
-)
+
+
+@query(ITEM_ROWS_SQL)
 def orders_json_roundtrip(spark, sf_dir):
     """To JSON text and back, then one row per item."""
     orders = nested_orders(spark, sf_dir)
-    back = nested.json_to_nested(nested.nested_to_json(orders), orders.schema)
-    return back.select("order_id", "shipping_address.*", F.posexplode("items").alias("at", "item")).select(
+    return _item_rows(nested.json_to_nested(nested.nested_to_json(orders), orders.schema))
+
+
+@query(ITEM_ROWS_SQL)
+def orders_json_load(spark, sf_dir):
+    """A nested log table through the staged route as JSON text; the loaded text is parsed and read item by item."""
+    path, orders = scratch_path(spark, "nested-orders"), nested_orders(spark, sf_dir)
+    log_table.write_log_table(orders, path)
+    job = move.Job(path, table="orders_json", schema=workspace(spark), stage_root=scratch_path(spark, "stage"))
+    move.move_table(spark, job, strict_verify=True, checksum=True).collect()
+    return _item_rows(nested.json_to_nested(spark.table(job.target), orders.schema))
+
+
+@query(ITEM_ROWS_SQL)
+def orders_nested_load(spark, sf_dir):
+    """The same table through the staged route with its nested columns kept."""
+    path = scratch_path(spark, "nested-orders")
+    log_table.write_log_table(nested_orders(spark, sf_dir), path)
+    job = move.Job(path, table="orders", schema=workspace(spark), stage_root=scratch_path(spark, "stage"), nested="keep")
+    move.move_table(spark, job, strict_verify=True, checksum=True).collect()
+    return _item_rows(spark.table(job.target))
+
+
+def _item_rows(orders: DataFrame) -> DataFrame:
+    return orders.select("order_id", "shipping_address.*", F.posexplode("items").alias("at", "item")).select(
         "order_id",
         "street",
         "city",
@@ -510,6 +542,30 @@ def append_only_missing(spark, sf_dir):
     return spark.table(target)
 
 
+@query(
+    """SELECT o_orderstatus, count(*) AS row_count, sum(o_totalprice) > 0 AS has_prices,
+              (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS added, TRUE AS verified
+       FROM orders GROUP BY o_orderstatus"""
+)
+def keyed_append_verified(spark, sf_dir):
+    """A keyed append after a part was loaded, run twice: the second adds nothing, and both checks compare keys."""
+    path, orders = scratch_path(spark, "orders"), table(spark, sf_dir, "orders")
+    log_table.write_log_table(orders, path)
+    job = move.Job(path, table="orders", schema=workspace(spark), mode="append", key=("o_orderkey",))
+    load.load_direct(orders.filter("o_orderstatus = 'F'"), job.target)
+    results = [move.run_job(spark, job) for _ in range(2)]
+    return (
+        spark.table(job.target)
+        .groupBy("o_orderstatus")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            (F.sum("o_totalprice") > 0).alias("has_prices"),
+            F.lit(sum(r["source_rows"] for r in results)).cast("bigint").alias("added"),
+            F.lit(all(r["verified"] for r in results)).alias("verified"),
+        )
+    )
+
+
 @query("SELECT event_id, user_id, event_type, value, props, ts, CAST(ts AS DATE) AS day FROM events")
 def partitioned_load(spark, sf_dir):
     target = f"{workspace(spark)}.events"
@@ -531,6 +587,39 @@ def expired_partitions(spark, sf_dir):
     return spark.table(target)
 
 
+@query(
+    """SELECT event_id, user_id, event_type, value, props, ts, strftime(ts, '%Y-%m-%d-%H') AS hour FROM events
+       WHERE ts >= TIMESTAMP '2024-01-20 12:00:00'"""
+)
+def expired_partitions_hourly(spark, sf_dir):
+    """Hour partitions before a time are dropped."""
+    target = f"{workspace(spark)}.events"
+    rows = layout.with_partition_date(table(spark, sf_dir, "events"), "ts", "hour", "hour")
+    load.load_direct(rows, target, definition=catalog.Definition(partition_by=("hour",)))
+    catalog.expire_partitions(spark, target, "hour", "2024-01-20 12:00:00")
+    return spark.table(target)
+
+
+@query("SELECT 'kept' AS name, count(*) AS row_count FROM orders")
+def dropped_table(spark, sf_dir):
+    """Of two loaded tables one is dropped; what the schema still holds."""
+    schema, orders = workspace(spark), table(spark, sf_dir, "orders")
+    for name in ("kept", "gone"):
+        load.load_direct(orders, f"{schema}.{name}")
+    catalog.drop_table(spark, f"{schema}.gone")
+    left = spark.sql(f"SHOW TABLES IN {schema}").select(F.col("tableName").alias("name"))
+    return left.join(spark.table(f"{schema}.kept").agg(F.count(F.lit(1)).alias("row_count")), F.lit(True), "left")
+
+
+@query("SELECT 'reviewed' AS \"key\", CAST(count(*) AS VARCHAR) AS value FROM orders")
+def table_property(spark, sf_dir):
+    """A property set on a loaded table, read back: here the number of its rows."""
+    target = f"{workspace(spark)}.orders"
+    rows = load.load_direct(table(spark, sf_dir, "orders"), target).rows
+    catalog.set_property(spark, target, "reviewed", str(rows))
+    return spark.sql(f"SHOW TBLPROPERTIES {target}").filter("key = 'reviewed'").select("key", "value")
+
+
 @query(f"{WITH_ALL} SELECT * FROM customers")
 def clustered_load(spark, sf_dir):
     target = f"{workspace(spark)}.customers"
@@ -706,7 +795,7 @@ def log_rebuilt(spark, sf_dir):
 @query("SELECT count(*) AS row_count, TRUE AS only_live_files FROM orders")
 def live_file_manifest(spark, sf_dir):
     """Rows of the files that the manifest lists."""
-    path = _logged_orders(spark, sf_dir)
+    path = _write_logged_orders(spark, sf_dir)
     listed = spark.read.option("recursiveFileLookup", "true").text(log_table.write_manifest(spark, path))
     live = log_table.snapshot_files(spark, path)
     return live.join(listed, F.col("path") == F.col("value"), "full").agg(
@@ -783,6 +872,45 @@ def verify_checksum(spark, sf_dir):
     return verify.verify_checksum(rows, spark.table(target)).select("source_rows", "target_rows", "passed")
 
 
+@query(
+    """SELECT count(*) AS source_rows, count(*) FILTER (o_orderstatus <> 'P') AS target_rows,
+              count(*) FILTER (o_orderstatus = 'P') AS difference, count(*) FILTER (o_orderstatus = 'P') = 0 AS passed
+       FROM orders"""
+)
+def verify_counts_short(spark, sf_dir):
+    """The count check of a load that left rows out."""
+    target = f"{workspace(spark)}.orders"
+    orders = table(spark, sf_dir, "orders")
+    load.load_direct(orders.filter("o_orderstatus <> 'P'"), target)
+    return verify.verify_counts(orders, spark.table(target))
+
+
+@query(
+    """SELECT count(*) AS source_rows, count(*) AS target_rows, count(*) FILTER (l_returnflag = 'R') = 0 AS passed
+       FROM lineitem"""
+)
+def verify_checksum_changed(spark, sf_dir):
+    """The checksum of a table whose returned items were changed."""
+    target = f"{workspace(spark)}.lineitem"
+    rows = table(spark, sf_dir, "lineitem")
+    load.load_direct(rows.withColumn("l_quantity", F.expr(ALTERED)), target)
+    return verify.verify_checksum(rows, spark.table(target)).select("source_rows", "target_rows", "passed")
+
+
+@query(
+    """SELECT count(*) FILTER (o_orderkey % 7 = 0) > 0 AS sample_saw_changes,
+              count(*) FILTER (o_orderkey % 7 = 0) = 0 AS passed FROM orders"""
+)
+def sample_diff_changed(spark, sf_dir):
+    """The sample comparison, of one key in four, with every seventh order's price changed."""
+    target = f"{workspace(spark)}.orders"
+    orders = table(spark, sf_dir, "orders")
+    load.load_direct(orders.withColumn("o_totalprice", F.expr("o_totalprice + if(o_orderkey % 7 = 0, 1, 0)")), target)
+    found = verify.verify_sample(orders, spark.table(target), ["o_orderkey"], one_in=4)
+    seen = (F.col("only_in_source") > 0) & (F.col("only_in_source") == F.col("only_in_target"))
+    return found.select(seen.alias("sample_saw_changes"), "passed")
+
+
 ALTERED = "CASE WHEN l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END"
 
 

@@ -9,12 +9,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.functions.mapping import map_schema, target_schema
-from tableferry.operators.incremental import incremental, rows_not_in
-from tableferry.operators.load import LoadResult, load_direct, load_staged, prepare, remove_stage, stage_path
+from tableferry.operators.incremental import incremental, incremental_by_key, rows_not_in
+from tableferry.operators.load import LoadResult, load_direct, load_permissive, load_staged, prepare, remove_stage, stage_path
 from tableferry.operators.verify import verify_checksum, verify_counts
 from tableferry.session import has_source, scratch_root, text_frame
 from tableferry.sources.batch_config import read_config
@@ -34,6 +35,8 @@ from tableferry.sources.log_table import (
 
 log = logging.getLogger("tableferry")
 
+# What a data source says of a table that is not there yet.
+ABSENT = ("TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND")
 # Both words for each route are accepted.
 METHODS = {"staged": "staged", "parquet": "staged", "direct": "direct", "connector": "direct"}
 RESULT_SCHEMA = """
@@ -69,6 +72,14 @@ class Job:
     key: tuple[str, ...] = ()
     incremental_column: str | None = None
     since: str | None = None
+    keep_nulls: bool = False
+    map_types: bool = False
+    rejects: str | None = None
+
+    @property
+    def mapped(self) -> bool:
+        """True when source types become those of the target system."""
+        return bool(self.map_types or self.rejects or self.date_columns or self.time_columns)
 
     @property
     def target(self) -> str:
@@ -84,6 +95,8 @@ class Job:
             raise ValueError(f"unknown method {self.method!r}, expected staged or direct")
         if (self.key or self.incremental_column or self.since) and self.mode != "append":
             raise ValueError("key, incremental_column and since only make sense with mode append")
+        if self.rejects and (self.format or METHODS[self.method] != "staged"):
+            raise ValueError("rows can only be set aside on the staged way into a catalog table")
 
 
 @dataclass(frozen=True)
@@ -93,6 +106,12 @@ class Source:
     rows: DataFrame
     version: int | None = None
     partition_by: tuple[str, ...] = ()
+    unfiltered: DataFrame | None = None
+
+    @property
+    def whole(self) -> DataFrame:
+        """All rows, also where ``rows`` are only what an append still has to add."""
+        return self.rows if self.unfiltered is None else self.unfiltered
 
 
 def _read_source(spark: SparkSession, job: Job) -> Source:
@@ -104,7 +123,7 @@ def _read_source(spark: SparkSession, job: Job) -> Source:
         source = Source(rows, version, tuple(c for c in detail.partition_columns.split(",") if c))
     else:
         source = _replay_source(spark, job, path, version)
-    if job.date_columns or job.time_columns:
+    if job.mapped and not job.rejects:
         schema = target_schema(source.rows.schema, job.date_columns, job.time_columns)
         source = replace(source, rows=map_schema(source.rows, schema))
     return source
@@ -156,10 +175,13 @@ def _rows_before(spark: SparkSession, job: Job, count: bool) -> int | None:
         return None
     try:
         target = _read_target(spark, job)
-        return target.count() if count else 0
-    except Exception as error:
-        log.info("%s cannot be read yet: %s", job.target, error)
-        return None
+    except AnalysisException as error:
+        # A connector tells a table that does not exist like this; any other failure must stop the job,
+        # as an append that takes its target for empty adds everything again.
+        if job.format and error.getCondition() in ABSENT:
+            return None
+        raise
+    return target.count() if count else 0
 
 
 def _layout(spark: SparkSession, job: Job, source: Source) -> Definition | None:
@@ -172,11 +194,14 @@ def _layout(spark: SparkSession, job: Job, source: Source) -> Definition | None:
 
 
 def _load(spark: SparkSession, job: Job, source: Source, staged: list[str]) -> LoadResult:
-    settings = {"nested": job.nested, "definition": _layout(spark, job, source), "fmt": job.format}
-    settings["options"] = connector_options(job)
-    if job.key:
-        # Counting partitions to merge them would run the join with the target a second time.
-        settings["shrink"] = "rebalance"
+    settings = {"nested": job.nested, "keep_nulls": job.keep_nulls, "definition": _layout(spark, job, source)}
+    if job.rejects:
+        root = job.stage_root or f"{scratch_root(spark)}/stage"
+        schema = target_schema(source.rows.schema, job.date_columns, job.time_columns)
+        result, _ = load_permissive(source.rows, schema, job.target, job.rejects, root, job.mode, **settings)
+        staged.append(result.staged_path)
+        return result
+    settings.update(fmt=job.format, options=connector_options(job))
     if METHODS[job.method] == "direct":
         return load_direct(source.rows, job.target, job.mode, **settings)
     root = job.stage_root or f"{scratch_root(spark)}/stage"
@@ -186,24 +211,28 @@ def _load(spark: SparkSession, job: Job, source: Source, staged: list[str]) -> L
 
 def _new_rows(job: Job, source: DataFrame, target: DataFrame) -> DataFrame:
     """What an append still has to add."""
+    if job.incremental_column and job.key:
+        return incremental_by_key(source, target, job.incremental_column, list(job.key))
     if job.incremental_column:
-        source = incremental(source, target, job.incremental_column)
-    if job.key:
-        source = rows_not_in(source, target, list(job.key))
-    return source
+        return incremental(source, target, job.incremental_column)
+    return rows_not_in(source, target, list(job.key)) if job.key else source
 
 
-def _verify(spark: SparkSession, job: Job, source: DataFrame, before: int, loaded: int) -> tuple[bool, int | None]:
+def _verify(spark: SparkSession, job: Job, source: Source, before: int, result: LoadResult) -> tuple[bool, int | None]:
     """Count both sides; a check that cannot be carried out counts as failed.
 
-    With a key the rows still missing are none by now, so the rows counted
-    while writing stand in for the source.
+    With a key, the rows still to add are none by now, so the target must hold
+    what it held plus what was written, and no key of the whole source may be
+    missing from it. Rows set aside are not expected in the target.
     """
     try:
-        if job.key:
-            source, before = source.limit(0), before + loaded
-        row = verify_counts(source, _read_target(spark, job), before).first()
-        return row.passed, row.target_rows
+        target = _read_target(spark, job)
+        if not job.key:
+            row = verify_counts(source.rows, target, before - result.rejected).first()
+            return row.passed, row.target_rows
+        row = verify_counts(source.rows.limit(0), target, before + result.rows).first()
+        keyed = source.whole.dropna(subset=[k for k in job.key])
+        return row.passed and rows_not_in(keyed, target, list(job.key)).isEmpty(), row.target_rows
     except Exception as error:
         log.error("verification could not run: %s", error)
         return False, None
@@ -212,7 +241,7 @@ def _verify(spark: SparkSession, job: Job, source: DataFrame, before: int, loade
 def _same_content(spark: SparkSession, job: Job, source: DataFrame) -> bool:
     """Compare digests of all rows as they were loaded; a check that cannot be carried out counts as failed."""
     try:
-        return verify_checksum(prepare(source, job.nested), _read_target(spark, job)).first().passed
+        return verify_checksum(prepare(source, job.nested, job.keep_nulls), _read_target(spark, job)).first().passed
     except Exception as error:
         log.error("checksum could not run: %s", error)
         return False
@@ -243,12 +272,12 @@ def run_job(
             create_schema(spark, job.target.rsplit(".", 1)[0])
         before = _rows_before(spark, job, verify) if job.mode == "append" else None
         if before is not None:
-            source = replace(source, rows=_new_rows(job, source.rows, _read_target(spark, job)))
+            source = replace(source, rows=_new_rows(job, source.rows, _read_target(spark, job)), unfiltered=source.rows)
         result = _load(spark, job, source, staged)
         outcome["source_rows"] = result.rows
         outcome["staged_path"] = result.staged_path
         if verify:
-            outcome["verified"], outcome["target_rows"] = _verify(spark, job, source.rows, before or 0, result.rows)
+            outcome["verified"], outcome["target_rows"] = _verify(spark, job, source, before or 0, result)
             if checksum and job.mode == "overwrite" and outcome["verified"]:
                 outcome["verified"] = _same_content(spark, job, source.rows)
             if strict_verify and not outcome["verified"]:

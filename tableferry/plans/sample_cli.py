@@ -22,7 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session("tableferry-samples")
     tables = {
         "customers": sample_customers(spark, args.customers, args.seed, args.base_date),
-        "orders": sample_orders(spark, args.orders, args.seed, args.base_date),
+        "orders": sample_orders(spark, args.orders, args.seed, args.base_date, args.customers),
         "products": sample_products(spark, args.products, args.seed, args.base_date),
     }
     for name, frame in tables.items():

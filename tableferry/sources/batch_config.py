@@ -33,6 +33,9 @@ FIELDS = {
     "key": "array<string>",
     "incremental_column": "string",
     "since": "string",
+    "keep_nulls": "boolean",
+    "map_types": "boolean",
+    "rejects": "string",
 }
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from tableferry.functions.mapping import reject_intervals
 from tableferry.sources.files import decode_uri
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 CLUSTER_PROPERTY = "tableferry.cluster_by"
 BUCKET_PROPERTY = "tableferry.buckets"
 # Set on tables that only a stream may append to.
@@ -123,20 +125,21 @@ def create_view(spark: SparkSession, name: str, query: DataFrame | str) -> None:
 
 
 def expire_partitions(spark: SparkSession, name: str, column: str, before: str) -> int:
-    """Drop date partitions older than ``before``; returns how many. Null partitions stay.
+    """Drop date or hour partitions older than ``before``; returns how many. Null partitions stay.
 
+    Values are dates (``yyyy-MM-dd``) or hours (``yyyy-MM-dd-HH``); ``before`` is a
+    date or a time. Any other value stops the run, so nothing is kept by mistake.
     Only partition names reach the driver; their number is that of the table's
     date partitions.
     """
     value = decode_uri(F.regexp_extract("partition", f"(?:^|/){re.escape(column)}=([^/]*)", 1))
-    day = F.try_to_date(value, "yyyy-MM-dd")
-    old = (
-        spark.sql(f"SHOW PARTITIONS {quote_name(name)}")
-        .filter(day < F.lit(before).cast("date"))
-        .select(value.alias("value"))
-        .distinct()
-        .collect()
-    )
+    pattern = F.when(F.length(value) == len("yyyy-MM-dd-HH"), F.lit("yyyy-MM-dd-HH")).otherwise(F.lit("yyyy-MM-dd"))
+    listed = spark.sql(f"SHOW PARTITIONS {quote_name(name)}").select(value.alias("value"), F.try_to_timestamp(value, pattern).alias("moment"))
+    listed = listed.filter(F.col("value") != NULL_PARTITION).distinct()
+    unread = listed.filter("moment is null").select("value").first()
+    if unread is not None:
+        raise ValueError(f"partition value {unread.value!r} of {name} is neither a date nor an hour")
+    old = listed.filter(F.col("moment") < F.lit(before).cast("timestamp")).select("value").collect()
     if old:
         specs = ", ".join(f"PARTITION ({quote_column(column)} = {_text(r.value)})" for r in old)
         spark.sql(f"ALTER TABLE {quote_name(name)} DROP IF EXISTS {specs}")
