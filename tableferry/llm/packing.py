@@ -159,16 +159,19 @@ def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int, patience:
         giver = min((int(b) for b in open_bins if b not in given_up), key=lambda b: fill[b], default=None)
         if giver is None or room - (capacity - fill[giver]) < fill[giver]:
             break
-        if _drain(giver, size, fill, owner, bins, capacity):
-            failed = 0
-        else:
+        steps = _drain(giver, size, fill, owner, bins, capacity)
+        if steps:
+            given_up.clear()  # gaps have changed, so bins given up may have a chance
+        if bins[giver]:
             given_up.add(giver)
             failed += 1
+        else:
+            failed = 0
     return [b for b in bins if b]
 
 
-def _drain(giver: int, size: np.ndarray, fill: np.ndarray, owner: np.ndarray, bins: list[list[int]], capacity: int) -> bool:
-    """Empty one bin as far as steps that raise the squared fill allow; True if it is empty then."""
+def _drain(giver: int, size: np.ndarray, fill: np.ndarray, owner: np.ndarray, bins: list[list[int]], capacity: int) -> int:
+    """Empty one bin as far as steps that raise the squared fill allow; the number of steps."""
 
     def shift(item: int, to: int) -> None:
         bins[owner[item]].remove(item)
@@ -177,7 +180,9 @@ def _drain(giver: int, size: np.ndarray, fill: np.ndarray, owner: np.ndarray, bi
         fill[to] += size[item]
         owner[item] = to
 
+    steps = 0
     while bins[giver]:
+        steps += 1
         mine = sorted(bins[giver], key=lambda i: -size[i])
         gap = capacity - fill
         fuller = (fill >= fill[giver]) & (gap > 0)
@@ -202,8 +207,8 @@ def _drain(giver: int, size: np.ndarray, fill: np.ndarray, owner: np.ndarray, bi
                     done = True
                     break
             if not done:
-                return False
-    return True
+                return steps - 1
+    return steps
 
 
 def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray, int]:

@@ -1,7 +1,8 @@
+"""A fixture that the tests of this folder share."""
+
 import pytest
-from pyspark.sql import types as T
 
-DOCS = T.StructType.fromDDL("doc_id long, text string, lang string, source string, n_chars long, `copy` string, `row` int")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, `copy` string, `row` int"
 
 
 @pytest.fixture

@@ -2,6 +2,7 @@ import hashlib
 
 import pytest
 
+from made_docs import docs  # noqa: F401
 from tableferry.llm.exact_dedup import KEY_BITS, Directory, classes, deduplicate
 
 

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from made_docs import docs  # noqa: F401
 from tableferry.llm.packing import WordTokenizer, best_fit_decreasing, improve, pack, pack_lengths
 
 PATH = public_tokenizers.path("word_bpe_49k.json")

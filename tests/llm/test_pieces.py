@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from made_docs import docs  # noqa: F401
 from tableferry.llm.pieces import PrefixTableBpe, encode_frame
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")

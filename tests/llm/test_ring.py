@@ -4,6 +4,7 @@ from zlib import crc32
 import numpy as np
 import pytest
 
+from made_docs import docs  # noqa: F401
 from tableferry.llm.ring import capacities, ring, shard, walk
 
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from made_docs import docs  # noqa: F401
 from tableferry.llm.components import components
 from tableferry.llm.simhash import Tile, fingerprint, forest, near_groups, one_per_group, shingle_hashes
 

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from made_docs import docs  # noqa: F401
 from tableferry.llm import suffix_dedup
 from tableferry.llm.suffix_dedup import remove_repeats, repeated_starts
 

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from made_docs import docs  # noqa: F401
 from tableferry.llm.toxicity import maximal_segments, score, train, training_rows
 
 
