@@ -189,13 +189,13 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "
     known = labels.filter(F.col(label).isin(0, 1) & F.col(row_id).isNotNull()).groupBy(F.col(row_id).alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
     labelled = docs.select(F.col(row_id).alias("doc_id"), whole_text(text).alias("text")).join(known, "doc_id")
     labelled = saved(spark, labelled, "labelled")
-    table = count_words(labelled.select("text", "label")).toPandas()
+    table = count_words(labelled.select("text", "label")).toArrow()
     counts = np.zeros((2, BUCKETS), np.float64)
-    counts[table["label"], table["bucket"]] = table["n"]
+    counts[table["label"].to_numpy(), table["bucket"].to_numpy()] = table["n"].to_numpy()
     model = Model(counts[1], counts[0])
     model.scale = _scale(labelled, model)
     sample = labelled.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(SAMPLE)
-    x = _score_frame(sample, model, ["label"]).select("label", "best", "total").toPandas()
+    x = _score_frame(sample, model, ["label"]).select("label", "best", "total").toArrow().to_pandas()
     if 0 < x["label"].sum() < len(x):
         model.curve = _fit(x[["best", "total"]].to_numpy(float), x["label"].to_numpy(float))
     else:
