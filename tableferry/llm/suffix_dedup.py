@@ -2,14 +2,16 @@
 
 1. Every possible start of a repeated string (``length`` bytes) belongs to the
    smallest-hash k-gram inside it. Equal strings hold that k-gram at the same
-   place, so runs of starts with one k-gram (a *region*: the run's bytes) can
-   only match regions of the same k-gram. Spark counts regions per k-gram.
+   place, and so agree on the k-gram with half a string's bytes on its longer
+   side: the *anchor*. Runs of starts with one anchor (a *region*: the run's
+   bytes) can only match regions of the same anchor. Spark counts regions per
+   anchor.
 2. Regions that occur several times as a whole repeat altogether; one of them
    stands for all, so copies and common passages meet no task as a group.
-3. Different regions of one k-gram meet in a shard. Its suffix array comes from
+3. Different regions of one anchor meet in a shard. Its suffix array comes from
    Larsson-Sadakane refinement, its common prefixes from Kasai's scan, both in
    numpy; neighbours that share ``length`` bytes repeat.
-4. A k-gram with many regions is dealt to several shards. Each lists its
+4. An anchor with many regions is dealt to several shards. Each lists its
    different strings as sorted digests, cut into ranges; per range the shards'
    lists are merged by binary search.
 """
@@ -66,7 +68,7 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def start_runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of starts that share their smallest k-gram: first start, number of starts, k-gram hash.
+    """Runs of starts that share their anchor: first start, number of starts, place of the anchor.
 
     ``bounds`` are the documents' ends inside ``data``; strings do not cross
     them. The order of k-grams is by hash and then place, the same for equal
@@ -86,10 +88,12 @@ def start_runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.nd
     long = fits > 0
     starts = np.repeat(begins[long] - (np.cumsum(fits[long]) - fits[long]), fits[long]) + np.arange(fits.sum())
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return (np.zeros(0, np.int64),) * 3
     place = (least[starts] & low).astype(np.int64)
-    new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)]))
-    return starts[new], np.diff(np.append(new, len(starts))), hashes[place[new]]
+    half = (length - GRAM + 1) // 2
+    anchor = np.where(place - starts >= half, place - half, place)  # half a string before the k-gram, or after it
+    new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)]))
+    return starts[new], np.diff(np.append(new, len(starts))), anchor[new]
 
 
 def _scan(length: int):
@@ -98,11 +102,13 @@ def _scan(length: int):
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             ids, tags = batch.column("id").to_numpy(), batch.column("tag").to_numpy()
             for data, bounds, row, shift in _segments(texts, length):
-                first, n, gram = start_runs(np.frombuffer(data, np.uint8), bounds, length)
+                first, n, anchor = start_runs(np.frombuffer(data, np.uint8), bounds, length)
                 if not len(first):
                     continue
                 doc = np.searchsorted(bounds, first, side="right")
-                region = np.fromiter((xxhash.xxh3_64_intdigest(data[a : a + m + length - 1]) for a, m in zip(first.tolist(), n.tolist(), strict=True)), np.uint64, len(first))
+                digest, reach = xxhash.xxh3_64_intdigest, GRAM + (length - GRAM + 1) // 2
+                region = np.array([digest(data[a : a + m + length - 1]) for a, m in zip(first.tolist(), n.tolist(), strict=True)], np.uint64)
+                gram = np.array([digest(data[a : a + reach]) for a in anchor.tolist()], np.uint64)
                 begins = np.concatenate([[0], bounds[:-1]])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (ids[row[doc]], tags[row[doc]], gram.view(np.int64), region.view(np.int64), (first - begins[doc] + shift).astype(np.int32), n.astype(np.int32))],
