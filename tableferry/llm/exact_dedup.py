@@ -24,6 +24,7 @@ from tableferry.llm.common import saved, ship, slices, whole_text, width
 BUCKET_CAPACITY = 512
 FOLD_BYTES = 16 << 20
 KEY_BITS = 64
+MOST_DEPTH = 16
 OWNERS_PER_PARTITION = 32
 
 _FOLDED = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("text", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("keep_rows", pa.int64())])
@@ -75,7 +76,8 @@ class Directory:
     Slots are addressed by the leading bits of the key below the owner's own
     prefix. ``insert`` adds an entry; a bucket over capacity splits by its next
     bit, doubling the directory when the bucket already uses all its bits.
-    Entries of one key stay together, however many they are.
+    Entries of one key stay together, however many they are, and so do entries
+    whose keys agree on MOST_DEPTH bits: such a bucket just grows.
     """
 
     def __init__(self, capacity: int = BUCKET_CAPACITY):
@@ -90,7 +92,7 @@ class Directory:
         bucket = self.slots[self._slot(key, self.depth)]
         bucket["chains"].setdefault(key, []).append(entry)
         bucket["n"] += 1
-        while bucket["n"] > self.capacity and len(bucket["chains"]) > 1 and bucket["depth"] < KEY_BITS:
+        while bucket["n"] > self.capacity and len(bucket["chains"]) > 1 and bucket["depth"] < MOST_DEPTH:
             bucket = self._split(bucket, key)
 
     def _split(self, bucket: dict, key: int) -> dict:
