@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tableferry.session import scratch_path
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 _shipped: set[str] = set()
@@ -79,7 +79,7 @@ class PieceCache:
     pieces the cache keeps the quarter seen most; it never changes a result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], list], limit: int = 200_000):
         self.encode, self.limit = encode, limit
         self.slot: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.int32)

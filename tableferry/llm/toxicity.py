@@ -181,8 +181,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "
     """Model from the documents that ``labels`` (row_id, label) names for training.
 
     Counts and the scale of chance cover all of them; a count table has at most
-    2 x BUCKETS rows. The curve is fitted on the SAMPLE training documents whose
-    ids have the smallest hashes. Of several labels of an id the largest counts.
+    2 x BUCKETS rows. The curve is fitted on about SAMPLE training documents, chosen by a
+    hash of their ids. Of several labels of an id the largest counts.
     Without labels of both classes every document scores alike, below 0.1.
     """
     ship(spark)
@@ -194,7 +194,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "
     counts[table["label"].to_numpy(), table["bucket"].to_numpy()] = table["n"].to_numpy()
     model = Model(counts[1], counts[0])
     model.scale = _scale(labelled, model)
-    sample = labelled.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(SAMPLE)
+    # about SAMPLE rows, picked by a hash of the id where they lie
+    share = int(min(1.0, SAMPLE / max(1, labelled.count())) * (1 << 30))
+    sample = labelled.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) <= share)
     x = _score_frame(sample, model, ["label"]).select("label", "best", "total").toArrow().to_pandas()
     if 0 < x["label"].sum() < len(x):
         model.curve = _fit(x[["best", "total"]].to_numpy(float), x["label"].to_numpy(float))
