@@ -95,3 +95,32 @@ def test_one_of_each_group_of_similar_texts(spark, docs):
     assert kept.columns == docs().columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 6]
     assert one_per_group(spark, docs()).count() == 0
+
+
+def kept_by_brute_force(texts, words=5, least=0.8):
+    sets = {i: set(shingle_hashes(t, words).tolist()) for i, t in texts.items()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return sorted({find(i) for i in sets})
+
+
+def test_links_hidden_among_rejected_ones_are_found(spark, docs):
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    shared = [word() for _ in range(260)]
+    texts = {i: " ".join(shared + [word() for _ in range(40)]) for i in range(150)}  # pairwise similarity 0.76
+    for i in range(0, 60, 2):  # planted pairs just over 0.8
+        texts[200 + i] = " ".join(shared + texts[i].split()[260:270] + [word() for _ in range(30)])
+    want = kept_by_brute_force(texts)
+    assert 150 <= len(want) < 180
+    assert sorted(r.doc_id for r in one_per_group(spark, docs(*texts.items())).collect()) == want
