@@ -175,7 +175,8 @@ def _compare(radius: int, first_radius: int | None):
     """Rows sorted by band value; whole groups fill tiles, so pairs of different groups are compared too, which is harmless.
 
     With ``first_radius``, tiles compare the first 64 bits at that radius and
-    only pairs that pass are counted in full.
+    only pairs that pass are counted in full, over 128 bits; what a fingerprint
+    holds beyond these only tells it from others.
     """
 
     def links(keys: list[bytes]) -> pa.RecordBatch:
@@ -185,7 +186,7 @@ def _compare(radius: int, first_radius: int | None):
             a, b, distance = Tile(rows, radius).close_pairs()
         else:
             a, b, _ = Tile(rows[:, :8], first_radius).close_pairs()
-            distance = np.bitwise_count(rows[a] ^ rows[b]).sum(axis=1, dtype=np.int64)
+            distance = np.bitwise_count(rows[a, :16] ^ rows[b, :16]).sum(axis=1, dtype=np.int64)
             near = distance <= radius
             a, b, distance = a[near], b[near], distance[near]
         chosen = forest(len(prints), a, b, distance)
@@ -262,7 +263,7 @@ SIMILAR_FIRST_RADIUS = 20
 
 
 def _drawn_keys(print_: bytes) -> bytes:
-    return np.packbits(np.unpackbits(np.frombuffer(print_, np.uint8))[_DRAWN]).tobytes()
+    return np.packbits(np.unpackbits(np.frombuffer(print_[:16], np.uint8))[_DRAWN]).tobytes()
 
 
 def _similar(least: float, words: int):
@@ -419,9 +420,10 @@ def one_per_group(spark: SparkSession, docs: DataFrame, words: int = 5, similari
     Texts are linked if their sets of ``words``-word shingles have a Jaccard
     similarity of at least ``similarity``; groups follow links. The row with the
     smallest id stays (null ids are larger than others); rows that repeat text
-    and id count as one. Texts without words form one group. A fingerprint's
-    first text stands for others that share all its 128 bits. An empty table
-    gives no rows; columns may have any names.
+    and id count as one. Texts without words form one group. Texts are one
+    node if their shingle sets have the same 128-bit digest, which stands behind
+    the 128 bits of the fingerprint. An empty table gives no rows; columns may
+    have any names.
     """
     ship(spark)
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(row_id).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -429,7 +431,8 @@ def one_per_group(spark: SparkSession, docs: DataFrame, words: int = 5, similari
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            out = [fingerprint(np.unique(shingle_hashes(t, words)), 2) for t in batch.column("text").to_pylist()]
+            sets = [np.unique(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
+            out = [fingerprint(x, 2) + xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=schema.fieldNames())
 
     marked = saved(spark, source.mapInArrow(mark, schema), "marked")

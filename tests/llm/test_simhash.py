@@ -124,3 +124,17 @@ def test_links_hidden_among_rejected_ones_are_found(spark, docs):
     want = kept_by_brute_force(texts)
     assert 150 <= len(want) < 180
     assert sorted(r.doc_id for r in one_per_group(spark, docs(*texts.items())).collect()) == want
+
+
+def test_no_similar_pair_is_lost_among_short_texts(spark, docs):
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    texts = {}
+    for shingles, more in ((4, 1), (5, 1), (12, 3), (89, 11)):  # similarity 0.8 and little over
+        for _ in range(60):
+            base = [word() for _ in range(shingles + 4)]
+            texts[len(texts)] = " ".join(base)
+            texts[len(texts)] = " ".join(base + [word() for _ in range(more)])
+    want = kept_by_brute_force(texts)
+    assert len(want) == 240
+    assert sorted(r.doc_id for r in one_per_group(spark, docs(*texts.items())).collect()) == want
