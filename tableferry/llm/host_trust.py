@@ -1,10 +1,10 @@
 """URL verdicts from rules and from trust that spreads over links between hosts.
 
 Rules decide the urls they fit. Every other url gets its host's verdict: trust
-starts at hosts where rules allow at least half of the pages, by that share, and
-follows links (personalised PageRank); distrust starts at hosts where rules
-block at least half of them and follows links backwards, since a host that links to blocked ones deserves
-it. A host is blocked where distrust outweighs trust by the threshold.
+starts at hosts where rules allow pages, by their share, and follows links
+(personalised PageRank); distrust starts at hosts where rules block pages, by
+their share, and follows links backwards, since a host that links to blocked
+ones deserves it. A host is blocked where distrust outweighs trust by the threshold.
 
 Both walks run as one: a table of directed, weighted edges (kind, source,
 target), joined with the scores of (kind, host) and added up per target each
@@ -22,10 +22,9 @@ from pyspark.sql import functions as F
 from tableferry.llm.common import saved
 
 DAMPING = 0.85
-ROUNDS = 12
+SAVED_ROUNDS = 4
 TOLERANCE = 1e-4
 THRESHOLD = 1.0
-SEED_SHARE = 0.5
 
 
 @dataclass(frozen=True)
@@ -85,17 +84,21 @@ def rule_verdict(rule: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 def host_links(pages: DataFrame) -> DataFrame:
     """(``source``, ``target``, ``n``): links between different hosts in the pages' html, added up."""
     found = F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""), 1))
-    links = pages.select(F.col("host").alias("source"), found.alias("link")).filter(F.col("link").contains("://"))
+    links = pages.select(F.col("host").alias("source"), found.alias("link"))
+    found = F.when(F.col("link").startswith("//"), F.concat(F.lit("http:"), F.col("link"))).otherwise(F.col("link"))  # the page's scheme; only the host counts
+    links = links.withColumn("link", found).filter(F.col("link").contains("://"))
     links = links.select("source", host_of(F.col("link")).alias("target")).filter("source <> '' and target <> '' and source <> target")
     return links.groupBy("source", "target").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spread(spark: SparkSession, seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def spread(spark: SparkSession, seeds: DataFrame, links: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
     """(``kind``, ``host``, ``score``) after personalised PageRank from ``seeds`` (kind, host, weight).
 
     Kind 'trust' follows links, kind 'distrust' follows them backwards. Weights
     are made to add up to one per kind. What reaches a host without further
-    links is not passed on. Rounds end early when scores stop moving.
+    links is not passed on. Without ``rounds``, the walk ends when a few rounds
+    reach no new host and move the scores by less than the tolerance: the
+    damping bounds the rounds after the last host was reached (below 75).
     """
     directed = links.select(F.lit("trust").alias("kind"), "source", "target", "n").unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "n")
@@ -107,13 +110,19 @@ def spread(spark: SparkSession, seeds: DataFrame, links: DataFrame, rounds: int
     now = start.withColumnRenamed("start", "score")
     if edges.isEmpty():
         return now
-    for step in range(rounds):
-        passed = now.withColumnRenamed("host", "source").join(edges, ["kind", "source"]).select("kind", F.col("target").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
-        back = start.select("kind", "host", ((1 - damping) * F.col("start")).alias("score"))
-        after = saved(spark, passed.unionByName(back).groupBy("kind", "host").agg(F.sum("score").alias("score")), f"host-scores-{step}")
-        moved = after.withColumnRenamed("score", "new").join(now, ["kind", "host"], "full").agg(F.sum(F.abs(F.coalesce("new", F.lit(0.0)) - F.coalesce("score", F.lit(0.0)))).alias("moved"))
+    back = start.select("kind", "host", ((1 - damping) * F.col("start")).alias("score"))
+    done = 0
+    while rounds is None or done < rounds:
+        after = now
+        for _ in range(SAVED_ROUNDS if rounds is None else min(SAVED_ROUNDS, rounds - done)):
+            passed = after.withColumnRenamed("host", "source").join(edges, ["kind", "source"]).select("kind", F.col("target").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
+            after = passed.unionByName(back).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+            done += 1
+        after = saved(spark, after, f"host-scores-{done}")
+        both = after.withColumnRenamed("score", "new").join(now, ["kind", "host"], "full")
+        change = both.agg(F.sum(F.abs(F.coalesce("new", F.lit(0.0)) - F.coalesce("score", F.lit(0.0)))).alias("moved"), F.count_if(F.col("score").isNull()).alias("reached")).first()
         now = after
-        if (moved.first()["moved"] or 0.0) < TOLERANCE:
+        if (change["moved"] or 0.0) < TOLERANCE and not change["reached"]:
             break
     return now
 
@@ -123,17 +132,17 @@ def judge(spark: SparkSession, pages: DataFrame, rules: tuple[Rule, ...] = RULES
 
     A url without a host has no rule and is allowed, as is one whose host no
     walk reaches. Rows may repeat; null html has no links. An empty table gives
-    no rows. Scores are given per unit of an even share, so they do not shrink
-    with the number of hosts.
+    no rows. Scores are given per unit of the seeds' weight, so they do not
+    shrink with the number of hosts.
     """
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     parsed = parsed.withColumn("rule", matched_rule(F.col("host"), F.col("path"), rules)).withColumn("given", rule_verdict(F.col("rule"), rules))
     hosts = parsed.filter("host <> ''").groupBy("host").agg(
         (F.count_if(F.col("given") == "allow") / F.count(F.lit(1))).alias("trust"), (F.count_if(F.col("given") == "block") / F.count(F.lit(1))).alias("distrust")
     )
-    seeds = saved(spark, hosts.unpivot("host", ["trust", "distrust"], "kind", "weight").filter(F.col("weight") >= SEED_SHARE), "host-weights").select("kind", "host", "weight")
+    seeds = saved(spark, hosts.unpivot("host", ["trust", "distrust"], "kind", "weight").filter("weight > 0"), "host-weights").select("kind", "host", "weight")
     scores = spread(spark, seeds, host_links(parsed))
-    even = seeds.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    even = seeds.groupBy("kind").agg(F.sum("weight").alias("n"))
     scaled = scores.join(F.broadcast(even), "kind").withColumn("score", F.col("score") * F.col("n"))  # two rows
     both = scaled.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"))
     judged = parsed.drop("html").join(both, "host", "left")

@@ -53,3 +53,19 @@ def test_links_decide_where_no_rule_does(spark):
     got = sorted((r.page_id, r.rule, r.verdict) for r in judge(spark, spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == [(1, "com/", "allow"), (2, "net/es/", "block"), (3, None, "block"), (4, None, "allow"), (5, None, "allow"), (6, None, "allow"), (6, None, "allow")]
     assert judge(spark, spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_distrust_walks_a_long_chain_from_a_minor_share(spark):
+    link = lambda url: f'<a href="{url}">x</a>'
+    rows = [(i, f"http://h{i}.org/", link(f"//h{i + 1}.org/x" if i % 2 else f"http://h{i + 1}.org/"), "r") for i in range(1, 30)]
+    rows += [(30, "http://h30.org/", link("//some.net/a?u=http://h1.org/"), "r")]
+    rows += [(40 + i, f"http://some.net/{'es' if i < 2 else 'en'}/{i}", None, "r") for i in range(5)]  # 2 of 5 pages blocked
+    got = {r.page_id: r.verdict for r in judge(spark, spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == dict.fromkeys([r[0] for r in rows], "block")
+
+
+def test_walk_ends_converged(spark):
+    links = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "source string, target string, n long")
+    seeds = spark.createDataFrame([("trust", "a", 1.0)], "kind string, host string, weight double")
+    got = {r.host: r.score for r in spread(spark, seeds, links).collect()}
+    assert abs(got["a"] - 0.15 / (1 - 0.85**2)) < 1e-4 and abs(got["b"] - 0.85 * got["a"]) < 2e-4
