@@ -10,16 +10,20 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.session import scratch_path
+from tableferry.sources.files import delete_path
 
 SLICE_BYTES = 2 << 20
 
 
 _shipped: set[str] = set()
 
+#: Paths of the tables that ``saved`` wrote and nobody deleted yet.
+written: list[str] = []
+
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application."""
@@ -39,7 +43,26 @@ def saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written.append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables that ``saved`` returned, once nothing will read them again."""
+    for table in tables:
+        delete_path(spark, table._written_at)
+        if table._written_at in written:
+            written.remove(table._written_at)
+
+
+def discard_all(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of ``saved`` by their paths."""
+    for path in paths:
+        delete_path(spark, path)
+        if path in written:
+            written.remove(path)
 
 
 def width(spark: SparkSession) -> int:
@@ -52,6 +75,16 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def whole_numbers(vector: Column, scale: int) -> Column:
+    """Components as floor(scale * x), x as double; null for a null vector and for one with null or non-finite components.
+
+    What a long cannot hold becomes the largest or smallest long.
+    """
+    x = vector.cast("array<double>")
+    broken = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    return F.when(~broken, F.transform(x, lambda c: F.floor(c * scale).cast("long")))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of rows of about ``size`` bytes of ``column`` (at least one row each)."""
     for batch in batches:

@@ -7,7 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tableferry.llm import exact_dedup, host_trust, packing, pieces, ring, simhash, suffix_dedup, templates, threshold_search, toxicity
+from tableferry.llm import (
+    centroids,
+    exact_dedup,
+    host_trust,
+    packing,
+    pieces,
+    quality_rules,
+    ring,
+    simhash,
+    suffix_dedup,
+    templates,
+    threshold_search,
+    toxicity,
+    vector_codes,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,11 +95,99 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of the 64-component vectors, as whole numbers."""
+    found = centroids.cluster(spark, _table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, and whether base rules and risk-bounded cutoffs keep it."""
+    judged, _ = quality_rules.judge(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), payload=["doc_id"])
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("row.doc_id", *counts, "base_failed", "kept")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-byte codes of the vectors with their errors."""
+    coded, books = vector_codes.compress(spark, _table(spark, sf_dir, "embeddings"))
+    found = vector_codes.with_label_error(spark, coded)
+    return found.select("vec_id", vector_codes.code_text().alias("code"), "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_url_filter, op3_pieces, op4_main_text, op5_packing, op6_sharding, op7_top_k, op8_exact_dedup, op9_simhash, op10_suffix_dedup)
+    for f in (
+        op1_toxicity,
+        op2_url_filter,
+        op3_pieces,
+        op4_main_text,
+        op5_packing,
+        op6_sharding,
+        op7_top_k,
+        op8_exact_dedup,
+        op9_simhash,
+        op10_suffix_dedup,
+        op11_centroids,
+        op12_quality_rules,
+        op13_vector_codes,
+    )
 } | {"pipeline": corpus_pipeline.run}
 
+
+def _centroid_sql(k: int, rounds: int) -> str:
+    """Every round as two steps: the nearest centroid of each vector, then the floors of the means."""
+    steps = [
+        f"""v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)), e) - 1 AS n, e FROM v
+            QUALIFY n < {k}
+        )"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+            SELECT v.r, any_value(v.vec_id) AS vec_id, any_value(v.e) AS e, min({{'d': CAST(list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), 'n': c.n}}) AS near
+            FROM v CROSS JOIN c{i} AS c GROUP BY v.r)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+            WITH x AS (SELECT near.n AS n, unnest(e) AS x, unnest(range(64)) AS p FROM a{i}),
+            m AS (SELECT n, p, CAST(sum(x) AS BIGINT) AS s, count(*) AS q FROM x GROUP BY n, p),
+            f AS (SELECT n, list((s - ((s % q) + q) % q) // q ORDER BY p) AS e FROM m GROUP BY n)
+            SELECT c.n, coalesce(f.e, c.e) AS e FROM c{i} AS c LEFT JOIN f USING (n))""")
+    return f"""WITH {", ".join(steps)}
+        SELECT vec_id, CAST(near.n AS INTEGER) AS cluster, near.d AS distance, CAST(sum(near.d) OVER (PARTITION BY near.n) AS BIGINT) AS cluster_inertia,
+            CAST(sum(near.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} AS c ON c.n = near.n"""
+
+
+def _codes_sql(entries: int, rounds: int) -> str:
+    """The same two steps per part position."""
+    steps = [
+        f"""v AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS MATERIALIZED (
+            SELECT r, p, e[1 + p * len(e) // 4 : (p + 1) * len(e) // 4] AS e FROM v, (SELECT unnest(range(4)) AS p)
+        ), c0 AS MATERIALIZED (SELECT p, r - 1 AS n, e FROM s WHERE r <= {entries})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+            SELECT s.r, s.p, any_value(s.e) AS e, min({{'d': CAST(list_sum(list_transform(list_zip(s.e, c.e), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT), 'n': c.n}}) AS near
+            FROM s JOIN c{i} AS c USING (p) GROUP BY s.r, s.p)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+            WITH x AS (SELECT p, near.n AS n, unnest(e) AS x, unnest(range(len(e))) AS k FROM a{i}),
+            m AS (SELECT p, n, k, CAST(sum(x) AS BIGINT) AS s, count(*) AS q FROM x GROUP BY p, n, k),
+            f AS (SELECT p, n, list((s - ((s % q) + q) % q) // q ORDER BY k) AS e FROM m GROUP BY p, n)
+            SELECT c.p, c.n, coalesce(f.e, c.e) AS e FROM c{i} AS c LEFT JOIN f USING (p, n))""")
+    return f"""WITH {", ".join(steps)},
+        o AS (SELECT r, string_agg(printf('%02x', near.n), '' ORDER BY p) AS code, CAST(sum(near.d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+        b AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, n)) AS codebooks_sha256 FROM c{rounds})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN o USING (r), b"""
+
+
 ORACLES = {
     "op7_top_k": """
         WITH v AS (
@@ -100,6 +202,8 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
             sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op11_centroids": _centroid_sql(centroids.CENTROIDS, centroids.ROUNDS),
+    "op13_vector_codes": _codes_sql(vector_codes.ENTRIES, vector_codes.ROUNDS),
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
