@@ -106,7 +106,7 @@ class Tile:
 
     def close_pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs (i < j) within the radius, and their distances."""
-        levels = self.radius.bit_length()
+        levels = max(1, self.radius.bit_length())
         row = np.arange(self.n)
         alive = self.open.copy()
         counters = [np.zeros_like(alive) for _ in range(levels)]
