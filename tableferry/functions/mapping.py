@@ -187,7 +187,7 @@ def map_schema(df: DataFrame, target: T.StructType, zone: str = "UTC", allow_mis
 def map_schema_flagged(
     df: DataFrame, target: T.StructType, zone: str = "UTC", keep_source: bool = False
 ) -> DataFrame:
-    """Like ``map_schema`` but bad values become null and ``_rejects`` names their columns.
+    """Like ``map_schema`` but bad values become null and ``_rejects`` names their columns; it is null for a clean row.
 
     ``keep_source`` adds ``_source``, the row as it came as JSON text, for bad rows.
     """
@@ -196,7 +196,7 @@ def map_schema_flagged(
     named = F.array(*[F.when(wrong, F.lit(field.name)) for field, wrong in zip(target.fields, bad)])
     # Only a bad row pays for naming its columns and printing itself.
     any_bad = reduce(lambda left, right: left | right, bad)
-    rejects = F.when(any_bad, F.array_compact(named)).otherwise(F.array().cast("array<string>"))
+    rejects = F.when(any_bad, F.array_compact(named))
     columns = [F.col(f"__{position}").alias(field.name) for position, field in enumerate(target.fields)]
     columns.append(rejects.alias(REJECTS))
     if keep_source:
@@ -207,7 +207,7 @@ def map_schema_flagged(
 
 def split_rejects(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean rows without the flag, and rejected rows with it."""
-    clean = F.size(REJECTS) == 0
+    clean = F.col(REJECTS).isNull()
     return flagged.filter(clean).drop(REJECTS, SOURCE), flagged.filter(~clean)
 
 

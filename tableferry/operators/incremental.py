@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,18 +12,20 @@ from pyspark.sql import types as T
 from tableferry.functions.nested import quoted
 
 
-def high_water_mark(target: DataFrame, column: str) -> Column | None:
-    """The largest value the target holds, as a literal, or ``None`` when it holds none.
+def _values(df: DataFrame, column: str, *wanted: Callable[[Column], Column]) -> list[Column | None]:
+    """Aggregates of a column as literals, ``None`` where there is none; one job.
 
     Times travel as microseconds, as a Python datetime would pass through the
     driver's own time zone.
     """
-    top = F.max(quoted(column))
-    if isinstance(target.schema[column].dataType, T.TimestampType):
-        micros = target.agg(F.unix_micros(top).alias("mark")).first().mark
-        return None if micros is None else F.timestamp_micros(F.lit(micros))
-    mark = target.agg(top.alias("mark")).first().mark
-    return None if mark is None else F.lit(mark)
+    is_time = isinstance(df.schema[column].dataType, T.TimestampType)
+    found = df.agg(*[(F.unix_micros(f(quoted(column))) if is_time else f(quoted(column))).alias(f"v{i}") for i, f in enumerate(wanted)]).first()
+    return [None if v is None else F.timestamp_micros(F.lit(v)) if is_time else F.lit(v) for v in found]
+
+
+def high_water_mark(target: DataFrame, column: str) -> Column | None:
+    """The largest value the target holds, as a literal, or ``None`` when it holds none."""
+    return _values(target, column, F.max)[0]
 
 
 def rows_above(df: DataFrame, column: str, mark: Column | None) -> DataFrame:
@@ -54,10 +57,10 @@ def incremental_by_key(df: DataFrame, target: DataFrame, column: str, key: list[
 
 def key_range(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """The part of ``target`` whose ``column`` lies within the values of ``df``: two values are fetched, and they prune the scan."""
-    low, high = df.agg(F.min(quoted(column)), F.max(quoted(column))).first()
+    low, high = _values(df, column, F.min, F.max)
     if low is None:
         return target.limit(0)
-    return target.filter(quoted(column).between(F.lit(low), F.lit(high)))
+    return target.filter(quoted(column).between(low, high))
 
 
 def rows_not_in(df: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ import argparse
 import logging
 import sys
 
+from tableferry.operators.load import MODES
 from tableferry.plans.move import METHODS, Job, batch_totals, move_all, move_table
 from tableferry.session import build_session
 
@@ -22,7 +23,7 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--table", "--bq-table", help="name of the target table")
     parser.add_argument("--stage-root", "--temp-bucket", help="folder for staged copies")
     parser.add_argument("--method", choices=list(METHODS), default="staged")
-    parser.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
+    parser.add_argument("--mode", choices=list(MODES), default="overwrite")
     parser.add_argument("--nested", choices=["json", "keep"], default="json")
     parser.add_argument("--keep-nulls", action="store_true", help="JSON text keeps null fields and microseconds")
     parser.add_argument("--version", type=int, help="version of the source table")
@@ -37,6 +38,7 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--key", action="append", default=[], help="append only rows whose key the target lacks")
     parser.add_argument("--incremental-column", help="append only rows above the target's largest value")
     parser.add_argument("--since", help="append only rows of commits after this time")
+    parser.add_argument("--switch", action="store_true", help="let a new target be a view that shows each load in one step and remembers the source version")
     parser.add_argument("--config-file", help="JSON array of tables to move")
     parser.add_argument("--parallel", type=int, default=1, help="tables moved at the same time")
     parser.add_argument("--no-verify", action="store_true")
@@ -85,6 +87,7 @@ def main(argv: list[str] | None = None) -> int:
             date_columns=tuple(args.date_column),
             time_columns=tuple(args.time_column),
             rejects=args.rejects,
+            switch=args.switch,
         )
         results = move_table(spark, job, **flags)
     for row in results.collect():  # one line per table of the batch

@@ -7,25 +7,28 @@ import logging
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.functions.mapping import map_schema, target_schema
+from tableferry.functions.mapping import map_schema, map_schema_flagged, split_rejects, target_schema
+from tableferry.functions.nested import quoted
 from tableferry.operators.incremental import incremental, incremental_by_key, rows_not_in
 from tableferry.operators.load import LoadResult, load_direct, load_permissive, load_staged, prepare, remove_stage, stage_path
 from tableferry.operators.verify import verify_checksum, verify_counts
 from tableferry.session import has_source, scratch_root, text_frame
 from tableferry.sources.batch_config import read_config
-from tableferry.sources.catalog import Definition, create_schema, quote_name, table_exists
+from tableferry.sources.catalog import Definition, Pointer, create_schema, quote_name, read_pointer, table_definition, table_exists
 from tableferry.sources.files import path_exists
 from tableferry.sources.log_table import (
     TableLog,
     latest_version,
     log_detail,
     open_log,
+    read_after,
     read_since,
     read_table,
     scan_snapshot,
@@ -50,7 +53,10 @@ class Job:
 
     Three ways to move only what is new, all for appends: ``since`` takes the
     rows of commits after a time, ``incremental_column`` the rows above the
-    target's largest value, ``key`` the rows whose key the target lacks.
+    target's largest value, ``key`` the rows whose key the target lacks. With
+    ``switch`` the target is a pointer, which stores the source version it holds
+    in the step that shows the rows; an append that states none of the three
+    then takes what the source committed since.
     """
 
     source_path: str | None
@@ -75,6 +81,7 @@ class Job:
     keep_nulls: bool = False
     map_types: bool = False
     rejects: str | None = None
+    switch: bool = False
 
     @property
     def mapped(self) -> bool:
@@ -95,6 +102,10 @@ class Job:
             raise ValueError(f"unknown method {self.method!r}, expected staged or direct")
         if (self.key or self.incremental_column or self.since) and self.mode != "append":
             raise ValueError("key, incremental_column and since only make sense with mode append")
+        if self.switch and self.format:
+            raise ValueError("only a catalog table can be behind a pointer")
+        if self.mode == "partitions" and (self.format or self.switch or self.rejects):
+            raise ValueError("partitions can only be replaced in a plain catalog table, without setting rows aside")
         if self.rejects and (self.format or METHODS[self.method] != "staged"):
             raise ValueError("rows can only be set aside on the staged way into a catalog table")
 
@@ -114,30 +125,56 @@ class Source:
         return self.rows if self.unfiltered is None else self.unfiltered
 
 
-def _read_source(spark: SparkSession, job: Job) -> Source:
+def _mark(job: Job) -> str:
+    """Name of the mark that holds a source's version."""
+    return "version of " + split_version(job.source_path)[0].rstrip("/")
+
+
+def _held_version(pointer: Pointer | None, job: Job) -> int | None:
+    """The source version from which an append with nothing stated goes on; ``None`` to read the whole source."""
+    if pointer is None or job.mode != "append" or job.since or job.key or job.incremental_column:
+        return None
+    held = pointer.marks.get(_mark(job))
+    return None if held is None else int(held)
+
+
+def _new_marks(job: Job, source: Source) -> dict[str, str]:
+    """What a load into a pointer proves: afterwards the target holds this version. Appends by time or high-water mark prove less."""
+    if source.version is None or job.since or job.incremental_column:
+        return {}
+    return {_mark(job): str(source.version)}
+
+
+def _read_source(spark: SparkSession, job: Job, held: int | None = None) -> Source:
     path, version = split_version(job.source_path, job.version)
     if has_source(spark, "delta"):
         version = latest_version(spark, path) if version is None else version
-        rows = read_since(spark, path, job.since, version) if job.since else read_table(spark, path, version)
+        rows = _read_rows(spark, job, path, version, held)
         detail = table_detail(spark, path).first()
         source = Source(rows, version, tuple(c for c in detail.partition_columns.split(",") if c))
     else:
-        source = _replay_source(spark, job, path, version)
+        source = _replay_source(spark, job, path, version, held)
     if job.mapped and not job.rejects:
         schema = target_schema(source.rows.schema, job.date_columns, job.time_columns)
         source = replace(source, rows=map_schema(source.rows, schema))
     return source
 
 
-def _replay_source(spark: SparkSession, job: Job, path: str, version: int | None) -> Source:
+def _read_rows(spark: SparkSession, job: Job, path: str, version: int, held: int | None) -> DataFrame:
+    if job.since:
+        return read_since(spark, path, job.since, version)
+    return read_table(spark, path, version) if held is None else read_after(spark, path, held, version)
+
+
+def _replay_source(spark: SparkSession, job: Job, path: str, version: int | None, held: int | None) -> Source:
     try:
         opened = open_log(spark, path, version)
     except FileNotFoundError:
-        if version is not None or job.since or not path_exists(spark, path):
+        if version is not None or job.since or held is not None or not path_exists(spark, path):
             raise
         return Source(read_table(spark, path, fmt="parquet"))
     _report_detail(opened)
-    rows = read_since(spark, path, job.since, opened.version) if job.since else scan_snapshot(spark, opened)
+    rows = scan_snapshot(spark, opened) if not job.since and held is None else _read_rows(spark, job, path, opened.version, held)
     return Source(rows, opened.version, tuple(opened.partition_columns))
 
 
@@ -195,10 +232,12 @@ def _layout(spark: SparkSession, job: Job, source: Source) -> Definition | None:
 
 def _load(spark: SparkSession, job: Job, source: Source, staged: list[str]) -> LoadResult:
     settings = {"nested": job.nested, "keep_nulls": job.keep_nulls, "definition": _layout(spark, job, source)}
+    if not job.format and (job.switch or read_pointer(spark, job.target)):
+        settings.update(switch=True, marks=_new_marks(job, source))
     if job.rejects:
         root = job.stage_root or f"{scratch_root(spark)}/stage"
         schema = target_schema(source.rows.schema, job.date_columns, job.time_columns)
-        result, _ = load_permissive(source.rows, schema, job.target, job.rejects, root, job.mode, **settings)
+        result, _ = load_permissive(source.rows, schema, job.target, job.rejects, root, job.mode, skip_known=bool(job.key), **settings)
         staged.append(result.staged_path)
         return result
     settings.update(fmt=job.format, options=connector_options(job))
@@ -223,21 +262,35 @@ def _verify(spark: SparkSession, job: Job, source: Source, before: int, result:
 
     With a key, the rows still to add are none by now, so the target must hold
     what it held plus what was written, and no key of the whole source may be
-    missing from it. Rows set aside are not expected in the target.
+    missing from it, but for those of rows that are set aside.
     """
     try:
         target = _read_target(spark, job)
+        if job.mode == "partitions":  # only those that the source has rows of
+            columns = table_definition(spark, job.target).partition_by
+            target = rows_in(target, prepare(source.rows, job.nested, job.keep_nulls), columns) if columns else target
         if not job.key:
             row = verify_counts(source.rows, target, before - result.rejected).first()
             return row.passed, row.target_rows
         row = verify_counts(source.rows.limit(0), target, before + result.rows).first()
-        keyed = source.whole.dropna(subset=[k for k in job.key])
+        whole = source.whole
+        if job.rejects:
+            schema = target_schema(whole.schema, job.date_columns, job.time_columns)
+            whole, _ = split_rejects(map_schema_flagged(whole, schema))
+        keyed = whole.dropna(subset=[k for k in job.key])
         return row.passed and rows_not_in(keyed, target, list(job.key)).isEmpty(), row.target_rows
     except Exception as error:
         log.error("verification could not run: %s", error)
         return False, None
 
 
+def rows_in(target: DataFrame, source: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Rows of ``target`` in partitions that ``source`` has rows of; nulls are a partition too."""
+    wanted = source.select(*[quoted(c).alias(f"__p{i}") for i, c in enumerate(columns)]).distinct()
+    same = reduce(lambda a, b: a & b, [quoted(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(columns)])
+    return target.join(wanted, same, "left_semi")
+
+
 def _same_content(spark: SparkSession, job: Job, source: DataFrame) -> bool:
     """Compare digests of all rows as they were loaded; a check that cannot be carried out counts as failed."""
     try:
@@ -266,7 +319,8 @@ def run_job(
     staged: list[str] = []
     try:
         job.check()
-        source = _read_source(spark, job)
+        pointer = None if job.format else read_pointer(spark, job.target)
+        source = _read_source(spark, job, _held_version(pointer, job))
         outcome["source_version"] = source.version
         if not job.format:
             create_schema(spark, job.target.rsplit(".", 1)[0])

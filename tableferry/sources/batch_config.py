@@ -36,6 +36,7 @@ FIELDS = {
     "keep_nulls": "boolean",
     "map_types": "boolean",
     "rejects": "string",
+    "switch": "boolean",
 }
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.mapping import reject_intervals
-from tableferry.sources.files import decode_uri
+from tableferry.sources.files import decode_uri, delete_path
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -18,6 +19,12 @@ CLUSTER_PROPERTY = "tableferry.cluster_by"
 BUCKET_PROPERTY = "tableferry.buckets"
 # Set on tables that only a stream may append to.
 STREAM_PROPERTY = "tableferry.stream"
+# A pointer is a view that shows the loads 1..n of one table; its marks say how far each source has been read.
+POINTER_TABLE = "tableferry.pointer.table"
+POINTER_LOAD = "tableferry.pointer.load"
+MARK_PREFIX = "tableferry.mark."
+#: Partition column that numbers the loads of a table behind a pointer.
+LOAD = "__load"
 
 
 @dataclass(frozen=True)
@@ -42,6 +49,15 @@ class Definition:
         )
 
 
+@dataclass(frozen=True)
+class Pointer:
+    """What readers of a pointer see: the loads up to ``load`` of ``table``."""
+
+    table: str
+    load: int
+    marks: dict[str, str] = field(default_factory=dict)
+
+
 def quote_name(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.replace("`", "").split("."))
 
@@ -84,14 +100,64 @@ def create_table(
     spark.sql(" ".join(statement))
 
 
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quote_name(name)}").collect()}
+
+
+def read_pointer(spark: SparkSession, name: str) -> Pointer | None:
+    """The pointer of that name, ``None`` for anything else."""
+    if not table_exists(spark, name):
+        return None
+    properties = table_properties(spark, name)
+    if POINTER_TABLE not in properties:
+        return None
+    marks = {k.removeprefix(MARK_PREFIX): v for k, v in properties.items() if k.startswith(MARK_PREFIX)}
+    return Pointer(properties[POINTER_TABLE], int(properties[POINTER_LOAD]), marks)
+
+
+def set_pointer(spark: SparkSession, name: str, pointer: Pointer, comment: str | None = None) -> None:
+    """Create the view or let it show something else, marks included: one step of the catalog.
+
+    Other properties of the view stay.
+    """
+    before = table_properties(spark, name) if table_exists(spark, name) else {}
+    own = {k: v for k, v in before.items() if not k.startswith((POINTER_TABLE, POINTER_LOAD, MARK_PREFIX))}
+    own.update({POINTER_TABLE: pointer.table, POINTER_LOAD: str(pointer.load), **{MARK_PREFIX + k: v for k, v in pointer.marks.items()}})
+    pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in own.items())
+    columns = ", ".join(quote_column(c) for c in spark.table(quote_name(pointer.table)).columns if c != LOAD)
+    told = f" COMMENT {_text(comment)}" if comment else ""
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {quote_name(name)}{told} TBLPROPERTIES ({pairs}) AS "
+        f"SELECT {columns} FROM {quote_name(pointer.table)} WHERE {LOAD} <= {pointer.load}"
+    )
+
+
+def stored_table(spark: SparkSession, name: str) -> str:
+    """The table that holds the rows: the one behind a pointer, else the table itself."""
+    pointer = read_pointer(spark, name)
+    return pointer.table if pointer else name
+
+
+def drop_loads(spark: SparkSession, table: str, after: int) -> None:
+    """Remove what lies in a pointer's table beyond a load: partitions of the catalog and folders nobody registered."""
+    rows = spark.sql(f"SHOW PARTITIONS {quote_name(table)}").collect()
+    beyond = [r.partition for r in rows if int(re.match(f"{LOAD}=(\\d+)", r.partition)[1]) > after]
+    if beyond:
+        specs = ", ".join(f"PARTITION ({_spec(p)})" for p in beyond)
+        spark.sql(f"ALTER TABLE {quote_name(table)} DROP IF EXISTS {specs}")
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}").filter("col_name = 'Location'").first().data_type
+    delete_path(spark, f"{place}/{LOAD}={after + 1}")
+
+
 def table_definition(spark: SparkSession, name: str) -> Definition:
-    quoted = quote_name(name)
-    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted}").collect()
-    properties = {r.key: r.value for r in rows}
+    """Layout and description of a table, or of the table behind a pointer."""
+    pointer = read_pointer(spark, name)
+    quoted = quote_name(pointer.table if pointer else name)
+    properties = table_properties(spark, quoted)
     cluster_by = properties.pop(CLUSTER_PROPERTY, "")
     buckets = int(properties.pop(BUCKET_PROPERTY, "0"))
     return Definition(
-        partition_by=tuple(c.name for c in spark.catalog.listColumns(quoted) if c.isPartition),
+        partition_by=tuple(c.name for c in spark.catalog.listColumns(quoted) if c.isPartition and not (pointer and c.name == LOAD)),
         cluster_by=tuple(c for c in cluster_by.split(",") if c),
         buckets=buckets,
         comment=spark.catalog.getTable(quoted).description,
@@ -100,6 +166,11 @@ def table_definition(spark: SparkSession, name: str) -> Definition:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table, or a pointer with the table behind it: first the view, so that nobody meets a view without rows."""
+    pointer = read_pointer(spark, name)
+    if pointer:
+        spark.sql(f"DROP VIEW IF EXISTS {quote_name(name)}")
+        name = pointer.table
     spark.sql(f"DROP TABLE IF EXISTS {quote_name(name)}")
 
 
@@ -113,7 +184,8 @@ def drop_schema(spark: SparkSession, name: str) -> None:
 
 
 def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
-    spark.sql(f"ALTER TABLE {quote_name(name)} SET TBLPROPERTIES ({_text(key)} = {_text(value)})")
+    kind = "VIEW" if read_pointer(spark, name) else "TABLE"
+    spark.sql(f"ALTER {kind} {quote_name(name)} SET TBLPROPERTIES ({_text(key)} = {_text(value)})")
 
 
 def create_view(spark: SparkSession, name: str, query: DataFrame | str) -> None:
@@ -134,16 +206,24 @@ def expire_partitions(spark: SparkSession, name: str, column: str, before: str)
     """
     value = decode_uri(F.regexp_extract("partition", f"(?:^|/){re.escape(column)}=([^/]*)", 1))
     pattern = F.when(F.length(value) == len("yyyy-MM-dd-HH"), F.lit("yyyy-MM-dd-HH")).otherwise(F.lit("yyyy-MM-dd"))
-    listed = spark.sql(f"SHOW PARTITIONS {quote_name(name)}").select(value.alias("value"), F.try_to_timestamp(value, pattern).alias("moment"))
-    listed = listed.filter(F.col("value") != NULL_PARTITION).distinct()
+    name = stored_table(spark, name)
+    listed = spark.sql(f"SHOW PARTITIONS {quote_name(name)}").select("partition", value.alias("value"), F.try_to_timestamp(value, pattern).alias("moment"))
+    listed = listed.filter(F.col("value") != NULL_PARTITION)
     unread = listed.filter("moment is null").select("value").first()
     if unread is not None:
         raise ValueError(f"partition value {unread.value!r} of {name} is neither a date nor an hour")
-    old = listed.filter(F.col("moment") < F.lit(before).cast("timestamp")).select("value").collect()
+    old = listed.filter(F.col("moment") < F.lit(before).cast("timestamp")).collect()
     if old:
-        specs = ", ".join(f"PARTITION ({quote_column(column)} = {_text(r.value)})" for r in old)
+        # whole specs, as not every catalog takes a part of one
+        specs = ", ".join(f"PARTITION ({_spec(r.partition)})" for r in old)
         spark.sql(f"ALTER TABLE {quote_name(name)} DROP IF EXISTS {specs}")
-    return len(old)
+    return len({r.value for r in old})
+
+
+def _spec(partition: str) -> str:
+    """``a=1/b=2`` of a partition listing as a partition spec."""
+    values = (part.split("=", 1) for part in partition.split("/"))
+    return ", ".join(f"{quote_column(unquote(k))} = {'NULL' if v == NULL_PARTITION else _text(unquote(v))}" for k, v in values)
 
 
 def rename_table(spark: SparkSession, name: str, new_name: str) -> None:

@@ -515,6 +515,30 @@ def read_since(spark: SparkSession, path: str, timestamp: str, until: int | None
     )
 
 
+def read_after(spark: SparkSession, path: str, version: int, until: int | None = None) -> DataFrame:
+    """Rows that the commits ``version+1..until`` inserted: what an append still lacks that holds ``version``.
+
+    Only a source that grew can be followed so. Commits that removed or changed
+    rows are refused, as are commits that the log no longer has.
+    """
+    path, _ = split_version(path)
+    log = open_log(spark, path, until)
+    if log.version <= version:
+        return empty_frame(spark, log.schema)
+    told = ("_change_type", "_commit_version", "_commit_timestamp")
+    if has_source(spark, "delta"):
+        changes = read_changes(spark, path, version, until)
+        other = changes.filter(F.col("_change_type") != "insert").select("_commit_version").first()
+        shrunk = None if other is None else other[0]
+    else:
+        lost = (F.col("remove").isNotNull() & F.col("remove.dataChange")) | F.col("cdc").isNotNull()
+        shrunk = _commits(spark, log.root, version + 1, log.version).filter(lost).agg(F.min("version")).first()[0]
+        changes = _changed(spark, log, version, ("add",)) if shrunk is None else None
+    if shrunk is not None:
+        raise ValueError(f"commit {shrunk} of {path} removed or changed rows; overwrite the target or name a key")
+    return changes.drop(*told)
+
+
 def write_log_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> int:
     """Write a log table and return its version.
 
