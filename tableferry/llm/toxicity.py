@@ -1,11 +1,11 @@
 """Toxic passages by maximum-scoring segment search over token log-odds.
 
-Counts. Words of the labelled training documents are counted per class, hashed
-to a fixed number of buckets, each word with its beginnings of four and six
-letters. A word's log-odds are those of Dirichlet posteriors: its prior is the
-class split of its longer beginning, whose prior is that of the shorter one,
-whose prior is the split of all words; so an unseen ending of a known stem still
-counts, and a word seen once counts next to nothing.
+Counts. Words of the labelled training documents are counted per class, each
+word with its beginnings of four and six letters, under 64-bit hashes. A word's
+log-odds are those of Dirichlet posteriors: its prior is the class split of its
+longer beginning, whose prior is that of the shorter one, whose prior is the
+split of all words; so an unseen ending of a known stem still counts, and a word
+seen once counts next to nothing.
 
 Passages. One linear scan finds all maximal scoring segments of a document
 (Ruzzo and Tompa). A segment's score is measured against chance by its
@@ -19,8 +19,9 @@ curve fitted to a bounded sample of training documents.
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,110 +32,146 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.llm.common import PieceCache, saved, ship, slices, whole_text
+from tableferry.llm.common import PieceCache, discard, saved, ship, slices, whole_text
 
-BUCKETS = 1 << 20
 STEMS = (4, 6)
 PRIOR = 10.0
 SCORE_LIMIT = 8.0
 DRIFT = 0.7
 EXPECTED = 0.01
+#: Labelled documents that words are counted in, about; more are thinned by a hash of their ids.
+TRAINING_ROWS = 1_000_000
+#: Labelled documents that the curve is fitted on, about.
 SAMPLE = 20_000
+#: Entries of a model, 16 bytes each; past it, entries seen least often give way to their beginnings.
+MODEL_ENTRIES = 4_000_000
 LEVELS = 1 + len(STEMS)
 
+_FLUSH = 1 << 20
+_STEP = 1 << 16  # scores are kept in steps of 1 / 65536
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def _places(token: str) -> list[int]:
-    """Buckets of the words in a token, each followed by those of its beginnings; levels do not share buckets."""
+def _keys(word: str) -> tuple[int, ...]:
+    """Hashes of a word and of its beginnings; every level has hashes of its own."""
     digest = xxhash.xxh3_64_intdigest
-    share = BUCKETS // LEVELS
-    return [
-        level * share + digest(w if not level else w[: STEMS[level - 1]], seed=level) % share
-        for w in _WORD.findall(token.lower())
-        for level in range(LEVELS)
-    ]
+    return tuple(digest(word if not level else word[: STEMS[level - 1]], seed=level) for level in range(LEVELS))
 
 
 class _Words:
-    """Buckets of words: one row per word, one column per level."""
+    """Numbers of words: ``encode`` maps a list of words to one number or row of numbers per word."""
+
+    def __init__(self, encode: Callable[[list[str]], np.ndarray], width: int):
+        self.encode, self.width = encode, width
+        self.cache = PieceCache(self._tokens)
 
-    def __init__(self):
-        self.cache = PieceCache(lambda tokens: [_places(t) for t in tokens])
+    def _tokens(self, tokens: list[str]) -> list[list[int]]:
+        words = [_WORD.findall(t.lower()) for t in tokens]
+        flat = [w for ws in words for w in ws]
+        numbers = self.encode(flat).ravel().tolist() if flat else []
+        ends = np.cumsum([0, *map(len, words)]) * self.width
+        return [numbers[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of all words in order, and each text's end among them. Words are runs of letters, lower-cased."""
+        """Numbers of all words in order, and each text's end among the words. Words are runs of letters, lower-cased."""
         for blank in ("\n", "\t", "\r"):
             texts = pc.replace_substring(texts, blank, " ")
-        ids, ends = self.cache.look_up_lists(pc.split_pattern(texts, " "))
-        return ids.reshape(-1, LEVELS), ends // LEVELS
+        numbers, ends = self.cache.look_up_lists(pc.split_pattern(texts, " "))
+        return numbers, ends // self.width
 
 
 def count_words(labelled: DataFrame) -> DataFrame:
-    """(``bucket``, ``label``, ``n``) over all rows of (text, label).
+    """(``word``, ``level``, ``toxic``, ``clean``) over all rows of (text, label): how often each class holds a word or beginning.
 
     Every task adds up its own documents first, so a shuffle row stands for a
-    bucket and task at most.
+    word and task; a task that meets very many words passes them on in parts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
-        total = np.zeros((2, BUCKETS), np.int64)
+        place: dict[tuple[int, int], int] = {}
+
+        def encode(words: list[str]) -> np.ndarray:
+            return np.array([[place.setdefault((level, k), len(place)) for level, k in enumerate(_keys(w))] for w in words])
+
+        def parts(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+            level, key = (np.fromiter((p[i] for p in place), kind, len(place)) for i, kind in ((0, np.int32), (1, np.uint64)))
+            for a in range(0, len(place), 100_000):
+                own = slice(a, min(a + 100_000, len(place)))
+                columns = [key[own].view(np.int64), level[own], total[1, own], total[0, own]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["word", "level", "toxic", "clean"])
+
+        words, total = _Words(encode, LEVELS), np.zeros((2, 0), np.int64)
         for batch in slices(batches, "text"):
-            buckets, ends = words.split(batch.column("text"))
+            ids, ends = words.split(batch.column("text"))
             owner = np.repeat(batch.column("label").to_numpy(), np.diff(ends))
+            total = np.pad(total, ((0, 0), (0, len(place) - total.shape[1])))
             for label in (0, 1):
-                total[label] += np.bincount(buckets[owner == label].ravel(), minlength=BUCKETS)
-        label, bucket = np.nonzero(total)
-        for a in range(0, len(label), 100_000):
-            k, b = label[a : a + 100_000], bucket[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(b.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(total[k, b])], names=["bucket", "label", "n"])
+                total[label] += np.bincount(ids.reshape(-1, LEVELS)[owner == label].ravel(), minlength=len(place))
+            if len(place) > _FLUSH:
+                yield from parts(total)
+                place.clear()
+                words, total = _Words(encode, LEVELS), np.zeros((2, 0), np.int64)
+        yield from parts(total)
 
-    return labelled.mapInArrow(run, "bucket int, label int, n long").groupBy("bucket", "label").agg(F.sum("n").alias("n"))
+    counted = labelled.mapInArrow(run, "word long, level int, toxic long, clean long")
+    return counted.groupBy("word", "level").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 @dataclass
 class Model:
-    """Log-odds per bucket (an array of fixed size), the scale of chance, and the curve to probabilities."""
+    """Counts per class of words and beginnings by sorted hash, all words of either class, the scale of chance, and the curve to probabilities."""
 
+    keys: np.ndarray
     toxic: np.ndarray
     clean: np.ndarray
+    words: tuple[float, float] = (0.5, 0.5)
     scale: float = 1.0
     curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
-    def token_scores(self, buckets: np.ndarray) -> np.ndarray:
+    def word_scores(self, words: list[str]) -> np.ndarray:
         """Log-odds of words, toxic against clean, less the drift that makes ordinary text fall."""
-        share = BUCKETS // LEVELS
-        toxic, clean = max(float(self.toxic[:share].sum()), 0.5), max(float(self.clean[:share].sum()), 0.5)
-        split = np.full(len(buckets), toxic / (toxic + clean))
+        toxic, clean = (max(n, 0.5) for n in self.words)
+        keys = np.array([_keys(w) for w in words], np.uint64)
+        split = np.full(len(words), toxic / (toxic + clean))
         for level in [*range(1, LEVELS), 0]:  # short beginnings, longer ones, the word
-            t, c = self.toxic[buckets[:, level]], self.clean[buckets[:, level]]
+            at = np.searchsorted(self.keys, keys[:, level])
+            known = at < len(self.keys)
+            known[known] = self.keys[at[known]] == keys[known, level]
+            t, c = np.zeros(len(words)), np.zeros(len(words))
+            t[known], c[known] = self.toxic[at[known]], self.clean[at[known]]
             split = (t + PRIOR * split) / (t + c + PRIOR)
         odds = np.log(split / (1 - split)) - np.log(toxic / clean)
         return np.clip(odds, -SCORE_LIMIT, SCORE_LIMIT) - DRIFT
 
+    def reader(self) -> _Words:
+        """Splits texts into word scores, in steps of 1 / 65536."""
+        return _Words(lambda words: np.rint(self.word_scores(words) * _STEP).astype(np.int64), 1)
+
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (start, end, score) in one pass.
+    """All maximal scoring segments (start, end, score) in one pass, in time linear in the number of words.
 
     Runs below zero only lower the running sum, so only positive words are
     visited; each becomes a segment that swallows earlier ones while that
-    raises its score.
+    raises its score. Every segment remembers the nearest earlier one that
+    begins at a smaller sum, so what lies between is never looked at again.
     """
     sums = np.concatenate([[0.0], np.cumsum(scores)])
-    kept: list[list] = []  # start, end, sum before, sum after
+    kept: list[tuple] = []  # start, end, sum before, sum after, place of the nearest earlier one with a smaller sum before
     for i in np.flatnonzero(scores > 0).tolist():
-        start, end, left, right = i, i + 1, float(sums[i]), float(sums[i + 1])
+        start, left, right = i, float(sums[i]), float(sums[i + 1])
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
             while j >= 0 and kept[j][2] >= left:
-                j -= 1
+                j = kept[j][4]
             if j < 0 or kept[j][3] >= right:
                 break
-            start, left = kept[j][0], kept[j][2]
+            start, _, left, _, before = kept[j]
             del kept[j:]
-        kept.append([start, end, left, right])
-    return [(a, b, r - l) for a, b, l, r in kept]
+            j = before
+        kept.append((start, i + 1, left, right, j))
+    return [(a, b, r - l) for a, b, l, r, _ in kept]
 
 
 def _lambda(values: np.ndarray, weights: np.ndarray) -> float:
@@ -180,40 +217,52 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float,
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text", row_id: str = "doc_id", label: str = "toxic") -> Model:
     """Model from the documents that ``labels`` (row_id, label) names for training.
 
-    Counts and the scale of chance cover all of them; a count table has at most
-    2 x BUCKETS rows. The curve is fitted on about SAMPLE training documents, chosen by a
-    hash of their ids. Of several labels of an id the largest counts.
-    Without labels of both classes every document scores alike, below 0.1.
+    About TRAINING_ROWS labelled ids are used, all if there are no more, chosen by
+    a hash; their ids go to every task, so no text is shuffled to meet its label.
+    Words and the scale of chance are counted over all of those documents, the
+    curve is fitted on about SAMPLE of them. Of several labels of an id the
+    largest counts. Without labels of both classes every document scores alike, below 0.1.
     """
     ship(spark)
     known = labels.filter(F.col(label).isin(0, 1) & F.col(row_id).isNotNull()).groupBy(F.col(row_id).alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
-    labelled = docs.select(F.col(row_id).alias("doc_id"), whole_text(text).alias("text")).join(known, "doc_id")
+    known = saved(spark, known, "labels")
+    near = lambda rows, wanted: rows.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < math.ceil(min(1.0, wanted / max(1, rows.count())) * (1 << 30)))
+    few = F.broadcast(near(known, TRAINING_ROWS))  # bounded by TRAINING_ROWS
+    labelled = docs.select(F.col(row_id).alias("doc_id"), whole_text(text).alias("text")).join(few, "doc_id")
     labelled = saved(spark, labelled, "labelled")
-    table = count_words(labelled.select("text", "label")).toArrow()
-    counts = np.zeros((2, BUCKETS), np.float64)
-    counts[table["label"].to_numpy(), table["bucket"].to_numpy()] = table["n"].to_numpy()
-    model = Model(counts[1], counts[0])
+    counts = saved(spark, count_words(labelled.select("text", "label")), "word-counts")
+    model = _model(counts)
     model.scale = _scale(labelled, model)
-    # about SAMPLE rows, picked by a hash of the id where they lie
-    share = int(min(1.0, SAMPLE / max(1, labelled.count())) * (1 << 30))
-    sample = labelled.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) <= share)
-    x = _score_frame(sample, model, ["label"]).select("label", "best", "total").toArrow().to_pandas()
+    x = _score_frame(near(labelled, SAMPLE), model, ["label"]).select("label", "best", "total").toArrow().to_pandas()
     if 0 < x["label"].sum() < len(x):
         model.curve = _fit(x[["best", "total"]].to_numpy(float), x["label"].to_numpy(float))
     else:
         model.curve = (-3.0, 0.0, 0.0)
+    discard(spark, known, labelled, counts)
     return model
 
 
+def _model(counts: DataFrame) -> Model:
+    """The count table as arrays of at most MODEL_ENTRIES entries."""
+    seen = F.col("toxic") + F.col("clean")
+    least = [1 << i for i in range(40)]
+    row = counts.agg(*[F.count_if(seen >= n).alias(f"n{n}") for n in least], *[F.coalesce(F.sum(F.when(F.col("level") == 0, F.col(c))), F.lit(0)).alias(c) for c in ("toxic", "clean")]).first()
+    enough = next(n for n in least if row[f"n{n}"] <= MODEL_ENTRIES)
+    table = counts.filter(seen >= enough).select("word", "toxic", "clean").toArrow()
+    keys = table["word"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return Model(keys[order], *(table[c].to_numpy()[order].astype(np.float32) for c in ("toxic", "clean")), (float(row["toxic"]), float(row["clean"])))
+
+
 def _scale(labelled: DataFrame, model: Model) -> float:
     """Lambda over the words of all clean training documents: a histogram of scores, added up per task."""
     edges = np.linspace(-SCORE_LIMIT - DRIFT, SCORE_LIMIT - DRIFT, 401)
     shared = labelled.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = _Words(), np.zeros(len(edges) - 1, np.int64)
+        words, total = shared.value.reader(), np.zeros(len(edges) - 1, np.int64)
         for batch in slices(batches, "text"):
-            total += np.histogram(shared.value.token_scores(words.split(batch.column("text"))[0]), edges)[0]
+            total += np.histogram(words.split(batch.column("text"))[0] / _STEP, edges)[0]
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["cell", "n"])
 
@@ -225,18 +274,18 @@ def _scale(labelled: DataFrame, model: Model) -> float:
 
 
 def _score_frame(rows: DataFrame, model: Model, payload: list[str]) -> DataFrame:
-    """``payload`` columns with ``best``, ``total``, ``score`` and ``passages`` of ``text``. The model's arrays have a fixed size, 16 MB."""
+    """``payload`` columns with ``best``, ``total``, ``score`` and ``passages`` of ``text``. The model's size is bounded by MODEL_ENTRIES."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
     kinds = rows.select(*payload).schema
     schema = T.StructType([*kinds, *T.StructType.fromDDL("best double, total double, score double, passages array<struct<first_word:int,end_word:int,expected:double>>").fields])
     out_type = pa.list_(pa.struct([("first_word", pa.int32()), ("end_word", pa.int32()), ("expected", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = _Words(), shared.value
-        w = model.curve
+        model = shared.value
+        words, w = model.reader(), model.curve
         for batch in slices(batches, "text"):
-            buckets, ends = words.split(batch.column("text"))
-            scores = model.token_scores(buckets)
+            scores, ends = words.split(batch.column("text"))
+            scores = scores / _STEP
             best, total, passages = [], [], []
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                 x, y, found = evidence(scores[a:b], model.scale)

@@ -1,10 +1,11 @@
 import random
+import time
 
 import numpy as np
 import pytest
 
 from made_docs import docs  # noqa: F401
-from tableferry.llm.toxicity import maximal_segments, score, train, training_rows
+from tableferry.llm.toxicity import count_words, maximal_segments, score, train, training_rows
 
 
 def by_definition(scores):
@@ -29,6 +30,23 @@ def test_segments_follow_their_definition(seed):
     assert [(a, b) for a, b, _ in maximal_segments(scores)] == by_definition(scores.tolist())
 
 
+@pytest.mark.parametrize("drift", [-0.01, -0.4, -2.0])
+def test_segments_take_linear_time(drift):
+    """1.6 million words whose sums fall, rise and stay: every second word is positive."""
+    rng = np.random.default_rng(1)
+    scores = np.where(np.arange(1_600_000) % 2 == 0, rng.uniform(0.5, 1.5, 1_600_000), rng.uniform(-1.5, -0.5, 1_600_000) + drift)
+    started = time.perf_counter()
+    found = maximal_segments(scores)
+    assert time.perf_counter() - started < 20 and len(found) > 0
+
+
+def test_counts_are_those_of_words(spark):
+    frame = spark.createDataFrame([("Vermin vermin's x1y", 1), ("verm, vermin", 0), ("", 0)], "text string, label int")
+    counts = {(r.level, r.toxic, r.clean) for r in count_words(frame).collect()}
+    # words: vermin 2/1, s 1/0, x 1/0, y 1/0, verm 0/1; beginnings of four letters: verm 2/2
+    assert {(0, 2, 1), (0, 1, 0), (0, 0, 1), (1, 2, 2), (2, 2, 1)} <= counts and sum(r[1] for r in counts if r[0] == 0) == 3
+
+
 def corpus(n, seed):
     draw = random.Random(seed)
     out = []
