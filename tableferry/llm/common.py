@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -57,14 +58,26 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
             written.remove(table._written_at)
 
 
-def discard_all(spark: SparkSession, paths: list[str]) -> None:
+def discard_paths(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete tables of ``saved`` by their paths."""
-    for path in paths:
+    for path in list(paths):
         delete_path(spark, path)
         if path in written:
             written.remove(path)
 
 
+@contextmanager
+def tidy(spark: SparkSession, keep: list[DataFrame]) -> Iterator[None]:
+    """Delete the tables that ``saved`` writes inside, but for those in ``keep`` at the end.
+
+    Nothing that leaves the block may still read the others.
+    """
+    before = set(written)
+    yield
+    kept = {table._written_at for table in keep}
+    discard_paths(spark, [p for p in written if p not in before and p not in kept])
+
+
 def width(spark: SparkSession) -> int:
     """The session's shuffle width, used wherever an operator names its own number of partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

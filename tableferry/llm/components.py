@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm.common import saved
+from tableferry.llm.common import discard, saved
 
 
 def _stars(links: DataFrame, small: bool) -> DataFrame:
@@ -37,5 +37,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         if tuple(mark) == before or not mark[0]:
             break
         before = tuple(mark)
-        now = saved(spark, _stars(_stars(now, small=False), small=True), "links")
+        after = saved(spark, _stars(_stars(now, small=False), small=True), "links")
+        discard(spark, now)
+        now = after
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -4,18 +4,20 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from tableferry.llm import common
 from tableferry.llm.queries import ORACLES, QUERIES
+from tableferry.sources.files import path_exists
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_a_query():
-    assert [f"op{n}" for n in range(1, 11)] == [name.split("_")[0] for name in QUERIES if name != "pipeline"]
+    assert [f"op{n}" for n in range(1, 14)] == [name.split("_")[0] for name in QUERIES if name != "pipeline"]
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_near_dedup", "suffix_array_dedup", "best_fit_packing"]
 
 
 def test_sql_where_it_can_express_a_query():
-    assert set(ORACLES) == {"op7_top_k", "op8_exact_dedup"}
+    assert set(ORACLES) == {"op7_top_k", "op8_exact_dedup", "op11_centroids", "op13_vector_codes"}
 
 
 @pytest.fixture
@@ -58,6 +60,32 @@ def test_stages_by_hand(spark, folder):
     assert set(packed.doc_id) == set(near) and packed.groupby("sequence_id").length.sum().max() <= 2048
 
 
+def test_intermediate_tables_go_with_their_stage(spark, folder):
+    """Written stages leave nothing but their output; a frame that was not written keeps what it reads."""
+    sf_dir, _ = folder
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = corpus_pipeline.drop_copies(spark, docs, sf_dir)
+    lazy = set(common.written)
+    near = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)  # reads docs, which still read from the first stage
+    assert near.count() == 59 and all(path_exists(spark, p) for p in lazy & set(common.written))
+    path = f"{sf_dir}/near"
+    near.write.parquet(path)
+    of_stages = set(corpus_pipeline._earlier)
+    corpus_pipeline.drop_toxic(spark, spark.read.parquet(path), sf_dir).write.parquet(f"{path}-clean")
+    assert of_stages and not any(path_exists(spark, p) for p in of_stages)
+
+
+def test_run_with_repeated_ids_and_empty_tables(spark, tmp_path):
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "a b c", "en", "s", 5), (1, "a b c", "en", "s", 5), (1, "other words", "en", "s", 11), (None, "no id", None, None, None)]
+    for name, some in (("some", rows), ("none", [])):
+        spark.createDataFrame(some, kinds).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/some").toPandas()
+    assert len(got) == 3 and sorted(got.doc_id.fillna(-1)) == [-1, 1, 1]
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_run(spark):
     got = corpus_pipeline.run(spark, SF).toPandas()
     assert len(got) and (np.sort(got[got.piece == 0].doc_id) == np.unique(got.doc_id)).all()
