@@ -276,9 +276,7 @@ def _merge_lists(length: int):
     """Strings that several shards list: each list is searched for in all lists of its range, sorted together."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        kind = np.dtype([("a", ">u8"), ("b", ">u8")])
-        lists = [np.frombuffer(d, kind) for d in rows["digests"]]
-        keys = [x["a"].astype(np.uint64) ^ (x["b"].astype(np.uint64) * _MIX[0]) for x in lists]
+        keys = [np.frombuffer(d, "S16") for d in rows["digests"]]  # all 128 bits in byte order
         everything = np.sort(np.concatenate(keys))
         found = []
         for mine, owners, places in zip(keys, rows["owners"], rows["places"], strict=True):
