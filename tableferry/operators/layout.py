@@ -6,45 +6,71 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.functions.nested import quoted
+from tableferry.sources.files import list_files
 
 TIE = "__part"
-# Plan nodes that keep every partition where it is.
-NARROW = ("Project", "Filter", "Union", "Generate", "CollectMetrics", "SubqueryAlias")
+TARGET_BYTES = 256 << 20
+FILES_PER_SCAN = 200_000
 GRAINS = ("hour", "day", "month", "year")
 
 
-def shrink_partitions(df: DataFrame, factor: int = 4, how: str = "coalesce") -> DataFrame:
+def shrink_partitions(df: DataFrame, factor: int = 4, how: str = "rebalance") -> DataFrame:
     """Fewer, larger output files.
 
-    ``coalesce`` merges partitions in place: no shuffle, and the right choice
-    after a scan. Asking a derived frame for its partition count would run the
-    shuffles below it, so frames that join, group or sort are rebalanced instead:
-    adaptive execution sizes their files and splits oversized partitions. Which
-    it is is read from the plan, before any job.
+    ``rebalance`` is right for any frame: adaptive execution sizes the files and
+    splits oversized partitions, for one shuffle. ``coalesce`` merges partitions
+    in place, without one; it is for what a scan delivers, as asking a frame that
+    joins, groups or sorts for its partition count would run the shuffles below
+    it. Only the caller knows which it is. ``packed_scan`` gives files by size.
     """
     if how == "rebalance":
         return df.hint("rebalance")
     if how != "coalesce":
         raise ValueError(f"unknown way to shrink: {how!r}")
-    if not is_bare_scan(df):
-        return df.hint("rebalance")
     return df.coalesce(max(1, df.rdd.getNumPartitions() // factor))
 
 
-def is_bare_scan(df: DataFrame) -> bool:
-    """True for a frame that only filters, projects and unites what it reads."""
-    waiting = [df._jdf.queryExecution().optimizedPlan()]
-    while waiting:
-        node = waiting.pop()
-        children = node.children()
-        if children.size() and node.nodeName() not in NARROW:
-            return False
-        waiting.extend(children.apply(i) for i in range(children.size()))
-    return True
+def packed_scan(spark: SparkSession, files: DataFrame, target_bytes: int = TARGET_BYTES, schema: T.StructType | None = None, base: str | None = None) -> Iterator[DataFrame]:
+    """Scans of Parquet ``files`` (path, size) in which one task reads about ``target_bytes``, without a shuffle.
+
+    Files that are large enough already are split by the scan; smaller ones are
+    packed: Spark fills its read tasks with whole files, largest first, once it
+    is told the size wanted and not to spread few bytes over many cores. Those
+    settings live in a session of their own, which shares the catalog, so other
+    reads keep theirs. Names go to the driver, 200,000 to a scan, as for any scan.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    reader = own.read if schema is None else own.read.schema(schema)
+    if base:
+        reader = reader.option("basePath", base)
+    names = [r.path for r in files.select("path").orderBy("path").toLocalIterator()]
+    for start in range(0, len(names), FILES_PER_SCAN):
+        yield reader.parquet(*names[start : start + FILES_PER_SCAN])
+
+
+def compact_files(spark: SparkSession, source: str, destination: str, target_bytes: int = TARGET_BYTES) -> int:
+    """Write the Parquet files below ``source`` as fewer, even ones to the new folder ``destination``; returns how many rows.
+
+    One file per read task and no shuffle. Files come out near ``target_bytes``
+    as far as the data compresses alike: between half and one and a half of it,
+    but for the last one of a scan and for files of one larger row group, which
+    no scan divides. (Spark adds an empty file if the first task meets no row
+    group.) Partition folders (``a=1``) become columns.
+    """
+    rows = 0
+    for part in packed_scan(spark, list_files(spark, source), target_bytes, base=source):
+        seen = Observation()
+        part.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(destination)
+        rows += seen.get["rows"]
+    return rows
 
 
 def arrange(

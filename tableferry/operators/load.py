@@ -219,7 +219,7 @@ def load_direct(
     definition: Definition | None = None,
     fmt: str | None = None,
     options: dict[str, str] | None = None,
-    shrink: str = "coalesce",
+    shrink: str = "rebalance",
     switch: bool = False,
     marks: dict[str, str] | None = None,
 ) -> LoadResult:
@@ -242,7 +242,7 @@ def load_staged(
     definition: Definition | None = None,
     fmt: str | None = None,
     options: dict[str, str] | None = None,
-    shrink: str = "coalesce",
+    shrink: str = "rebalance",
     path: str | None = None,
     switch: bool = False,
     marks: dict[str, str] | None = None,
@@ -273,6 +273,7 @@ def load_permissive(
     switch: bool = False,
     marks: dict[str, str] | None = None,
     skip_known: bool = False,
+    shrink: str = "rebalance",
 ) -> tuple[LoadResult, int]:
     """Map to ``schema`` and load the rows that fit; rows that do not go to the table ``rejects``, in the same mode.
 
@@ -284,7 +285,7 @@ def load_permissive(
     check_mode(mode)
     path = stage_path(stage_root, target)
     try:
-        write_stage(shrink_partitions(map_schema_flagged(df, schema, keep_source=True)), path)
+        write_stage(shrink_partitions(map_schema_flagged(df, schema, keep_source=True), how=shrink), path)
         good, bad = split_rejects(df.sparkSession.read.parquet(path))
         # Rejects go first: a run that dies between the two sets nothing aside twice, and its rows come again.
         bad = prepare(bad, "json")

@@ -11,6 +11,9 @@ from tableferry.functions.nested import MICROSECOND_TEXT, is_nested, quoted
 from tableferry.session import empty_frame
 
 
+PATH_SCHEMA = "path string, source_type string, target_type string, issue string, lossy_rows bigint"
+#: Bits of a key's hash per level of the digest tree.
+TREE_BITS = 8
 #: Nested values are compared as JSON text that leaves nothing out.
 EVERYTHING = {"ignoreNullFields": "false", **MICROSECOND_TEXT}
 
@@ -111,6 +114,57 @@ def row_differences(source: DataFrame, target: DataFrame, columns: list[str] | N
     )
 
 
+def _bucketed(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """Comparable rows with their hash and, from the hash of the key, their place in the digest tree (``__leaf``)."""
+    rows = comparable_rows(df, columns)
+    leaf = F.shiftrightunsigned(F.xxhash64(*[_comparable(quoted(k), df.schema[k].dataType) for k in sorted(key)]), 64 - 2 * TREE_BITS)
+    return rows.select("*", row_hash(rows).alias("__hash"), leaf.cast("int").alias("__leaf"))
+
+
+def _differing(source: DataFrame, target: DataFrame, bits: int) -> list[int]:
+    """Buckets of ``bits`` leading bits whose digests differ between two sides; at most 2^bits."""
+    bucket = F.shiftright("__leaf", 2 * TREE_BITS - bits)
+    both = source.select(bucket.alias("b"), "__hash", F.lit(1).alias("n")).unionByName(target.select(bucket.alias("b"), "__hash", F.lit(-1).alias("n")))
+    digests = both.groupBy("b").agg(
+        F.sum("n").alias("rows"), F.sum(F.col("__hash").cast("decimal(20,0)") * F.col("n")).alias("sum"), F.bit_xor("__hash").alias("xor")
+    )
+    return [r.b for r in digests.filter("rows <> 0 or sum <> 0 or xor <> 0").select("b").orderBy("b").collect()]
+
+
+def differing_leaves(source: DataFrame, target: DataFrame, key: list[str], columns: list[str] | None = None) -> list[int]:
+    """Leaves of the digest tree under which the two sides differ, at most 65,536.
+
+    The tree has 256 buckets by the leading bits of the key's hash, each with 256
+    leaves. One pass compares the buckets: tables that agree shuffle 256 digests
+    a task and are done. A second pass goes down into buckets that differ.
+    """
+    columns = sorted(columns or source.columns)
+    left, right = _bucketed(source, key, columns), _bucketed(target, key, columns)
+    top = _differing(left, right, TREE_BITS)
+    if not top:
+        return []
+    inside = F.shiftright("__leaf", TREE_BITS).isin(top)
+    return _differing(left.filter(inside), right.filter(inside), 2 * TREE_BITS)
+
+
+def under_leaves(df: DataFrame, key: list[str], columns: list[str], leaves: list[int]) -> DataFrame:
+    """Comparable rows of ``df`` under some leaves. No row passes without any."""
+    some = F.expr(f"__leaf in ({', '.join(map(str, leaves))})") if leaves else F.lit(False)
+    return _bucketed(df, key, columns).filter(some).drop("__hash", "__leaf")
+
+
+def located_differences(source: DataFrame, target: DataFrame, key: list[str], columns: list[str] | None = None) -> DataFrame:
+    """What ``row_differences`` gives, for tables that agree in most rows.
+
+    Only rows under leaves whose digests differ are shuffled and compared. Two
+    sides with the same digest of 64-bit row hashes (number, sum, exclusive or)
+    under a leaf count as equal there. Rows with a null in the key have leaves too.
+    """
+    columns = sorted(columns or source.columns)
+    leaves = differing_leaves(source, target, key, columns)
+    return row_differences(under_leaves(source, key, columns, leaves), under_leaves(target, key, columns, leaves), columns)
+
+
 def sample_by_key(df: DataFrame, key: list[str], one_in: int) -> DataFrame:
     """The same keys on both sides of a comparison: a share of about ``1 / one_in``, chosen by hash."""
     rows = comparable_rows(df, key)
@@ -161,6 +215,77 @@ def verify_keys(df: DataFrame, key: list[str], required: list[str] | None = None
     return totals.select(F.inline(F.array(*checks))).withColumn("passed", F.col("violations") == 0)
 
 
+def _path_differences(source: T.StructType, target: T.StructType, zone: str) -> list[tuple[str, T.DataType | None, T.DataType | None, str, Column]]:
+    """``path, source type, target type, issue, row loses a value there`` for every place where two type trees differ.
+
+    ``reach`` turns a test of the values at a path into one of the whole row:
+    true if any of them passes, however many arrays and maps lie between.
+    """
+    found: list[tuple] = []
+
+    def add(path: str, left, right, issue: str, lossy: Column) -> None:
+        found.append((path, left, right, issue, F.coalesce(lossy, F.lit(False))))
+
+    def fields(path: str, left: T.StructType, right: T.StructType, reach) -> None:
+        have, want = {f.name: f for f in left.fields}, {f.name: f for f in right.fields}
+        for name in [*have, *[n for n in want if n not in have]]:
+            here = f"{path}.{name}" if path else name
+
+            def inner(test, name=name):
+                return reach(lambda v: test(quoted(name) if v is None else v.getField(name)))
+
+            if name not in want:
+                add(here, have[name].dataType, None, "only in source", inner(lambda v: v.isNotNull()))
+            elif name not in have:
+                missing = F.lit(False) if want[name].nullable else reach(lambda v: F.lit(True) if v is None else v.isNotNull())
+                add(here, None, want[name].dataType, "only in target", missing)
+            else:
+                compare(here, have[name].dataType, want[name].dataType, inner, have[name].nullable and not want[name].nullable, reach)
+
+    def compare(path: str, left: T.DataType, right: T.DataType, reach, required: bool, around) -> None:
+        if required:
+            name = path.rpartition(".")[2]
+            if path.endswith(("]", "}")):  # elements, which are null or not by themselves
+                lossy = reach(lambda v: v.isNull())
+            else:
+                lossy = around(lambda v: quoted(name).isNull() if v is None else v.isNotNull() & v.getField(name).isNull())
+            add(path, left, right, "target requires a value", lossy)
+        if isinstance(left, T.StructType) and isinstance(right, T.StructType):
+            fields(path, left, right, reach)
+        elif isinstance(left, T.ArrayType) and isinstance(right, T.ArrayType):
+            each = lambda test: reach(lambda v: F.exists(v, test))
+            compare(f"{path}[]", left.elementType, right.elementType, each, left.containsNull and not right.containsNull, each)
+        elif isinstance(left, T.MapType) and isinstance(right, T.MapType):
+            keys = lambda test: reach(lambda v: F.exists(F.map_keys(v), test))
+            values = lambda test: reach(lambda v: F.exists(F.map_values(v), test))
+            compare(f"{path}{{key}}", left.keyType, right.keyType, keys, False, keys)
+            compare(f"{path}{{value}}", left.valueType, right.valueType, values, left.valueContainsNull and not right.valueContainsNull, values)
+        elif left.simpleString() != right.simpleString():
+            add(path, left, right, "type differs", reach(lambda v: loses(v, convert(v, left, right, zone), left, right)))
+
+    fields("", source, target, lambda test: test(None))
+    return found
+
+
+def schema_diff_nested(source: DataFrame, target: T.StructType, zone: str = "UTC") -> DataFrame:
+    """One row per differing path of two type trees, with the number of source rows that lose a value there.
+
+    Paths are spelled ``address.city``, ``items[].price``, ``tags{key}``,
+    ``tags{value}``. A column is walked into where both sides nest alike; one
+    pass over the data counts all paths.
+    """
+    differences = _path_differences(source.schema, target, zone)
+    if not differences:
+        return empty_frame(source.sparkSession, PATH_SCHEMA)
+    counts = source.agg(*[F.count_if(lossy).alias(f"__{i}") for i, (*_, lossy) in enumerate(differences)])
+    text = lambda kind: F.lit(None if kind is None else kind.simpleString()).cast("string")
+    rows = [
+        F.struct(F.lit(path).alias("path"), text(left).alias("source_type"), text(right).alias("target_type"), F.lit(issue).alias("issue"), F.col(f"__{i}").alias("lossy_rows"))
+        for i, (path, left, right, issue, _) in enumerate(differences)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def schema_diff(source: DataFrame, target: T.StructType, zone: str = "UTC") -> DataFrame:
     """One row per differing column, with the number of source rows whose value the target type would lose."""
     differences = schema_differences(source.schema, target)

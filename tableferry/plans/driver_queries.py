@@ -509,7 +509,7 @@ def split_wide_rejoined(spark, sf_dir):
 @query("SELECT * FROM lineitem")
 def staged_load(spark, sf_dir):
     target = f"{workspace(spark)}.lineitem"
-    result = load.load_staged(table(spark, sf_dir, "lineitem"), target, f"{scratch_root(spark)}/stage")
+    result = load.load_staged(table(spark, sf_dir, "lineitem"), target, f"{scratch_root(spark)}/stage", shrink="coalesce")
     load.remove_stage(spark, result.staged_path)
     return spark.table(target)
 
@@ -517,7 +517,7 @@ def staged_load(spark, sf_dir):
 @query("SELECT * FROM lineitem")
 def direct_load(spark, sf_dir):
     target = f"{workspace(spark)}.lineitem"
-    load.load_direct(table(spark, sf_dir, "lineitem"), target)
+    load.load_direct(table(spark, sf_dir, "lineitem"), target, shrink="coalesce")
     return spark.table(target)
 
 

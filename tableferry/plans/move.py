@@ -232,6 +232,8 @@ def _layout(spark: SparkSession, job: Job, source: Source) -> Definition | None:
 
 def _load(spark: SparkSession, job: Job, source: Source, staged: list[str]) -> LoadResult:
     settings = {"nested": job.nested, "keep_nulls": job.keep_nulls, "definition": _layout(spark, job, source)}
+    # A source is a scan, unless keys were looked up in the target.
+    settings["shrink"] = "rebalance" if job.key else "coalesce"
     if not job.format and (job.switch or read_pointer(spark, job.target)):
         settings.update(switch=True, marks=_new_marks(job, source))
     if job.rejects:

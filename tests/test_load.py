@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tableferry.operators import incremental, layout, load
 from tableferry.sources import catalog
 from tableferry.sources.catalog import Definition
+from tableferry.sources.files import list_files
 from tableferry.streaming import append
 
 
@@ -18,10 +19,39 @@ def plan(df):
     return df._jdf.queryExecution().toString()
 
 
+def test_files_are_packed_by_size(spark, tmp_path):
+    """Many small files of different sizes and a large one become files within the stated band, without a shuffle."""
+    source, target = f"{tmp_path}/in", 200_000
+    noise = spark.range(0, 60_000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"))
+    for low, high, n in ((0, 2_000, 40), (2_000, 9_000, 7), (9_000, 60_000, 1)):
+        noise.filter(f"id >= {low} and id < {high}").repartition(n).write.mode("append").parquet(source)
+    before = list_files(spark, source)
+    assert before.count() == 48
+    scans = list(layout.packed_scan(spark, before, target))
+    assert all("Exchange" not in plan(s) for s in scans)
+    assert layout.compact_files(spark, source, f"{tmp_path}/out", target) == 60_000
+    sizes = sorted(r["size"] for r in list_files(spark, f"{tmp_path}/out").collect())
+    total = sum(sizes)
+    filled = {r[0] for r in spark.read.parquet(f"{tmp_path}/out").select("_metadata.file_size").distinct().collect()}
+    small = [x for x in sizes if x < target / 2 and x in filled]
+    assert len(small) <= 1 and len(sizes) <= 2 * total / target + 1
+    after = spark.read.parquet(f"{tmp_path}/out")
+    assert after.exceptAll(noise).isEmpty() and noise.exceptAll(after).isEmpty()
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"
+
+
+def test_partition_folders_are_packed_too(spark, tmp_path):
+    frame = spark.range(100).selectExpr("id", "id % 3 AS part")
+    frame.write.partitionBy("part").parquet(f"{tmp_path}/in")
+    assert layout.compact_files(spark, f"{tmp_path}/in", f"{tmp_path}/out") == 100
+    assert rows(spark.read.parquet(f"{tmp_path}/out").select("id", "part"), "id") == rows(frame, "id")
+    assert list_files(spark, f"{tmp_path}/out").count() == 1
+
+
 def test_shrink_partitions(spark):
-    assert layout.shrink_partitions(spark.range(0, 100, 1, 9)).rdd.getNumPartitions() == 2
-    assert layout.shrink_partitions(spark.range(0, 100, 1, 3)).rdd.getNumPartitions() == 1
-    assert layout.shrink_partitions(spark.range(100).filter("id < 0")).count() == 0
+    assert layout.shrink_partitions(spark.range(0, 100, 1, 9), how="coalesce").rdd.getNumPartitions() == 2
+    assert layout.shrink_partitions(spark.range(0, 100, 1, 3), how="coalesce").rdd.getNumPartitions() == 1
+    assert layout.shrink_partitions(spark.range(100).filter("id < 0"), how="coalesce").count() == 0
     assert "Rebalance" in plan(layout.shrink_partitions(spark.range(9), how="rebalance"))
     with pytest.raises(ValueError):
         layout.shrink_partitions(spark.range(9), how="magic")

@@ -113,3 +113,78 @@ def test_orphans(spark):
     parent = spark.createDataFrame([(11,), (11,), (None,)], "key int")
     assert rows(quality.orphans(child, parent, "parent", "key"), "id") == [(1, 10), (2, 10)]
     assert rows(quality.orphan_summary(child, parent, "parent", "key")) == [(10, 2)]
+
+
+# ------------------------------------------------------------ differences found by digests
+
+
+def altered(spark, seed, n, changes):
+    import random
+
+    draw = random.Random(seed)
+    rows = [(i if draw.random() > 0.02 else None, draw.randint(0, 5), [draw.randint(0, 3)]) for i in range(n)]
+    rows += draw.sample(rows, 20)
+    other = list(rows)
+    for _ in range(changes):
+        at = draw.randrange(len(other))
+        kind = draw.choice(["gone", "changed", "copied"])
+        if kind == "gone":
+            other.pop(at)
+        elif kind == "changed":
+            other[at] = (other[at][0], other[at][1] + 1, other[at][2])
+        else:
+            other.append(other[at])
+    kinds = "k long, v int, a array<int>"
+    return spark.createDataFrame(rows, kinds), spark.createDataFrame(other, kinds)
+
+
+@pytest.mark.parametrize("changes", [0, 1, 7, 400])
+def test_located_differences_are_all_differences(spark, changes):
+    left, right = altered(spark, changes, 1500, changes)
+    want = sorted(map(str, verify.row_differences(left, right).collect()))
+    assert sorted(map(str, verify.located_differences(left, right, ["k"]).collect())) == want
+    assert bool(verify.differing_leaves(left, right, ["k"])) == bool(want)
+
+
+def test_only_rows_under_differing_leaves_are_compared(spark):
+    left, right = altered(spark, 3, 20_000, 5)
+    leaves = verify.differing_leaves(left, right, ["k"])
+    assert 1 <= len(leaves) <= 5
+    rows = verify.under_leaves(left, ["k"], ["a", "k", "v"], leaves)
+    assert 0 < rows.count() <= 600  # rows without a key share one leaf
+    assert verify.under_leaves(left, ["k"], ["a", "k", "v"], []).count() == 0
+
+
+def test_nested_schema_differences(spark):
+    have = "id int, a struct<city:string, zip:int, gone:string>, items array<struct<n:string, tags:array<int>>>, m map<string,long>, flat string"
+    want = "id bigint, a struct<city:string, zip:bigint, more:int>, items array<struct<n:int, tags:array<string>>>, m map<int,int>, flat string, extra int"
+    rows = [
+        (1, ("x", 1, None), [("1", [1]), ("2", None)], {"1": 5}, "t"),
+        (2, ("x", 1, "g"), [("one", [1]), ("2", [])], {"k": 5, "3": 1 << 40}, "t"),
+        (3, None, None, None, None),
+        (4, (None, None, None), [None, (None, None)], {"2": None}, None),
+    ]
+    found = {r.path: tuple(r)[1:] for r in verify.schema_diff_nested(spark.createDataFrame(rows, have), T.StructType.fromDDL(want)).collect()}
+    assert found == {
+        "id": ("int", "bigint", "type differs", 0),
+        "a.zip": ("int", "bigint", "type differs", 0),
+        "a.gone": ("string", None, "only in source", 1),
+        "a.more": (None, "int", "only in target", 0),
+        "items[].n": ("string", "int", "type differs", 1),
+        "items[].tags[]": ("int", "string", "type differs", 0),
+        "m{key}": ("string", "int", "type differs", 1),
+        "m{value}": ("bigint", "int", "type differs", 1),
+        "extra": (None, "int", "only in target", 0),
+    }
+    same = spark.createDataFrame(rows, have)
+    assert verify.schema_diff_nested(same, same.schema).count() == 0
+
+
+def test_required_values_inside_nested_columns(spark):
+    have = T.StructType.fromDDL("s struct<a:int>, l array<int>, m map<string,int>, deep array<struct<b:int>>")
+    want = T.StructType.fromDDL("s struct<a:int not null>, l array<int>, m map<string,int>, deep array<struct<b:int not null>>, must int not null")
+    want["l"].dataType.containsNull = want["m"].dataType.valueContainsNull = False
+    rows = [((None,), [1, None], {"x": None}, [(1,), (None,)]), (None, None, None, None), ((1,), [], {}, [None])]
+    found = {(r.path, r.issue): r.lossy_rows for r in verify.schema_diff_nested(spark.createDataFrame(rows, have), want).collect()}
+    needs = "target requires a value"
+    assert found == {("s.a", needs): 1, ("l[]", needs): 1, ("m{value}", needs): 1, ("deep[].b", needs): 1, ("must", "only in target"): 3}
