@@ -9,6 +9,9 @@ import argparse
 import logging
 import sys
 
+from pyspark.sql import SparkSession
+
+from tableferry.leases import sweep
 from tableferry.operators.load import MODES
 from tableferry.plans.move import METHODS, Job, batch_totals, move_all, move_table
 from tableferry.session import build_session
@@ -41,6 +44,8 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--switch", action="store_true", help="let a new target be a view that shows each load in one step and remembers the source version")
     parser.add_argument("--config-file", help="JSON array of tables to move")
     parser.add_argument("--parallel", type=int, default=1, help="tables moved at the same time")
+    parser.add_argument("--ledger", help="folder of finished tables; a batch run again with it moves only the others")
+    parser.add_argument("--sweep", action="store_true", help="first remove what dead runs left in the shared folders")
     parser.add_argument("--no-verify", action="store_true")
     parser.add_argument("--strict-verify", action="store_true", help="a failed check fails the table")
     parser.add_argument("--checksum", action="store_true", help="after an overwrite, also compare the content")
@@ -48,21 +53,25 @@ def build_parser() -> argparse.ArgumentParser:
     return parser
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    """Run the command in a session of its own, or in the one given."""
     parser = build_parser()
     args = parser.parse_args(argv)
     if not args.config_file and not (args.source_path and args.schema and args.table):
         parser.error("give --config-file, or --source-path, --schema and --table")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
-    spark = build_session("tableferry")
+    spark = spark or build_session("tableferry")
     flags = {
         "verify": not args.no_verify,
         "cleanup": not args.no_cleanup,
         "strict_verify": args.strict_verify,
         "checksum": args.checksum,
     }
+    if args.sweep:
+        for thing in sweep(spark):
+            logging.getLogger("tableferry").info("swept %s", thing)
     if args.config_file:
-        results = move_all(spark, args.config_file, args.method, args.mode, args.parallel, **flags)
+        results = move_all(spark, args.config_file, args.method, args.mode, args.parallel, args.ledger, **flags)
     else:
         job = Job(
             source_path=args.source_path,

@@ -12,14 +12,16 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableferry import leases
 from tableferry.functions import draws, mapping, nested, size
-from tableferry.operators import incremental, layout, load, quality, verify
-from tableferry.plans import move, reports, sample_tables
+from tableferry.operators import incremental, layout, load, pointer, quality, verify
+from tableferry.plans import cli, move, reports, sample_tables
 from tableferry.session import scratch_path, scratch_root, text_frame
 from tableferry.sources import catalog, files, log_table
 from tableferry.streaming import append
@@ -48,6 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def workspace(spark: SparkSession) -> str:
     """A new catalog schema whose tables lie in the shared scratch folder."""
     name = f"ferry_{uuid.uuid4().hex[:12]}"
+    leases.note(spark, "schema", name)
     catalog.create_schema(spark, name, scratch_path(spark, "schema"))
     return name
 
@@ -695,6 +698,95 @@ def stream_append_by_key(spark, sf_dir):
     return spark.table(target)
 
 
+# ------------------------------------------------- loads that show in one step
+
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+       FROM orders"""
+)
+def overwrite_switched(spark, sf_dir):
+    """A target behind a view, filled and then replaced from itself: no rename, rows written once."""
+    target = f"{workspace(spark)}.orders"
+    load.load_direct(table(spark, sf_dir, "orders"), target, switch=True)
+    load.load_direct(spark.table(target).withColumn("o_totalprice", F.col("o_totalprice") + 1), target)
+    return spark.table(target)
+
+
+@query("SELECT * FROM orders")
+def append_since_last(spark, sf_dir):
+    """Three appends with nothing stated: all rows, those committed since, and none."""
+    path, orders = scratch_path(spark, "orders"), table(spark, sf_dir, "orders")
+    job = move.Job(path, table="orders", schema=workspace(spark), mode="append", switch=True, nested="keep")
+    log_table.write_log_table(orders.filter("o_orderstatus = 'F'"), path)
+    move.run_job(spark, job)
+    log_table.write_log_table(orders.filter("o_orderstatus <> 'F'"), path, "append")
+    for _ in range(2):
+        move.run_job(spark, job)
+    return spark.table(job.target)
+
+
+@query("SELECT * FROM orders")
+def append_folded(spark, sf_dir):
+    """Appends to a target behind a view, then written as one load."""
+    target, orders = f"{workspace(spark)}.orders", table(spark, sf_dir, "orders")
+    for status in ("F", "O", "P"):
+        load.load_direct(orders.filter(F.col("o_orderstatus") == status), target, "append", switch=True)
+    pointer.fold(spark, target)
+    return spark.table(target)
+
+
+@query("SELECT * FROM events")
+def stream_append_switched(spark, sf_dir):
+    """A keyed stream into a target behind a view; its last batch is then offered again and passed over by the ledger."""
+    folder = scratch_path(spark, "incoming")
+    target, progress = f"{workspace(spark)}.events", f"{folder}-progress"
+    events = table(spark, sf_dir, "events")
+    load.load_direct(events.filter("event_type = 'click'"), target, switch=True)
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    for part in (early, ~early):
+        events.filter(part).write.mode("append").parquet(folder)
+        append.append_available(append.new_files(spark, folder, events.schema), target, progress, ["event_id"])
+    append.append_batch(events.withColumn("event_id", -1 - F.col("event_id")), 1, target, ["event_id"], progress)
+    return spark.table(target)
+
+
+@query(
+    """SELECT event_id, user_id, event_type, CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN value * 2 ELSE value END AS value,
+              props, ts, CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-20' OR event_type = 'click'"""
+)
+def replaced_partitions(spark, sf_dir):
+    """The later days of a partitioned table are replaced by their clicks with doubled values; earlier days stay."""
+    target = f"{workspace(spark)}.events"
+    rows = layout.with_partition_date(table(spark, sf_dir, "events"), "ts", "day")
+    load.load_direct(rows, target, definition=catalog.Definition(partition_by=("day",)))
+    late = rows.filter((F.col("day") >= F.lit("2024-01-20").cast("date")) & (F.col("event_type") == "click"))
+    load.load_direct(late.withColumn("value", F.col("value") * 2), target, "partitions")
+    return spark.table(target)
+
+
+@query("SELECT * FROM lineitem")
+def compacted_files(spark, sf_dir):
+    """Many small files written as few of even size, without a shuffle."""
+    small, even = scratch_path(spark, "small"), scratch_path(spark, "even")
+    table(spark, sf_dir, "lineitem").repartition(32).write.parquet(small)
+    layout.compact_files(spark, small, even, 4 << 20)
+    return spark.read.parquet(even)
+
+
+@query("SELECT 'kept' AS name, * FROM orders UNION ALL SELECT 'later', * FROM orders")
+def expired_tables(spark, sf_dir):
+    """Of three tables one has passed its time; the rows of those that stay."""
+    schema, orders = workspace(spark), table(spark, sf_dir, "orders")
+    for name, moment in (("kept", None), ("gone", "2024-01-01"), ("later", "2024-06-01")):
+        load.load_direct(orders, f"{schema}.{name}", switch=name == "gone")
+        if moment:
+            catalog.set_expiry(spark, f"{schema}.{name}", moment)
+    catalog.expire_tables(spark, schema, "2024-03-01")
+    left = [r.tableName for r in spark.sql(f"SHOW TABLES IN {schema}").orderBy("tableName").collect()]
+    shown = [spark.table(f"{schema}.{name}").select(F.lit(name).alias("name"), "*") for name in left]
+    return reduce(DataFrame.unionByName, shown)
+
+
 # --------------------------------------------------------------- log tables
 
 _logged: dict[tuple[str, str], str] = {}
@@ -758,15 +850,16 @@ def table_detail(spark, sf_dir):
 
 
 @query(
-    """SELECT 1::BIGINT AS version, 'insert' AS change, count(*) AS row_count FROM orders WHERE o_orderstatus <> 'F'
-       UNION ALL SELECT 2, 'delete', count(*) FROM orders
-       UNION ALL SELECT 2, 'insert', count(*) FROM orders"""
+    """SELECT 'source' AS side, 1::BIGINT AS copies, * FROM orders
+       UNION ALL
+       SELECT 'target', 1, o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1, o_orderdate, o_orderpriority FROM orders"""
 )
 def change_rows(spark, sf_dir):
-    changes = log_table.read_changes(spark, _logged_orders(spark, sf_dir), after=0)
-    return changes.groupBy(F.col("_commit_version").alias("version"), F.col("_change_type").alias("change")).agg(
-        F.count("*").alias("row_count")
-    )
+    """What changed between two versions: both snapshots are read, rows on both sides cancel out."""
+    path = _logged_orders(spark, sf_dir)
+    before, after = (log_table.read_table(spark, path, version=v) for v in (1, 2))
+    found = verify.row_differences(before, after)
+    return found.select("side", "copies", *before.columns)
 
 
 @query("SELECT * FROM orders WHERE o_orderstatus <> 'F'")
@@ -782,14 +875,13 @@ def rows_since_commit(spark, sf_dir):
 
 @query("SELECT * FROM orders UNION ALL SELECT * FROM orders")
 def log_rebuilt(spark, sf_dir):
-    """Plain files of a table without its log: replaced files count again. A new log is put over them."""
-    path = scratch_path(spark, "orders")
+    """A table whose log is lost: its plain files, replaced ones included, become a table of the catalog."""
+    path, target = scratch_path(spark, "orders"), f"{workspace(spark)}.orders"
     orders = table(spark, sf_dir, "orders")
     log_table.write_log_table(orders, path)
     log_table.write_log_table(orders, path, "overwrite")
-    rebuilt = scratch_path(spark, "orders")
-    log_table.rebuild_log(spark, path, rebuilt)
-    return log_table.read_table(spark, rebuilt)
+    load.load_direct(files.read_plain(spark, path), target)
+    return spark.table(target)
 
 
 @query("SELECT count(*) AS row_count, TRUE AS only_live_files FROM orders")
@@ -928,6 +1020,38 @@ def row_differences(spark, sf_dir):
     return verify.row_differences(rows, changed, ["l_orderkey", "l_linenumber", "l_quantity"])
 
 
+@query(
+    f"""WITH a AS (SELECT * FROM lineitem),
+             b AS (SELECT * REPLACE (CASE WHEN l_orderkey % 97 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity) FROM lineitem WHERE l_orderkey % 89 <> 0)
+    SELECT 'source' AS side, count(*) AS copies, * FROM (FROM a EXCEPT ALL FROM b) GROUP BY ALL
+    UNION ALL SELECT 'target', count(*), * FROM (FROM b EXCEPT ALL FROM a) GROUP BY ALL"""
+)
+def located_differences(spark, sf_dir):
+    """Whole rows that differ, found by digests over the hash of the key: few orders were changed or lost."""
+    rows = table(spark, sf_dir, "lineitem")
+    other = rows.filter("l_orderkey % 89 <> 0").withColumn("l_quantity", F.expr("if(l_orderkey % 97 = 0, l_quantity + 1, l_quantity)"))
+    found = verify.located_differences(rows, other, ["l_orderkey", "l_linenumber"])
+    return found.select("side", "copies", *[F.col(c).cast(rows.schema[c].dataType) for c in rows.columns])
+
+
+@query(
+    """SELECT 'items[].price' AS path, 'double' AS source_type, 'int' AS target_type, 'type differs' AS issue,
+              count(*) FILTER (o_totalprice >= 100000) * 0 AS lossy_rows FROM orders
+       UNION ALL SELECT 'items[].product_id', 'bigint', 'string', 'type differs', 0 FROM orders HAVING count(*) > 0
+       UNION ALL SELECT 'shipping_address.city', 'string', 'int', 'type differs', count(*) FILTER (TRY_CAST(o_orderpriority AS INTEGER) IS NULL) FROM orders
+       UNION ALL SELECT 'shipping_address.street', 'string', NULL, 'only in source', count(*) FROM orders
+       UNION ALL SELECT 'shipping_address.zip', 'string', 'tinyint', 'type differs', count(*) FILTER (o_custkey > 127) FROM orders
+       UNION ALL SELECT 'shipping_address.country', NULL, 'string', 'only in target', 0 FROM orders HAVING count(*) > 0"""
+)
+def schema_diff_nested(spark, sf_dir):
+    """Differences inside structs and arrays, with the rows that would lose a value at each place."""
+    target = T.StructType.fromDDL(
+        "order_id bigint, shipping_address struct<city:int,state:string,zip:tinyint,country:string>, "
+        "items array<struct<product_id:string,quantity:int,price:int>>"
+    )
+    return verify.schema_diff_nested(nested_orders(spark, sf_dir), target)
+
+
 @query("SELECT 0::BIGINT AS only_in_source, 0::BIGINT AS only_in_target, count(*) > 0 AS passed FROM orders")
 def sample_diff(spark, sf_dir):
     """Whole-row comparison of a loaded table with its source, over all keys."""
@@ -988,6 +1112,46 @@ def batch_totals(spark, sf_dir):
     return move.batch_totals(_batch(spark, sf_dir))
 
 
+def _configured(spark, entries: list[dict], path: str) -> str:
+    text_frame(spark, [json.dumps(entries)]).write.text(path)
+    return path
+
+
+@query(
+    """SELECT c_custkey AS "key", 'customer' AS "table", 1 AS copies FROM customer
+       UNION ALL SELECT o_orderkey, 'orders', 2 FROM orders"""
+)
+def batch_resumed(spark, sf_dir):
+    """A batch of appends in which one table fails, run again with its ledger: the table that was moved is not appended twice.
+
+    Orders are appended once more by a job of their own, so both counts are seen.
+    """
+    root, schema = scratch_path(spark, "lake"), workspace(spark)
+    entries = [
+        {"source_path": f"{root}/{name}", "schema": schema, "table": name, "mode": "append", "stage_root": f"{root}/stage"}
+        for name in ("customer", "orders")
+    ]
+    batch, ledger = _configured(spark, entries, f"{root}-config"), f"{root}-ledger"
+    log_table.write_log_table(table(spark, sf_dir, "customer"), f"{root}/customer")
+    move.move_all(spark, batch, parallel=2, ledger=ledger)
+    log_table.write_log_table(table(spark, sf_dir, "orders"), f"{root}/orders")
+    for _ in range(2):
+        move.move_all(spark, batch, parallel=2, ledger=ledger)
+    move.run_job(spark, move.Job(f"{root}/orders", table="orders", schema=schema, mode="append"))
+    one = lambda name, key: spark.table(f"{schema}.{name}").groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).cast("int").alias("copies")).withColumn("table", F.lit(name))
+    return one("customer", "c_custkey").unionByName(one("orders", "o_orderkey")).select("key", "table", "copies")
+
+
+@query("SELECT * FROM part")
+def command_line(spark, sf_dir):
+    """One table moved by the command line's own entry point."""
+    path, schema = scratch_path(spark, "part"), workspace(spark)
+    log_table.write_log_table(table(spark, sf_dir, "part"), path)
+    stage = scratch_path(spark, "stage")
+    status = cli.main(["--source-path", path, "--schema", schema, "--table", "part", "--stage-root", stage, "--strict-verify", "--checksum"], spark)
+    return spark.table(f"{schema}.part").filter(F.lit(status == 0))
+
+
 # ------------------------------------------------------------ sample tables
 
 SEED = 7

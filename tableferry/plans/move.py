@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -19,10 +22,11 @@ from tableferry.functions.nested import quoted
 from tableferry.operators.incremental import incremental, incremental_by_key, rows_not_in
 from tableferry.operators.load import LoadResult, load_direct, load_permissive, load_staged, prepare, remove_stage, stage_path
 from tableferry.operators.verify import verify_checksum, verify_counts
+from tableferry.leases import cross_out, note
 from tableferry.session import has_source, scratch_root, text_frame
 from tableferry.sources.batch_config import read_config
 from tableferry.sources.catalog import Definition, Pointer, create_schema, quote_name, read_pointer, table_definition, table_exists
-from tableferry.sources.files import path_exists
+from tableferry.sources.files import path_exists, write_text
 from tableferry.sources.log_table import (
     TableLog,
     latest_version,
@@ -38,6 +42,7 @@ from tableferry.sources.log_table import (
 
 log = logging.getLogger("tableferry")
 
+POOL = "spark.scheduler.pool"
 # What a data source says of a table that is not there yet.
 ABSENT = ("TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND")
 # Both words for each route are accepted.
@@ -230,7 +235,8 @@ def _layout(spark: SparkSession, job: Job, source: Source) -> Definition | None:
     return Definition(source.partition_by)
 
 
-def _load(spark: SparkSession, job: Job, source: Source, staged: list[str]) -> LoadResult:
+def _load(spark: SparkSession, job: Job, source: Source, staged: list[str], notes: list[str]) -> LoadResult:
+    """Load what was read. Staged copies are written down first, so that a sweep finds those of dead runs."""
     settings = {"nested": job.nested, "keep_nulls": job.keep_nulls, "definition": _layout(spark, job, source)}
     # A source is a scan, unless keys were looked up in the target.
     settings["shrink"] = "rebalance" if job.key else "coalesce"
@@ -239,14 +245,15 @@ def _load(spark: SparkSession, job: Job, source: Source, staged: list[str]) -> L
     if job.rejects:
         root = job.stage_root or f"{scratch_root(spark)}/stage"
         schema = target_schema(source.rows.schema, job.date_columns, job.time_columns)
-        result, _ = load_permissive(source.rows, schema, job.target, job.rejects, root, job.mode, skip_known=bool(job.key), **settings)
-        staged.append(result.staged_path)
-        return result
+        staged.append(stage_path(root, job.target))
+        notes.append(note(spark, "path", staged[-1]))
+        return load_permissive(source.rows, schema, job.target, job.rejects, root, job.mode, skip_known=bool(job.key), path=staged[-1], **settings)[0]
     settings.update(fmt=job.format, options=connector_options(job))
     if METHODS[job.method] == "direct":
         return load_direct(source.rows, job.target, job.mode, **settings)
     root = job.stage_root or f"{scratch_root(spark)}/stage"
     staged.append(stage_path(root, job.target))
+    notes.append(note(spark, "path", staged[-1]))
     return load_staged(source.rows, job.target, root, job.mode, path=staged[-1], **settings)
 
 
@@ -319,6 +326,7 @@ def run_job(
     outcome = dict.fromkeys([f.strip().split()[0].strip("`") for f in RESULT_SCHEMA.split(",")])
     outcome.update(table=job.table, status="FAILED", method=job.method, mode=job.mode)
     staged: list[str] = []
+    notes: list[str] = []
     try:
         job.check()
         pointer = None if job.format else read_pointer(spark, job.target)
@@ -329,7 +337,7 @@ def run_job(
         before = _rows_before(spark, job, verify) if job.mode == "append" else None
         if before is not None:
             source = replace(source, rows=_new_rows(job, source.rows, _read_target(spark, job)), unfiltered=source.rows)
-        result = _load(spark, job, source, staged)
+        result = _load(spark, job, source, staged, notes)
         outcome["source_rows"] = result.rows
         outcome["staged_path"] = result.staged_path
         if verify:
@@ -347,6 +355,8 @@ def run_job(
             for path in staged:
                 remove_stage(spark, path)
             outcome["staged_path"] = None
+        for place in notes:  # removed, or kept on purpose
+            cross_out(spark, place)
     outcome["seconds"] = round(time.monotonic() - started, 3)
     return outcome
 
@@ -375,28 +385,71 @@ def jobs_from_config(spark: SparkSession, path: str, method: str | None = None,
     return jobs
 
 
+LEDGER_SCHEMA = f"job string, finished timestamp, outcome struct<{RESULT_SCHEMA.replace(' string', ': string').replace(' bigint', ': bigint').replace(' boolean', ': boolean').replace(' double', ': double')}>"
+
+
+def job_id(job: Job) -> str:
+    """Tells jobs apart in a ledger: all that a job states."""
+    return hashlib.sha256(json.dumps(asdict(job), sort_keys=True).encode()).hexdigest()
+
+
+def finished_jobs(spark: SparkSession, ledger: str) -> dict[str, dict]:
+    """Outcomes of the jobs that a ledger counts as done: moved, and not found wrong. One row per job of the batch."""
+    if not path_exists(spark, ledger):
+        return {}
+    rows = spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "true").json(ledger)
+    done = rows.filter("outcome.status = 'SUCCESS' and coalesce(outcome.verified, true)")
+    return {r.job: r.outcome.asDict() for r in done.groupBy("job").agg(F.max_by("outcome", "finished").alias("outcome")).collect()}
+
+
+def _enter(spark: SparkSession, ledger: str, job: Job, outcome: dict) -> None:
+    """One file per finished job, so that parallel jobs never share one."""
+    line = json.dumps({"job": job_id(job), "finished": datetime.now(timezone.utc).isoformat(), "outcome": outcome})
+    write_text(spark, f"{ledger}/{uuid.uuid4().hex}.json", line)
+
+
 def move_all(
     spark: SparkSession,
     config_path: str,
     method: str | None = None,
     mode: str | None = None,
     parallel: int = 1,
+    ledger: str | None = None,
     **flags: bool,
 ) -> DataFrame:
     """One result row per configured table, in order; one table's failure does not stop the rest.
 
-    ``parallel`` tables are submitted at a time, so that small tables fill a cluster together.
+    ``parallel`` tables are submitted at a time, each to a scheduler pool of its
+    own: the pools get equal shares of the cluster, so a small table does not
+    wait for the tasks of a large one.
+
+    ``ledger`` names a folder in which finished tables are written down. A run
+    with the same ledger passes over tables whose job is in it, stated alike,
+    and moves the rest: those that failed, that a dead run never reached, or
+    whose entry in the configuration changed. Their earlier results are returned.
     """
     jobs = jobs_from_config(spark, config_path, method, mode)
-    if parallel <= 1:
-        return _results(spark, [run_job(spark, job, **flags) for job in jobs])
+    done = finished_jobs(spark, ledger) if ledger else {}
 
-    @inheritable_thread_target(spark)
     def one(job: Job) -> dict:
-        return run_job(spark, job, **flags)
+        if job_id(job) in done:
+            log.info("%s was moved before", job.table)
+            return done[job_id(job)]
+        context = spark.sparkContext
+        before = context.getLocalProperty(POOL)
+        context.setLocalProperty(POOL, job.table or "unnamed")
+        try:
+            outcome = run_job(spark, job, **flags)
+        finally:
+            context.setLocalProperty(POOL, before)
+        if ledger:
+            _enter(spark, ledger, job, outcome)
+        return outcome
 
+    if parallel <= 1:
+        return _results(spark, [one(job) for job in jobs])
     with ThreadPoolExecutor(parallel) as pool:
-        return _results(spark, list(pool.map(one, jobs)))
+        return _results(spark, list(pool.map(inheritable_thread_target(spark)(one), jobs)))
 
 
 def batch_totals(results: DataFrame) -> DataFrame:

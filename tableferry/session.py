@@ -24,6 +24,8 @@ SESSION_DEFAULTS = {
     # The JVM does not compile methods beyond 8,000 bytes of byte code, so wide
     # generated stages would be interpreted; this runs them operator by operator.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Tables that are moved together share the cluster evenly, each in a pool of its own.
+    "spark.scheduler.mode": "FAIR",
 }
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
@@ -56,8 +58,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch root."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path below this application's own folder in the scratch root (see ``leases``)."""
+    from tableferry.leases import run_folder
+
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def has_source(spark: SparkSession, name: str) -> bool:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from datetime import datetime
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 CLUSTER_PROPERTY = "tableferry.cluster_by"
 BUCKET_PROPERTY = "tableferry.buckets"
+EXPIRY_PROPERTY = "tableferry.expires"
 # Set on tables that only a stream may append to.
 STREAM_PROPERTY = "tableferry.stream"
 # A pointer is a view that shows the loads 1..n of one table; its marks say how far each source has been read.
@@ -226,6 +228,25 @@ def _spec(partition: str) -> str:
     return ", ".join(f"{quote_column(unquote(k))} = {'NULL' if v == NULL_PARTITION else _text(unquote(v))}" for k, v in values)
 
 
+def set_expiry(spark: SparkSession, name: str, moment: str) -> None:
+    """Let ``expire_tables`` drop a table, or a pointer with its rows, once ``moment`` (ISO date or time) has passed."""
+    set_property(spark, name, EXPIRY_PROPERTY, datetime.fromisoformat(moment).isoformat())
+
+
+def expire_tables(spark: SparkSession, schema: str, now: str) -> list[str]:
+    """Drop the tables of a schema whose time has passed; returns their names. Tables without an expiry stay."""
+    dropped = []
+    for row in spark.sql(f"SHOW TABLES IN {quote_name(schema)}").filter("not isTemporary").collect():
+        name = f"{schema}.{row.tableName}"
+        if not table_exists(spark, name):  # went with its pointer
+            continue
+        expires = table_properties(spark, name).get(EXPIRY_PROPERTY)
+        if expires and datetime.fromisoformat(expires) <= datetime.fromisoformat(now):
+            drop_table(spark, name)
+            dropped.append(name)
+    return dropped
+
+
 def rename_table(spark: SparkSession, name: str, new_name: str) -> None:
     """Rename within a catalog; the new name is stated without the catalog, as Spark expects."""
     new_name = ".".join(new_name.replace("`", "").split(".")[-2:])

@@ -32,6 +32,24 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path) and fs.delete(hadoop_path, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file, replacing what is there."""
+    fs, hadoop_path = _filesystem(spark, path)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def list_children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Name and modification time (milliseconds) of what lies directly in a folder; nothing for an absent one."""
+    fs, hadoop_path = _filesystem(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted((s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(hadoop_path))
+
+
 def publish_single_file(spark: SparkSession, folder: str, target: str) -> None:
     """Rename the one part file of ``folder`` to ``target``, which must not exist yet; the folder goes either way."""
     fs, hadoop_folder = _filesystem(spark, folder)
