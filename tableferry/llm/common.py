@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.session import scratch_path
 from tableferry.sources.files import delete_path
@@ -88,6 +89,29 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+class Row:
+    """A row's columns on their way through Arrow, with the text only once.
+
+    ``packed`` gives a struct of the other columns and of whether the text is
+    null; with a column ``text`` beside it, ``unpacked`` gives all columns back.
+    """
+
+    def __init__(self, docs: DataFrame, payload: list[str] | None, text: str):
+        self.payload = docs.columns if payload is None else payload
+        self.text = text if text in self.payload and isinstance(docs.schema[text].dataType, T.StringType) else None
+        self.flag = "no_text"
+        while self.flag in self.payload:
+            self.flag += "_"
+        self.null = F.col(f"`{text}`").isNull()
+
+    def packed(self) -> Column:
+        return F.struct(self.null.alias(self.flag), *[F.col(f"`{c}`") for c in self.payload if c != self.text])
+
+    def unpacked(self, row: str = "row", text: str = "text") -> Column:
+        own = F.when(~F.col(f"{row}.{self.flag}"), F.col(text))
+        return F.struct(*[(own if c == self.text else F.col(f"{row}.`{c}`")).alias(c) for c in self.payload])
+
+
 def whole_numbers(vector: Column, scale: int) -> Column:
     """Components as floor(scale * x), x as double; null for a null vector and for one with null or non-finite components.
 

@@ -90,11 +90,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated 400-byte strings."""
-    found = suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"), payload=["doc_id"])
+    found = suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"), payload=["doc_id"], outputs=("kept_sha256", "kept_text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
-    return found.select(
-        "row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "kept_text"
-    )
+    return found.select("row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "kept_text")
 
 
 def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.llm.common import saved, ship, slices, whole_text, width
+from tableferry.llm.common import Row, saved, ship, slices, whole_text, width
 
 LENGTH = 400
 GRAM = 16
@@ -326,9 +327,18 @@ def repeated_spans(spark: SparkSession, keyed: DataFrame, length: int) -> DataFr
     return whole.unionByName(inside).unionByName(across)
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, text: str = "text", row_id: str = "doc_id", payload: list[str] | None = None) -> DataFrame:
+def remove_repeats(
+    spark: SparkSession,
+    docs: DataFrame,
+    length: int = LENGTH,
+    text: str = "text",
+    row_id: str = "doc_id",
+    payload: list[str] | None = None,
+    outputs: tuple[str, ...] = ("kept", "kept_text"),
+) -> DataFrame:
     """One row per row of ``docs``: struct ``row`` (the ``payload`` columns, all by default), ``n_bytes``, ``spans``
-    (maximal removed runs as array of start and end), ``kept`` (remaining bytes) and ``kept_text``.
+    (maximal removed runs as array of start and end) and the ``outputs``: ``kept`` (remaining bytes),
+    ``kept_sha256`` (their digest) and ``kept_text``.
 
     Every byte goes that a string of ``length`` bytes covers which also starts
     elsewhere, in the same document or another. ``kept_text`` removes whole
@@ -338,16 +348,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, t
     """
     ship(spark)
     body = whole_text(text)
-    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if payload is None else payload)]).alias("row")
-    base = docs.select(row, F.coalesce(F.col(row_id).cast("long"), F.lit(NO_ID)).alias("id"), body.alias("text")).withColumn("tag", F.xxhash64("id", "text"))
+    own = Row(docs, payload, text)
+    base = docs.select(own.packed().alias("row"), F.coalesce(F.col(row_id).cast("long"), F.lit(NO_ID)).alias("id"), body.alias("text")).withColumn("tag", F.xxhash64("id", "text"))
     spans = repeated_spans(spark, base.select("id", "tag", "text"), length)
     per_doc = spans.distinct().groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     joined = base.join(per_doc, ["id", "tag"], "left").select("row", "text", "found")
-    schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL("n_bytes long, spans array<struct<start:int,end:int>>, kept binary, kept_text string").fields])
+    kinds = {"text": "string", "kept": "binary", "kept_sha256": "string", "kept_text": "string"}
+    wanted = [*(["text"] if own.text else []), *outputs]
+    more = ", ".join(f"{name} {kinds[name]}" for name in wanted)
+    schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(f"n_bytes long, spans array<struct<start:int,end:int>>{', ' * bool(more)}{more}").fields])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sizes, spans, kept, kept_text = [], [], [], []
+            sizes, spans, made = [], [], {name: [] for name in outputs}
             for one, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True):
                 data = one.encode()
                 merged: list[list[int]] = []
@@ -358,14 +371,17 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, t
                         merged.append(list(s))
                 sizes.append(len(data))
                 spans.append([{"start": a, "end": b} for a, b in merged])
-                kept.append(_without(data, merged))
-                kept_text.append(_without(data, [_whole_characters(data, *m) for m in merged]).decode() if merged else one)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary()), pa.array(kept_text, pa.string())],
-                names=["row", "n_bytes", "spans", "kept", "kept_text"],
-            )
-
-    return joined.mapInArrow(apply, schema)
+                if "kept" in made:
+                    made["kept"].append(_without(data, merged))
+                if "kept_sha256" in made:
+                    made["kept_sha256"].append(hashlib.sha256(_without(data, merged)).hexdigest())
+                if "kept_text" in made:
+                    made["kept_text"].append(_without(data, [_whole_characters(data, *m) for m in merged]).decode() if merged else one)
+            columns = [pa.array(made[n], pa.binary() if n == "kept" else pa.string()) if n in made else batch.column(n) for n in wanted]
+            span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sizes, pa.int64()), pa.array(spans, span), *columns], names=schema.fieldNames())
+
+    return joined.mapInArrow(apply, schema).select(own.unpacked().alias("row"), "n_bytes", "spans", *outputs)
 
 
 def _without(data: bytes, spans: list) -> bytes:
