@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.llm.common import discard, saved, ship, slices, tidy, width
+from tableferry.llm.common import Row, discard, saved, ship, slices, tidy, width
 from tableferry.llm.components import components
 
 BLOCK = 512
@@ -426,7 +426,8 @@ def one_per_group(spark: SparkSession, docs: DataFrame, words: int = 5, similari
     have any names.
     """
     ship(spark)
-    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(row_id).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    own = Row(docs, None, text)
+    source = docs.select(own.packed().alias("row"), F.coalesce(F.col(row_id).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     schema = T.StructType([*source.schema, T.StructField("fingerprint", T.BinaryType())])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -470,221 +471,10 @@ def one_per_group(spark: SparkSession, docs: DataFrame, words: int = 5, similari
         kept.append(found)
     discard(spark, joined, groups, pairs)
     roots = prints.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    roots = saved(spark, roots, "roots")
-    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(smallest, "root").select("fingerprint", "component_id")
-    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
-
-
-#: For similar texts: 48 bands of 16 bits drawn from 128, the same for ever.
-_DRAWN = np.concatenate([np.random.default_rng(128 + i).permutation(128) for i in range(6)])
-DRAWN_BANDS = [[2 * i, 2 * i + 1] for i in range(48)]
-SIMILAR_RADIUS = 34
-SIMILAR_FIRST_RADIUS = 20
-
-
-def _drawn_keys(print_: bytes) -> bytes:
-    return np.packbits(np.unpackbits(np.frombuffer(print_[:16], np.uint8))[_DRAWN]).tobytes()
-
-
-def _similar(least: float, words: int):
-    """Links whose texts' shingle sets have at least this Jaccard similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_a", 1 << 20):
-            keep = []
-            for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
-                x, y = (np.unique(shingle_hashes(t, words)) for t in (a, b))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= least * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return run
-
-
-#: Slots of the table that tells frequent shingles apart; it only orders shingles, so shared slots lose nothing.
-_SLOTS = 1 << 22
-_WINDOW = 4_000_000
-
-
-def _frequencies(texts: DataFrame, words: int) -> np.ndarray:
-    """A level (twice the binary logarithm) per slot: how many texts hold a shingle, where that is seen twice in a window.
-
-    Shingles seen once in every window stay at level 0.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(window), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(found[n > 1].view(np.int64)), pa.array(n[n > 1].astype(np.int64))], names=["token", "n"])
-
-        window, size = [], 0
-        for batch in slices(batches, "text"):
-            for t in batch.column("text").to_pylist():
-                window.append(np.unique(shingle_hashes(t, words)))
-                size += len(window[-1])
-            if size >= _WINDOW:
-                yield counted()
-                window, size = [], 0
-        if window:
-            yield counted()
-
-    sums = texts.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = sums.groupBy(F.col("token").bitwiseAND(_SLOTS - 1).cast("int").alias("slot")).agg(F.max("n").alias("n")).toArrow()
-    levels = np.zeros(_SLOTS, np.uint8)
-    levels[top.column("slot").to_numpy()] = 2 * np.log2(np.maximum(top.column("n").to_numpy(), 1))
-    return levels
-
-
-def _prefix_rows(levels, least: float, words: int):
-    """The rarest shingles of a text, as many as make sure that similar texts share one, rare ones first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sizes, tokens = [], []
-            for t in batch.column("text").to_pylist():
-                found = np.unique(shingle_hashes(t, words))
-                n = len(found)
-                ordered = found[np.argsort(levels.value[found & np.uint64(_SLOTS - 1)], kind="stable")]  # ties by hash: one order for all texts
-                sizes.append(n)
-                tokens.append(ordered[: n - int(np.ceil(least * n - 1e-9)) + 1 if n else 0].view(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tokens)]), pa.int32()), pa.array(np.concatenate(tokens)))
-            yield pa.RecordBatch.from_arrays([batch.column("fingerprint"), batch.column("id"), pa.array(sizes, pa.int32()), lists], names=["fingerprint", "id", "size", "tokens"])
-
-    return run
-
-
-def _pairs_of_groups(least: float):
-    """Pairs of members of a group (token, low, high; sorted) that are not joined yet and may reach the similarity.
-
-    If the group's shingle is the first that two texts share, they have no more
-    in common than the shorter of what follows it; so a similar pair passes at
-    its first common shingle.
-    """
-
-    def pairs(table: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        start = np.ones(len(table["token"]), bool)
-        start[1:] = (table["token"][1:] != table["token"][:-1]) | (table["low"][1:] != table["low"][:-1]) | (table["high"][1:] != table["high"][:-1])
-        group = np.cumsum(start)
-        size, rest = table["size"].astype(np.float64), (table["size"] - table["place"]).astype(np.float64)
-        i, step, out, held = np.arange(len(group)), 1, [], 0
-        while True:
-            i = i[i + step < len(group)]
-            i = i[group[i] == group[i + step]]
-            if not len(i):
-                break
-            j = i + step
-            open_ = table["root"][i] != table["root"][j]
-            open_ &= (table["low"][i] == table["high"][i]) | (table["mine"][i] != table["mine"][j])  # tiles of two blocks: only pairs across
-            open_ &= np.minimum(rest[i], rest[j]) * (1 + least) >= least * (size[i] + size[j]) - 1e-6
-            x, y = table["node"][i[open_]], table["node"][j[open_]]
-            out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-            held += len(x)
-            if held > 1 << 20:
-                yield told(out)
-                out, held = [], 0
-            step += 1
-        if held:
-            yield told(out)
-
-    def told(out: list[np.ndarray]) -> pa.RecordBatch:
-        found = np.unique(np.concatenate(out), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k])) for k in (0, 1)], names=["x", "y"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left: dict[str, np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = {name: batch.column(name).to_numpy() for name in batch.schema.names}
-            if left is not None:
-                table = {name: np.concatenate([left[name], column]) for name, column in table.items()}
-            key = np.stack([table["token"], table["low"], table["high"]])
-            last = np.flatnonzero((key != key[:, -1:]).any(axis=0))
-            cut = int(last[-1]) + 1 if len(last) else 0  # the last group may go on in the next batch
-            yield from pairs({name: column[:cut] for name, column in table.items()})
-            left = {name: column[cut:] for name, column in table.items()}
-        if left is not None:
-            yield from pairs(left)
-
-    return run
-
-
-def open_pairs(spark: SparkSession, texts: DataFrame, roots: DataFrame, least: float, words: int, block: int = BLOCK) -> DataFrame:
-    """Pairs (``x``, ``y``) of nodes in different groups that may reach the similarity ``least``; complete.
-
-    ``texts`` has ``fingerprint``, ``id`` and ``text``; ``roots`` names the row
-    of each fingerprint that counts (``least``) and its group (``root``). Nodes
-    are 64-bit hashes of fingerprints. Shingles that stand in one group only are
-    dropped after a count; those of more than ``block`` texts are dealt to
-    blocks, every pair of which meets in one task.
-    """
-    levels = spark.sparkContext.broadcast(_frequencies(texts, words))
-    found = texts.mapInArrow(_prefix_rows(levels, least, words), T.StructType([texts.schema["fingerprint"], texts.schema["id"], *T._parse_datatype_string("size int, tokens array<long>")]))
-    named = roots.select("fingerprint", F.col("least").alias("id"), F.xxhash64("root").alias("root"))
-    found = found.join(named, ["fingerprint", "id"]).select(F.xxhash64("fingerprint").alias("node"), "root", "size", "tokens")
-    found = saved(spark, found, "prefixes")
-    rows = found.select("node", "root", "size", F.posexplode("tokens").alias("place", "token"))
-    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s")
-    counts = saved(spark, counts.select("token", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "shared-shingles")
-    met = rows.join(counts, "token").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = met.select("token", "node", "root", "size", "place", "mine", others)
-    dealt = dealt.select("token", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "root", "size", "place")
-    dealt = dealt.repartition(width(spark), "token", "low", "high").sortWithinPartitions("token", "low", "high")
-    return dealt.mapInArrow(_pairs_of_groups(least), "x long, y long").distinct()
-
-
-def one_per_group(spark: SparkSession, docs: DataFrame, words: int = 5, similarity: float = 0.8, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each group of similar texts; columns as they were.
-
-    Texts are linked if their sets of ``words``-word shingles have a Jaccard
-    similarity of at least ``similarity``; groups follow links. The row with the
-    smallest id stays (null ids are larger than others); rows that repeat text
-    and id count as one. Texts without words form one group. Texts are one
-    node if their shingle sets have the same 128-bit digest, which stands behind
-    the 128 bits of the fingerprint. An empty table gives no rows; columns may
-    have any names.
-    """
-    ship(spark)
-    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(row_id).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    schema = T.StructType([*source.schema, T.StructField("fingerprint", T.BinaryType())])
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sets = [np.unique(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
-            out = [fingerprint(x, 2) + xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=schema.fieldNames())
-
-    marked = saved(spark, source.mapInArrow(mark, schema), "marked")
-    prints = saved(spark, marked.groupBy("fingerprint").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "prints")
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("fingerprint"), pa.array([_drawn_keys(p) for p in batch.column("fingerprint").to_pylist()], pa.binary())], names=["fingerprint", "keys"])
-
-    keyed = prints.select("fingerprint").mapInArrow(keys, "fingerprint binary, keys binary")
-    links = saved(spark, close_links(spark, keyed, DRAWN_BANDS, SIMILAR_RADIUS, SIMILAR_FIRST_RADIUS), "candidates")
-    ends = links.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct()
-    texts = marked.select("fingerprint", "id", "text").join(ends, "fingerprint").join(prints.select("fingerprint", F.col("least").alias("id")), ["fingerprint", "id"])
-    texts = saved(spark, texts.groupBy("fingerprint").agg(F.min("text").alias("text")), "candidate-texts")
-    paired = links.join(texts.select(F.col("fingerprint").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("fingerprint").alias("b"), F.col("text").alias("text_b")), "b")
-    similar = paired.select("a", "b", "text_a", "text_b").mapInArrow(_similar(similarity, words), "a binary, b binary")
-    joined = components(spark, similar)
-    groups = saved(spark, prints.join(joined.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")), "groups")
-    pairs = saved(spark, open_pairs(spark, marked.select("fingerprint", "id", "text"), groups, similarity, words), "open-pairs")
-    named = groups.select("fingerprint", F.col("least").alias("id"), F.xxhash64("fingerprint").alias("node"))
-    ends = named.join(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "node")
-    texts = marked.select("fingerprint", "id", "text").join(ends, ["fingerprint", "id"])
-    texts = saved(spark, texts.groupBy("node", "fingerprint").agg(F.min("text").alias("text")), "open-texts")
-    first, second = (texts.select(F.col("node").alias(n), F.col("fingerprint").alias(f), F.col("text").alias(f"text_{f}")) for n, f in (("x", "a"), ("y", "b")))
-    paired = pairs.join(first, "x").join(second, "y")
-    similar = paired.select("a", "b", "text_a", "text_b").mapInArrow(_similar(similarity, words), "a binary, b binary")
-    found = components(spark, joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(similar))
-    roots = prints.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     kept = roots.groupBy("root").agg(F.min(F.struct("least", "fingerprint")).alias("first"), F.sum("n").alias("rows"))
     kept = kept.select("first.fingerprint", F.col("first.least").alias("id"), "rows")
     rows = marked.join(kept, ["fingerprint", "id"])
-    single = rows.filter("rows = 1").select("row.*")
-    several = rows.filter("rows > 1").groupBy("fingerprint").agg(F.first("row").alias("row"))
+    whole = rows.select("rows", "fingerprint", own.unpacked().alias("row"))
+    single = whole.filter("rows = 1").select("row.*")
+    several = whole.filter("rows > 1").groupBy("fingerprint").agg(F.first("row").alias("row"))
     return single.unionByName(several.select("row.*"))

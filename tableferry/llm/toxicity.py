@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.llm.common import PieceCache, discard, saved, ship, slices, whole_text
+from tableferry.llm.common import PieceCache, Row, discard, saved, ship, slices, whole_text
 
 STEMS = (4, 6)
 PRIOR = 10.0
@@ -47,7 +47,7 @@ SAMPLE = 20_000
 MODEL_ENTRIES = 4_000_000
 LEVELS = 1 + len(STEMS)
 
-_FLUSH = 1 << 20
+_FLUSH = 1 << 18
 _STEP = 1 << 16  # scores are kept in steps of 1 / 65536
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -89,13 +89,20 @@ def count_words(labelled: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place: dict[tuple[int, int], int] = {}
+        place: dict[int, int] = {}
+        levels = bytearray()
+
+        def number(level: int, key: int) -> int:
+            at = place.setdefault(key, len(place))
+            if at == len(levels):
+                levels.append(level)
+            return at
 
         def encode(words: list[str]) -> np.ndarray:
-            return np.array([[place.setdefault((level, k), len(place)) for level, k in enumerate(_keys(w))] for w in words])
+            return np.array([[number(level, k) for level, k in enumerate(_keys(w))] for w in words])
 
         def parts(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-            level, key = (np.fromiter((p[i] for p in place), kind, len(place)) for i, kind in ((0, np.int32), (1, np.uint64)))
+            level, key = np.frombuffer(bytes(levels), np.uint8).astype(np.int32), np.fromiter(place, np.uint64, len(place))
             for a in range(0, len(place), 100_000):
                 own = slice(a, min(a + 100_000, len(place)))
                 columns = [key[own].view(np.int64), level[own], total[1, own], total[0, own]]
@@ -111,6 +118,7 @@ def count_words(labelled: DataFrame) -> DataFrame:
             if len(place) > _FLUSH:
                 yield from parts(total)
                 place.clear()
+                levels.clear()
                 words, total = _Words(encode, LEVELS), np.zeros((2, 0), np.int64)
         yield from parts(total)
 
@@ -295,7 +303,7 @@ def _score_frame(rows: DataFrame, model: Model, payload: list[str]) -> DataFrame
             score = 1 / (1 + np.exp(-np.clip(w[0] + w[1] * np.array(best) + w[2] * np.log1p(np.array(total)), -30, 30)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in payload), pa.array(best), pa.array(total), pa.array(score), pa.array(passages, out_type)], names=schema.fieldNames())
 
-    return rows.select(*payload, "text").mapInArrow(run, schema)
+    return rows.select(*payload, *([] if "text" in payload else ["text"])).mapInArrow(run, schema)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", payload: list[str] | None = None) -> DataFrame:
@@ -305,8 +313,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", payload: list[str]
     toxic words. Nothing is shuffled. An empty table gives no rows.
     """
     ship(docs.sparkSession)
-    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if payload is None else payload)]).alias("row")
-    return _score_frame(docs.select(row, whole_text(text).alias("text")), model, ["row"]).select("row", "score", "passages")
+    row = Row(docs, payload, text)
+    scored = _score_frame(docs.select(row.packed().alias("row"), whole_text(text).alias("text")), model, ["row", "text"] if row.text else ["row"])
+    return scored.select(row.unpacked().alias("row"), "score", "passages")
 
 
 def training_rows(labels: DataFrame, row_id: str = "doc_id") -> DataFrame:
