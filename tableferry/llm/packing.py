@@ -137,14 +137,15 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int, patience: int = 4) -> list[list[int]]:
+def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[list[int]]:
     """Local search on the underfull bins until none of them can be emptied.
 
     The emptiest bin gives: each of its items, largest first, moves into the
     smallest gap that takes it, or changes places with one smaller item, or two
     items of it with one, in a fuller bin whose gap allows it. Every step fills
     a fuller bin further, so the sum of squared fills rises and the search ends.
-    It stops early once ``patience`` bins in a row could not be emptied.
+    It ends when every underfull bin was tried since the last step, or when all
+    gaps together cannot hold the emptiest bin.
     """
     bins = [list(b) for b in bins]
     fill = np.array([int(lengths[b].sum()) for b in bins], np.int64)
@@ -152,21 +153,20 @@ def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int, patience:
     for k, b in enumerate(bins):
         owner[b] = k
     size = lengths.astype(np.int64)
-    failed, given_up = 0, set()
-    while failed < patience:
-        open_bins = np.flatnonzero((fill > 0) & (fill < capacity))
+    tried = np.zeros(len(bins), bool)
+    while True:
+        open_bins = (fill > 0) & (fill < capacity)
         room = int((capacity - fill[open_bins]).sum())
-        giver = min((int(b) for b in open_bins if b not in given_up), key=lambda b: fill[b], default=None)
-        if giver is None or room - (capacity - fill[giver]) < fill[giver]:
+        givers = np.flatnonzero(open_bins & ~tried)
+        if not len(givers):
             break
-        steps = _drain(giver, size, fill, owner, bins, capacity)
-        if steps:
-            given_up.clear()  # gaps have changed, so bins given up may have a chance
-        if bins[giver]:
-            given_up.add(giver)
-            failed += 1
-        else:
-            failed = 0
+        least = int(fill[open_bins].min())
+        if room - (capacity - least) < least:
+            break
+        giver = int(givers[np.argmin(fill[givers])])
+        if _drain(giver, size, fill, owner, bins, capacity):
+            tried[:] = False  # gaps have changed, so bins given up may have a chance
+        tried[giver] = bool(bins[giver])
     return [b for b in bins if b]
 
 
@@ -182,7 +182,6 @@ def _drain(giver: int, size: np.ndarray, fill: np.ndarray, owner: np.ndarray, bi
 
     steps = 0
     while bins[giver]:
-        steps += 1
         mine = sorted(bins[giver], key=lambda i: -size[i])
         gap = capacity - fill
         fuller = (fill >= fill[giver]) & (gap > 0)
@@ -193,24 +192,48 @@ def _drain(giver: int, size: np.ndarray, fill: np.ndarray, owner: np.ndarray, bi
                 shift(item, int(fits[np.argmin(gap[fits])]))
                 break
         else:
-            done = False
-            candidates = np.flatnonzero(fuller[owner])
-            theirs, spare = size[candidates], gap[owner[candidates]]
-            for mine_size, group in [(int(size[i]), (i,)) for i in mine] + [(int(size[a] + size[b]), (a, b)) for k, a in enumerate(mine[:24]) for b in mine[k + 1 : 24]]:
-                good = np.flatnonzero((theirs < mine_size) & (theirs + spare >= mine_size))
-                if len(good):
-                    other = candidates[good[np.argmin(theirs[good])]]
-                    to = int(owner[other])
-                    shift(int(other), giver)
-                    for item in group:
-                        shift(item, to)
-                    done = True
-                    break
-            if not done:
-                return steps - 1
+            found = _exchange(mine, size, fuller, gap, owner, capacity)
+            if found is None:
+                return steps
+            group, other = found
+            to = int(owner[other])
+            shift(other, giver)
+            for item in group:
+                shift(item, to)
+        steps += 1
     return steps
 
 
+def _exchange(mine: list[int], size: np.ndarray, fuller: np.ndarray, gap: np.ndarray, owner: np.ndarray, capacity: int) -> tuple[tuple[int, ...], int] | None:
+    """One or two items of the giver and the smaller item of a fuller bin that they can replace; ``None`` if there is none.
+
+    One suffices of items of equal size, so a bin offers at most about 64 sizes
+    and all their pairs. For every size of the others' items only the widest
+    gap beside such an item counts.
+    """
+    candidates = np.flatnonzero(fuller[owner])
+    if not len(candidates):
+        return None
+    widest = np.full(capacity + 1, -1, np.int64)
+    np.maximum.at(widest, size[candidates], gap[owner[candidates]])
+    theirs = np.flatnonzero(widest >= 0)
+    one_of: dict[int, list[int]] = {}
+    for item in mine:
+        one_of.setdefault(int(size[item]), []).append(item)
+    offers = [(n, (items[0],)) for n, items in one_of.items()]
+    sizes = list(one_of)
+    offers += [(n + m, (one_of[n][0], one_of[m][n == m])) for k, n in enumerate(sizes) for m in sizes[k:] if n + m <= capacity and (n != m or len(one_of[n]) > 1)]
+    wanted = np.array([n for n, _ in offers])
+    good = (theirs[None, :] < wanted[:, None]) & (theirs + widest[theirs] >= wanted[:, None])
+    able = np.flatnonzero(good.any(axis=1))
+    if not len(able):
+        return None
+    pick = int(able[0])
+    their_size = int(theirs[np.argmax(good[pick])])
+    others = candidates[(size[candidates] == their_size) & (gap[owner[candidates]] + their_size >= wanted[pick])]
+    return offers[pick][1], int(others[0])
+
+
 def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray, int]:
     """Bin and offset of each item, and the number of bins."""
     bins = improve(lengths, best_fit_decreasing(lengths, capacity), capacity)
