@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from tableferry.llm.common import ship, whole_text
 
 VIRTUAL_NODES = 128
+#: Parts of an arc that are ranked on their own.
+LANES = 16
 
 
 def ring(shards: int, virtual: int = VIRTUAL_NODES) -> tuple[np.ndarray, np.ndarray]:
@@ -76,9 +78,12 @@ def walk(counts: np.ndarray, owners: np.ndarray, room: np.ndarray) -> list[tuple
 def shard(spark: SparkSession, docs: DataFrame, shards: int, text: str = "text", row_id: str = "doc_id", slack: float = 0.0, virtual: int = VIRTUAL_NODES) -> DataFrame:
     """(``doc_id``, ``size``, ``text_crc32``, ``shard``, ``slot``) per row; size is the text's UTF-8 bytes plus 16.
 
-    A row's place on the ring is the hash of its id and text, so ids may repeat
-    or be null. Rows of one arc are ranked by that hash; equal rows are
-    interchangeable. Null texts count as empty. An empty table gives no rows.
+    A row's place on the ring is the hash of its text, so equal texts share an
+    arc and lie on one shard, but for those in arcs that a full shard cuts; a
+    group larger than a shard fills several. Rows of an arc are ranked in LANES
+    by the hash of id and text, so no task ranks a whole group of copies. Ids may
+    repeat or be null; equal rows are interchangeable. Null texts count as
+    empty. An empty table gives no rows.
     """
     ship(spark)
     places, owners = ring(shards, virtual)
@@ -87,7 +92,8 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int, text: str = "text",
         F.col(row_id).alias("doc_id"),
         (F.octet_length(body).cast("long") + 16).alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
-        F.shiftrightunsigned(F.xxhash64(F.col(row_id), body), 1).alias("place"),
+        F.shiftrightunsigned(F.xxhash64(body), 1).alias("place"),
+        F.pmod(F.xxhash64(F.col(row_id), body, F.lit("lane")), F.lit(LANES)).cast("int").alias("lane"),
     )
 
     @F.pandas_udf("int")
@@ -95,12 +101,16 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int, text: str = "text",
         return pd.Series(np.searchsorted(places, place.to_numpy(np.int64), side="left") % len(places)).astype("int32")
 
     rows = rows.withColumn("arc", arc_of("place"))
-    counts = np.zeros(len(places), np.int64)
-    for arc, n in rows.groupBy("arc").count().collect():  # at most shards x virtual rows
-        counts[arc] = n
-    plan = walk(counts, owners, capacities(int(counts.sum()), shards, slack))
+    counts = np.zeros((len(places), LANES), np.int64)
+    for arc, lane, n in rows.groupBy("arc", "lane").count().collect():  # at most shards x virtual x LANES rows
+        counts[arc, lane] = n
+    plan = walk(counts.sum(axis=1), owners, capacities(int(counts.sum()), shards, slack))
     table = spark.createDataFrame(pd.DataFrame(plan or [(0, 0, 0, 0, 0)], columns=["arc", "first", "end", "shard", "slot0"]).astype({"arc": "int32", "shard": "int32"}))
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("arc").orderBy("place", "doc_id")) - 1)
-    # the plan has a row per arc and a few more for arcs that overflow: bounded by the ring, whatever the input
+    arc, lane = np.nonzero(counts)
+    before = (np.cumsum(counts, axis=1) - counts)[arc, lane]
+    lanes = spark.createDataFrame(pd.DataFrame({"arc": np.append(arc, -1).astype("int32"), "lane": np.append(lane, 0).astype("int32"), "before": np.append(before, 0)}))
+    # both tables are bounded by the ring, whatever the input: a row per arc, lane or cut
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("arc", "lane").orderBy("place", "doc_id")) - 1)
+    ranked = ranked.join(F.broadcast(lanes), ["arc", "lane"]).withColumn("rank", F.col("rank") + F.col("before"))
     dealt = ranked.join(F.broadcast(table), "arc").filter("rank >= first and rank < end")
     return dealt.select("doc_id", "size", "text_crc32", "shard", (F.col("slot0") + F.col("rank") - F.col("first")).cast("long").alias("slot"))
