@@ -6,14 +6,18 @@ row per map task. Each owner task holds a range of keys: it reads them in key
 order, keeps one chain entry per different text of a key (compared byte by
 byte), and fills buckets; a bucket over capacity doubles the directory where
 needed and splits by the next key bit. Only entries of 100 bytes or so stay in
-memory, never texts. The index is a Parquet table in the shared folder, and
-documents find their entry there by key and SHA-256 (different texts of one key
-that shared it would stop the build).
+memory, never texts. The index lies in the shared folder as two Parquet tables:
+the directories (which bucket every slot of an owner points to) and the buckets
+with their chains. A document finds its entry as in any such index: its key's
+leading bits name the owner, the next ones the slot, the slot the bucket, and in
+the bucket's chain of its key the SHA-256 names the entry (different texts of one
+key that shared it would stop the build).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +34,9 @@ OWNERS_PER_PARTITION = 32
 _FOLDED = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("text", pa.string()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("keep_rows", pa.int64())])
 _FOLDED_DDL = "key long, digest binary, text string, keep_id long, group_size long, keep_rows long"
 _INDEX = pa.schema([("owner", pa.int32()), ("bucket", pa.int64()), ("depth", pa.int32()), ("key", pa.int64()), ("digest", pa.binary()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("keep_rows", pa.int64())])
+_SLOTS_DDL = "owner int, directory_depth int, slot long, bucket long, depth int"
+#: Slots that every task may hold; more are joined to the documents.
+HELD_SLOTS = 200_000
 _INDEX_DDL = "owner int, bucket long, depth int, key long, digest binary, keep_id long, group_size long, keep_rows long"
 
 
@@ -115,11 +122,11 @@ class Directory:
         return list({id(b): b for b in self.slots}.values())
 
 
-def _build(owner_bits: int):
+def _build(owner_bits: int, capacity: int):
     """Owner task: rows come sorted by key; the texts of one key are compared, then only the entry is kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        directory, key, chain, owner = Directory(), None, [], None
+        directory, key, chain, owner = Directory(capacity), None, [], None
 
         def close() -> None:
             if len({e[1] for e in chain}) != len(chain):
@@ -129,10 +136,15 @@ def _build(owner_bits: int):
                 directory.insert(key << owner_bits, [key, *entry[1:]])
 
         def pages() -> Iterator[pa.RecordBatch]:
-            for bucket in directory.buckets():
-                rows = [(owner, bucket["prefix"], bucket["depth"], *e) for c in bucket["chains"].values() for e in c]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _INDEX, strict=True)], schema=_INDEX)
+            if owner is None:
+                return
+            # a directory's slots travel as rows without a key: slot in keep_id, the directory's depth in group_size
+            slots = [(owner, b["prefix"], b["depth"], None, None, slot, directory.depth, None) for slot, b in enumerate(directory.slots)]
+            entries = [(owner, b["prefix"], b["depth"], *e) for b in directory.buckets() for c in b["chains"].values() for e in c]
+            for rows in (slots, entries):
+                for a in range(0, len(rows), 50_000):
+                    part = rows[a : a + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), _INDEX, strict=True)], schema=_INDEX)
 
         for batch in slices(batches, "text"):
             columns = (batch.column(c).to_pylist() for c in ("owner", "key", "digest", "text", "keep_id", "group_size", "keep_rows"))
@@ -142,7 +154,7 @@ def _build(owner_bits: int):
                         close()
                     if o != owner:
                         yield from pages()
-                        directory = Directory()
+                        directory = Directory(capacity)
                     key, owner, chain = k, o, []
                 for entry in chain:
                     if entry[0] == text:
@@ -157,21 +169,56 @@ def _build(owner_bits: int):
     return run
 
 
-def build_index(spark: SparkSession, docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """The index as a table on shared files: one row per different text.
+@dataclass
+class Index:
+    """An index on shared files. ``owner_bits`` leading bits of a key name its owner.
 
-    ``owner`` is the leading bits of the key; ``bucket`` and ``depth`` name the
-    bucket inside the owner's directory. ``keep_id`` is the largest id of the
-    group (null only if all are), ``keep_rows`` the number of rows that have it.
+    ``slots``: (owner, directory_depth, slot, bucket, depth), one row per slot of
+    every owner's directory. ``entries``: (owner, bucket, depth, key, digest,
+    keep_id, group_size, keep_rows), one row per different text; ``keep_id`` is
+    the largest id of the group (null only if all are), ``keep_rows`` the number
+    of rows that have it.
     """
+
+    owner_bits: int
+    slots: DataFrame
+    entries: DataFrame
+    stored: DataFrame
+
+
+def build_index(
+    spark: SparkSession, docs: DataFrame, text: str = "text", row_id: str = "doc_id", owners: int = OWNERS_PER_PARTITION, capacity: int = BUCKET_CAPACITY
+) -> Index:
+    """Write the index of all texts of ``docs``, with ``owners`` key ranges a partition at least and buckets of ``capacity`` entries."""
     ship(spark)
-    bits = (width(spark) * OWNERS_PER_PARTITION - 1).bit_length()
+    bits = (width(spark) * owners - 1).bit_length()
     rows = docs.select(F.col(row_id).cast("long").alias("id"), whole_text(text).alias("text"))
     rows = rows.select("id", "text", F.xxhash64("text").alias("key"), F.unhex(F.sha2("text", 256)).alias("digest"))
     folded = rows.mapInArrow(_fold, _FOLDED_DDL)
     owned = folded.withColumn("owner", F.shiftrightunsigned("key", KEY_BITS - bits).cast("int"))
     owned = owned.repartition(width(spark), "owner").sortWithinPartitions("key")
-    return saved(spark, owned.mapInArrow(_build(bits), _INDEX_DDL), "exact-index")
+    stored = saved(spark, owned.mapInArrow(_build(bits, capacity), _INDEX_DDL), "exact-index")
+    slots = stored.filter("key is null").selectExpr("owner", "cast(group_size as int) directory_depth", "keep_id slot", "bucket", "depth")
+    return Index(bits, slots, stored.filter("key is not null"), stored)
+
+
+def look_up(spark: SparkSession, keyed: DataFrame, index: Index, held: int = HELD_SLOTS) -> DataFrame:
+    """``keyed`` (key, digest, ...) with the entry of every row: owner, slot, bucket, chain.
+
+    Directory depths are a row per owner. The slots go to every task if there
+    are at most ``held``, a slot for some hundred texts; else both sides meet by
+    owner and slot. Chains are met by owner, bucket and key; a chain's row that a
+    third of all documents ask for is split by adaptive execution.
+    """
+    depths = index.slots.groupBy("owner").agg(F.max("directory_depth").alias("directory_depth"))  # at most 2^owner_bits rows
+    below = F.shiftleft("key", index.owner_bits)
+    slot = F.when(F.col("directory_depth") == 0, F.lit(0).cast("long")).otherwise(F.call_function("shiftrightunsigned", below, KEY_BITS - F.col("directory_depth")))
+    asked = keyed.withColumn("owner", F.shiftrightunsigned("key", KEY_BITS - index.owner_bits).cast("int"))
+    asked = asked.join(F.broadcast(depths), "owner").withColumn("slot", slot)
+    slots = index.slots.select("owner", "slot", "bucket")
+    found = asked.join(F.broadcast(slots) if index.slots.count() <= held else slots, ["owner", "slot"])
+    chains = index.entries.select("owner", "bucket", "key", "digest", "keep_id", "group_size", "keep_rows")
+    return found.join(chains, ["owner", "bucket", "key", "digest"]).drop("owner", "slot", "directory_depth", "bucket")
 
 
 def classes(spark: SparkSession, docs: DataFrame, text: str = "text", row_id: str = "doc_id", payload: list[str] | None = None) -> DataFrame:
@@ -183,14 +230,14 @@ def classes(spark: SparkSession, docs: DataFrame, text: str = "text", row_id: st
     ``keep_rows``. A null id is smaller than any other. An empty table gives no
     rows. Columns of ``docs`` may have any names.
     """
-    index = build_index(spark, docs, text, row_id).select("key", "digest", "keep_id", "group_size", "keep_rows")
+    index = build_index(spark, docs, text, row_id)
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in (payload or docs.columns)]).alias("row"),
         F.col(row_id).cast("long").alias("id"),
         F.xxhash64(whole_text(text)).alias("key"),
         F.unhex(F.sha2(whole_text(text), 256)).alias("digest"),
     )
-    found = keyed.join(index, ["key", "digest"])
+    found = look_up(spark, keyed, index)
     kept = F.col("id").eqNullSafe(F.col("keep_id")).alias("kept")
     return found.select("row", "keep_id", "group_size", "keep_rows", kept, F.lower(F.hex("digest")).alias("text_sha256"))
 

@@ -1,9 +1,11 @@
 import hashlib
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from made_docs import docs  # noqa: F401
-from tableferry.llm.exact_dedup import KEY_BITS, MOST_DEPTH, Directory, classes, deduplicate
+from tableferry.llm.exact_dedup import KEY_BITS, MOST_DEPTH, Directory, build_index, classes, deduplicate, look_up
 
 
 def found(spark, frame):
@@ -38,6 +40,36 @@ def test_empty_table(spark, docs):
     assert deduplicate(spark, docs()).count() == 0
 
 
+def many(docs, n=4000):
+    draw = random.Random(n)
+    return docs(*[(i, f"text {draw.randrange(n // 2)}" if i % 3 else "the hot text") for i in range(n)])
+
+
+@pytest.mark.parametrize("held", [0, 200_000])
+def test_lookups_go_through_slot_and_bucket(spark, docs, held):
+    """Small buckets, so that directories are deep: the result is that of a dictionary."""
+    frame = many(docs)
+    index = build_index(spark, frame, owners=1, capacity=4)
+    assert index.slots.agg(F.max("directory_depth")).first()[0] >= 6
+    per_owner = index.slots.groupBy("owner", "directory_depth").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("low"), F.max("slot").alias("high")).collect()
+    assert all(r.n == 1 << r.directory_depth and (r.low, r.high) == (0, r.n - 1) for r in per_owner)
+    keyed = frame.select("doc_id", "text", F.xxhash64("text").alias("key"), F.unhex(F.sha2("text", 256)).alias("digest"))
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in look_up(spark, keyed, index, held).collect()}
+    groups = {}
+    for r in frame.select("doc_id", "text").collect():
+        groups.setdefault(r.text, []).append(r.doc_id)
+    assert got == {i: (max(ids), len(ids)) for ids in groups.values() for i in ids}
+
+
+def test_a_wrong_directory_finds_nothing(spark, docs):
+    frame = many(docs, 600)
+    index = build_index(spark, frame, owners=1, capacity=4)
+    keyed = frame.select("doc_id", F.xxhash64("text").alias("key"), F.unhex(F.sha2("text", 256)).alias("digest"))
+    assert look_up(spark, keyed, index).count() == 600
+    index.slots = index.slots.withColumn("bucket", F.col("bucket") + 1)
+    assert look_up(spark, keyed, index).count() < 600
+
+
 @pytest.mark.parametrize("capacity", [1, 2, 5])
 def test_directory_splits_and_keeps_every_entry(capacity):
     directory = Directory(capacity)
