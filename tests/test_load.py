@@ -218,13 +218,15 @@ def test_direct_load_keeps_nested_columns_on_request(spark, schema):
 
 
 def test_files_follow_the_partitions(spark, schema):
-    """A quarter as many files as partitions; with a layout the scan keeps its width instead."""
+    """A quarter as many files as partitions if the caller says that it is a scan; with a layout the scan keeps its width instead."""
 
     def files(name):
         return spark.table(f"{schema}.{name}").select("_metadata.file_path").distinct().count()
 
-    load.load_direct(spark.range(0, 800, 1, 8), f"{schema}.merged")
+    load.load_direct(spark.range(0, 800, 1, 8), f"{schema}.merged", shrink="coalesce")
     assert files("merged") == 2
+    load.load_direct(spark.range(0, 800, 1, 8), f"{schema}.sized")
+    assert files("sized") == 1
     load.write_table(spark.range(0, 800, 1, 8), f"{schema}.plain")
     assert files("plain") == 8
     load.load_direct(spark.range(0, 800, 1, 8), f"{schema}.sorted", definition=Definition((), ("id",)))
