@@ -375,20 +375,16 @@ def json_whole(spark, sf_dir):
 
 
 @query(
-    """SELECT vec_id, label, CAST(len(embedding) AS BIGINT) AS restored_length, TRUE AS same
+    """SELECT vec_id, label, unnest(range(CAST(len(embedding) AS BIGINT))) AS position, CAST(unnest(embedding) AS DOUBLE) AS value
        FROM embeddings"""
 )
 def array_json_roundtrip(spark, sf_dir):
+    """Vectors to JSON text and back, one row per component."""
     vectors = table(spark, sf_dir, "embeddings")
     text = nested.nested_to_json(vectors.withColumn("kept", F.col("embedding")).drop("embedding"))
     back = nested.json_to_nested(text, T.StructType([T.StructField("kept", vectors.schema["embedding"].dataType)]))
-    both = back.join(vectors.select("vec_id", "embedding"), "vec_id")
-    return both.select(
-        "vec_id",
-        "label",
-        F.size("kept").cast("bigint").alias("restored_length"),
-        (F.col("kept") == F.col("embedding")).alias("same"),
-    )
+    parts = back.select("vec_id", "label", F.posexplode("kept").alias("position", "value"))
+    return parts.withColumns({"position": F.col("position").cast("bigint"), "value": F.col("value").cast("double")})
 
 
 # --------------------------------------------------------- schema mapping
@@ -401,15 +397,17 @@ def _text_orders(spark, sf_dir) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
         F.col("o_totalprice").cast("string").alias("order_amount"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("priority"),
     )
 
 
-MAPPED = "order_id bigint NOT NULL, customer_id bigint, order_date date, order_amount double, created_at timestamp_ntz"
+MAPPED = "order_id bigint NOT NULL, customer_id bigint, order_date date, order_amount double, created_at timestamp_ntz, status string, priority string"
 
 
 @query(
     """SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
-              o_totalprice AS order_amount, o_orderdate AS created_at FROM orders"""
+              o_totalprice AS order_amount, o_orderdate AS created_at, o_orderstatus AS status, o_orderpriority AS priority FROM orders"""
 )
 def schema_map(spark, sf_dir):
     return mapping.map_schema(_text_orders(spark, sf_dir), T.StructType.fromDDL(MAPPED))
@@ -418,35 +416,35 @@ def schema_map(spark, sf_dir):
 def _loose_dates(spark, sf_dir) -> DataFrame:
     """Line items with a date text whose day runs past the end of some months."""
     return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
+        "*",
         F.concat(
             F.left(F.col("l_shipdate").cast("string"), F.lit(8)), (F.col("l_linenumber") + 26).cast("string")
         ).alias("ship_text"),
     )
 
 
-LOOSE_SQL = "SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-') || (l_linenumber + 26) AS t FROM lineitem"
+LOOSE_SQL = "SELECT *, strftime(l_shipdate, '%Y-%m-') || (l_linenumber + 26) AS t FROM lineitem"
 LOOSE_TARGET = "l_orderkey bigint, l_linenumber int, ship_text date"
 
 
-@query(
-    f"""SELECT l_orderkey, l_linenumber, TRY_CAST(t AS DATE) AS ship_text FROM ({LOOSE_SQL})
-        WHERE TRY_CAST(t AS DATE) IS NOT NULL"""
-)
+def _whole_target(spark, sf_dir) -> T.StructType:
+    return T.StructType([*table(spark, sf_dir, "lineitem").schema.fields, T.StructField("ship_text", T.DateType())])
+
+
+@query(f"SELECT * EXCLUDE (t), TRY_CAST(t AS DATE) AS ship_text FROM ({LOOSE_SQL}) WHERE TRY_CAST(t AS DATE) IS NOT NULL")
 def mapped_clean_rows(spark, sf_dir):
-    flagged = mapping.map_schema_flagged(_loose_dates(spark, sf_dir), T.StructType.fromDDL(LOOSE_TARGET))
+    flagged = mapping.map_schema_flagged(_loose_dates(spark, sf_dir), _whole_target(spark, sf_dir))
     return mapping.split_rejects(flagged)[0]
 
 
 @query(
-    f"""SELECT l_orderkey, l_linenumber, 'ship_text' AS rejected FROM ({LOOSE_SQL})
+    f"""SELECT * EXCLUDE (t), CAST(NULL AS DATE) AS ship_text, 'ship_text' AS rejected FROM ({LOOSE_SQL})
         WHERE TRY_CAST(t AS DATE) IS NULL"""
 )
 def mapped_rejected_rows(spark, sf_dir):
-    flagged = mapping.map_schema_flagged(_loose_dates(spark, sf_dir), T.StructType.fromDDL(LOOSE_TARGET))
+    flagged = mapping.map_schema_flagged(_loose_dates(spark, sf_dir), _whole_target(spark, sf_dir))
     rejected = mapping.split_rejects(flagged)[1]
-    return rejected.select("l_orderkey", "l_linenumber", F.array_join(mapping.REJECTS, ",").alias("rejected"))
+    return rejected.withColumn("rejected", F.array_join(mapping.REJECTS, ",")).drop(mapping.REJECTS)
 
 
 @query(
@@ -461,7 +459,7 @@ def permissive_load(spark, sf_dir):
     """Rows that fit land in the target, the others with their original text in a second table."""
     schema = workspace(spark)
     result, _ = load.load_permissive(
-        _loose_dates(spark, sf_dir),
+        _loose_dates(spark, sf_dir).select("l_orderkey", "l_linenumber", "ship_text"),
         T.StructType.fromDDL(LOOSE_TARGET),
         f"{schema}.lineitem",
         f"{schema}.rejects",
@@ -479,7 +477,7 @@ def permissive_load(spark, sf_dir):
         FROM ({LOOSE_SQL}) WHERE TRY_CAST(t AS DATE) IS NULL"""
 )
 def schema_diff(spark, sf_dir):
-    return verify.schema_diff(_loose_dates(spark, sf_dir), T.StructType.fromDDL(LOOSE_TARGET))
+    return verify.schema_diff(_loose_dates(spark, sf_dir), _whole_target(spark, sf_dir))
 
 
 DOCUMENT_BYTES = """(CASE WHEN doc_id IS NULL THEN 0 ELSE 8 END) + (CASE WHEN n_chars IS NULL THEN 0 ELSE 8 END)
@@ -641,14 +639,14 @@ def bucketed_load(spark, sf_dir):
 
 @query(
     """SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
-              o_totalprice AS order_amount FROM orders"""
+              o_totalprice AS order_amount, o_orderdate AS created_at, o_orderstatus AS status, o_orderpriority AS priority FROM orders"""
 )
 def created_target(spark, sf_dir):
     """A table created from a flat ``name:TYPE`` list, filled by an append that maps text to its types."""
     target = f"{workspace(spark)}.orders"
-    schema = mapping.flat_schema("order_id:INTEGER,customer_id:INTEGER,order_date:DATE,order_amount:FLOAT")
+    schema = mapping.flat_schema("order_id:INTEGER,customer_id:INTEGER,order_date:DATE,order_amount:FLOAT,created_at:DATETIME,status:STRING,priority")
     catalog.create_table(spark, target, schema, catalog.Definition(cluster_by=("customer_id",)))
-    load.load_direct(mapping.map_schema(_text_orders(spark, sf_dir).drop("created_at"), schema), target, "append")
+    load.load_direct(mapping.map_schema(_text_orders(spark, sf_dir), schema), target, "append")
     return spark.table(target)
 
 
@@ -1007,17 +1005,15 @@ ALTERED = "CASE WHEN l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END"
 
 
 @query(
-    f"""WITH a AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity FROM lineitem),
-             b AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {ALTERED} AS l_quantity
-                   FROM lineitem)
+    f"""WITH a AS (SELECT * FROM lineitem), b AS (SELECT * REPLACE ({ALTERED} AS l_quantity) FROM lineitem)
     SELECT 'source' AS side, count(*) AS copies, * FROM (FROM a EXCEPT ALL FROM b) GROUP BY ALL
     UNION ALL SELECT 'target', count(*), * FROM (FROM b EXCEPT ALL FROM a) GROUP BY ALL"""
 )
 def row_differences(spark, sf_dir):
-    """Rows that differ after quantities of returned items were changed."""
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    changed = rows.withColumn("l_quantity", F.expr(ALTERED))
-    return verify.row_differences(rows, changed, ["l_orderkey", "l_linenumber", "l_quantity"])
+    """Whole rows that differ after quantities of returned items were changed."""
+    rows = table(spark, sf_dir, "lineitem")
+    found = verify.row_differences(rows, rows.withColumn("l_quantity", F.expr(ALTERED)))
+    return found.select("side", "copies", *[F.col(c).cast(rows.schema[c].dataType) for c in rows.columns])
 
 
 @query(
