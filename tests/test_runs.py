@@ -181,3 +181,29 @@ def test_stream_progress_outlives_its_run(spark, schema, dead, tmp_path):
     leases.sweep(spark, hours=0)
     run()
     assert rows(spark.table(f"{schema}.t"), "id") == [(i,) for i in range(5)]
+
+
+@pytest.mark.parametrize("switch", [False, True])
+def test_rejected_rows_are_set_aside_once(spark, schema, tmp_path, switch):
+    """A keyed append with rejects, repeated and with new rows: verified every time, each bad row aside once."""
+    path = str(tmp_path / "t")
+    kinds = "id int, day string"
+    write_log_table(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-31"), (3, "soon"), (None, "2024-01-01"), (4, None)], kinds), path)
+    job = move.Job(path, table="t", schema=schema, mode="append", key=("id",), rejects=f"{schema}.bad", date_columns=("day",), switch=switch)
+    first = move.run_job(spark, job)
+    assert (first["status"], first["verified"], first["source_rows"]) == ("SUCCESS", True, 3)
+    again = move.run_job(spark, job)
+    assert again["verified"] and spark.table(f"{schema}.bad").count() == 2
+    write_log_table(spark.createDataFrame([(5, "2024-03-01"), (6, "never")], kinds), path, "append")
+    third = move.run_job(spark, job)
+    assert third["verified"] and spark.table(f"{schema}.bad").count() == 3
+    assert {r.id for r in spark.table(f"{schema}.t").collect()} == {None, 1, 4, 5}
+
+
+def test_missing_keys_are_still_found(spark, schema, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write_log_table(spark.createDataFrame([(1, "2024-01-01"), (2, "never")], "id int, day string"), path)
+    job = move.Job(path, table="t", schema=schema, mode="append", key=("id",), rejects=f"{schema}.bad", date_columns=("day",))
+    real = load.write_table
+    monkeypatch.setattr(load, "write_table", lambda df, target, *a, **k: real(df.limit(0) if target.endswith(".t") else df, target, *a, **k))
+    assert move.run_job(spark, job)["verified"] is False
