@@ -43,10 +43,10 @@ def draw_int(key: Column, seed: int, label: str, low: int, high: int) -> Column:
     return F.lit(low) + (draw(key, seed, label) % (high - low + 1)).cast("int")
 
 
-def draw_decimal(key: Column, seed: int, label: str, low: str, high: str, places: int) -> Column:
+def draw_decimal(key: Column, seed: int, label: str, low: float, high: float, places: int) -> Column:
     """Uniform number with a fixed number of decimal places, both ends included."""
     scale = 10**places
-    first, last = round(float(low) * scale), round(float(high) * scale)
+    first, last = round(low * scale), round(high * scale)
     return (F.lit(first) + draw(key, seed, label) % (last - first + 1)).cast("double") / scale
 
 

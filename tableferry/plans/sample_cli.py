@@ -9,13 +9,17 @@ from tableferry.plans.sample_tables import BASE_DATE, sample_customers, sample_o
 from tableferry.session import build_session
 from tableferry.sources.log_table import structure_report, write_log_table
 
+# The folder and the numbers of rows when none are given.
+OUTPUT_DIR = "./sample_delta_tables"
+CUSTOMERS, ORDERS, PRODUCTS = 1000, 5000, 500
+
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tableferry-samples", description="Write sample log tables")
-    parser.add_argument("--output-dir", default="./sample_delta_tables")
-    parser.add_argument("--customers", type=int, default=1000)
-    parser.add_argument("--orders", type=int, default=5000)
-    parser.add_argument("--products", type=int, default=500)
+    parser.add_argument("--output-dir", default=OUTPUT_DIR)
+    parser.add_argument("--customers", type=int, default=CUSTOMERS)
+    parser.add_argument("--orders", type=int, default=ORDERS)
+    parser.add_argument("--products", type=int, default=PRODUCTS)
     parser.add_argument("--seed", type=int, default=0)
     parser.add_argument("--base-date", default=BASE_DATE)
     args = parser.parse_args(argv)

@@ -49,12 +49,12 @@ WHOLE = {
     "review_count": (0, 500),
 }
 DECIMAL = {
-    "lifetime_value": ("100", "10000", 2),
-    "order_amount": ("10", "1000", 2),
-    "item_price": ("10", "200", 2),
-    "price": ("9.99", "999.99", 2),
-    "cost": ("5", "500", 2),
-    "rating": ("1", "5", 1),
+    "lifetime_value": (100, 10000, 2),
+    "order_amount": (10, 1000, 2),
+    "item_price": (10, 200, 2),
+    "price": (9.99, 999.99, 2),
+    "cost": (5, 500, 2),
+    "rating": (1, 5, 1),
 }
 MOST_TAGS = 3
 

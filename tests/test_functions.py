@@ -193,7 +193,7 @@ def test_draws_do_not_depend_on_partitioning(spark):
     key = F.col("id")
     picked = [
         draws.draw_int(key, 3, "n", -5, 5).alias("n"),
-        draws.draw_decimal(key, 3, "d", "9.99", "10.01", 2).alias("d"),
+        draws.draw_decimal(key, 3, "d", 9.99, 10.01, 2).alias("d"),
         draws.pick(key, 3, "p", ["a", "b"]).alias("p"),
         draws.pick_some(key, 3, "s", ["a", "b", "c"], 2).alias("s"),
     ]
