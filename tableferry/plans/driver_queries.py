@@ -621,6 +621,27 @@ def table_property(spark, sf_dir):
     return spark.sql(f"SHOW TBLPROPERTIES {target}").filter("key = 'reviewed'").select("key", "value")
 
 
+@query(f"{WITH_ALL} SELECT 'dear' AS name, * FROM sales WHERE order_amount >= 150000 UNION ALL SELECT 'cheap', * FROM sales WHERE order_amount < 150000")
+def cached_split(spark, sf_dir):
+    """One frame, kept while two tables are loaded from it."""
+    schema = workspace(spark)
+    parts = {"dear": "order_amount >= 150000", "cheap": "order_amount < 150000"}
+    with layout.cached(sales(spark, sf_dir)) as kept:
+        for name, which in parts.items():
+            load.load_direct(kept.filter(which), f"{schema}.{name}")
+    return reduce(DataFrame.unionByName, [spark.table(f"{schema}.{n}").select(F.lit(n).alias("name"), "*") for n in parts])
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders")
+def typed_rows(spark, sf_dir):
+    """Untyped rows (JSON lines) read with a stated schema, then loaded."""
+    lines, target = scratch_path(spark, "lines"), f"{workspace(spark)}.orders"
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    orders.write.json(lines)
+    load.load_direct(spark.read.schema(orders.schema).option("mode", "FAILFAST").json(lines), target)
+    return spark.table(target)
+
+
 @query(f"{WITH_ALL} SELECT * FROM customers")
 def clustered_load(spark, sf_dir):
     target = f"{workspace(spark)}.customers"
