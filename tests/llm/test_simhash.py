@@ -51,6 +51,18 @@ def test_components(spark):
     assert components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_null_ids_repeated_rows_and_long_texts(spark, docs):
+    draw = random.Random(6)
+    long = " ".join(draw.choice("abcdefgh") * draw.randint(1, 4) for _ in range(120_000))
+    pairs = [(None, "a b c d"), (None, "a b c d"), (9, "a b c d"), (4, "x y z w"), (4, "x y z w"), (None, "only null ids here"), (7, long), (8, long + " ")]
+    got = near_groups(spark, docs(*pairs)).collect()
+    assert len(got) == len(pairs)
+    texts = dict(pairs)
+    found = sorted((-1 if r.doc_id is None else r.doc_id, -1 if r.component_id is None else r.component_id) for r in got)
+    assert found == [(-1, -1), (-1, 9), (-1, 9), (4, 4), (4, 4), (7, 7), (8, 7), (9, 9)]
+    assert all(int.from_bytes(bytes(r.fingerprint), "big") == by_hand(texts[r.doc_id]) for r in got if r.doc_id is not None)
+
+
 def test_groups_of_odd_documents(spark, docs):
     texts = {1: "a b c d", 2: "A b  C\nd", 3: None, 4: " ", 5: "other words here", 6: "a b c d"}
     got = {r.doc_id: r for r in near_groups(spark, docs(*texts.items())).collect()}
