@@ -140,15 +140,14 @@ def stored_table(spark: SparkSession, name: str) -> str:
     return pointer.table if pointer else name
 
 
-def drop_loads(spark: SparkSession, table: str, after: int) -> None:
-    """Remove what lies in a pointer's table beyond a load: partitions of the catalog and folders nobody registered."""
-    rows = spark.sql(f"SHOW PARTITIONS {quote_name(table)}").collect()
-    beyond = [r.partition for r in rows if int(re.match(f"{LOAD}=(\\d+)", r.partition)[1]) > after]
-    if beyond:
-        specs = ", ".join(f"PARTITION ({_spec(p)})" for p in beyond)
+def drop_load(spark: SparkSession, table: str, load: int) -> None:
+    """Remove a load that no pointer shows: its partitions in the catalog and the folder, which may hold files nobody registered."""
+    found = [r.partition for r in spark.sql(f"SHOW PARTITIONS {quote_name(table)} PARTITION ({LOAD} = {load})").collect()]
+    if found:
+        specs = ", ".join(f"PARTITION ({_spec(p)})" for p in found)
         spark.sql(f"ALTER TABLE {quote_name(table)} DROP IF EXISTS {specs}")
     place = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}").filter("col_name = 'Location'").first().data_type
-    delete_path(spark, f"{place}/{LOAD}={after + 1}")
+    delete_path(spark, f"{place}/{LOAD}={load}")
 
 
 def table_definition(spark: SparkSession, name: str) -> Definition:
