@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -38,6 +39,7 @@ def ship(spark: SparkSession) -> None:
             for source in sorted(package.rglob("*.py")):
                 archive.write(source, source.relative_to(package.parent))
         context.addPyFile(out.name)
+        atexit.register(Path(out.name).unlink, missing_ok=True)  # executors fetch it from the driver until then
     _shipped.add(context.applicationId)
 
 
