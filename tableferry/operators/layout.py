@@ -45,6 +45,9 @@ def packed_scan(spark: SparkSession, files: DataFrame, target_bytes: int = TARGE
     reads keep theirs. Names go to the driver, 200,000 to a scan, as for any scan.
     """
     own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
     own.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     own.conf.set("spark.sql.files.openCostInBytes", "0")
     own.conf.set("spark.sql.files.minPartitionNum", "1")
