@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.llm.common import Row, saved, ship, slices, whole_text, width
+from tableferry.llm.common import Row, saved, ship, slices, tidy, whole_text, width
 
 LENGTH = 400
 GRAM = 16
@@ -350,7 +350,10 @@ def remove_repeats(
     body = whole_text(text)
     own = Row(docs, payload, text)
     base = docs.select(own.packed().alias("row"), F.coalesce(F.col(row_id).cast("long"), F.lit(NO_ID)).alias("id"), body.alias("text")).withColumn("tag", F.xxhash64("id", "text"))
-    spans = repeated_spans(spark, base.select("id", "tag", "text"), length)
+    kept: list[DataFrame] = []
+    with tidy(spark, kept):  # runs, regions and shards go before texts are shuffled once more
+        spans = saved(spark, repeated_spans(spark, base.select("id", "tag", "text"), length), "spans")
+        kept.append(spans)
     per_doc = spans.distinct().groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     joined = base.join(per_doc, ["id", "tag"], "left").select("row", "text", "found")
     kinds = {"text": "string", "kept": "binary", "kept_sha256": "string", "kept_text": "string"}
