@@ -143,6 +143,20 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+_kept: dict[object, object] = {}
+
+
+def kept(name: object, make: Callable[[], object]) -> object:
+    """One large object per Python process and kind, such as a tokenizer with its cache.
+
+    Workers outlive their stages, so asking for another kind drops what was kept.
+    """
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
 class PieceCache:
     """Ids of text pieces that are encoded on their own, kept between batches.
 

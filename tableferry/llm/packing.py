@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tableferry.llm.common import PieceCache, saved, ship, slices, whole_text
+from tableferry.llm.common import PieceCache, kept, saved, ship, slices, whole_text
 
 CAPACITY = 2048
 GROUP_PIECES = 40_000
@@ -68,14 +68,9 @@ class WordTokenizer:
         return self.cache.look_up_lists(pc.split_pattern(texts, " "))
 
 
-_loaded: dict[str, WordTokenizer] = {}
-
-
 def loaded(path: str) -> WordTokenizer:
-    """The tokenizer of a file, loaded once per Python process."""
-    if path not in _loaded:
-        _loaded[path] = WordTokenizer(path)
-    return _loaded[path]
+    """The tokenizer of a file, loaded once per Python process while that packs."""
+    return kept(("words", path), lambda: WordTokenizer(path))
 
 
 def piece_table(docs: DataFrame, tokenizer_path: str, text: str = "text", row_id: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:

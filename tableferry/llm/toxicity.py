@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.llm.common import PieceCache, Row, discard, saved, ship, slices, whole_text
+from tableferry.llm.common import PieceCache, Row, discard, kept, saved, ship, slices, whole_text
 
 STEMS = (4, 6)
 PRIOR = 10.0
@@ -63,6 +63,7 @@ class _Words:
     """Numbers of words: ``encode`` maps a list of words to one number or row of numbers per word."""
 
     def __init__(self, encode: Callable[[list[str]], np.ndarray], width: int):
+        kept("toxicity", object)  # the caches of other operators are not needed now
         self.encode, self.width = encode, width
         self.cache = PieceCache(self._tokens)
 
