@@ -2,8 +2,8 @@
 
 Fingerprints that agree on a band of bits meet. Where the bands make it certain
 that close fingerprints agree on one (radius 2 of 64 bits: at least two of four
-16-bit blocks stay equal, so all six pairs of blocks serve as bands), no link is
-lost. A band value with many members is dealt to blocks, and each pair of
+16-bit blocks stay equal, so all six pairs of blocks serve as bands; a wider
+radius r: three of r + 3 blocks), no link is lost. A band value with many members is dealt to blocks, and each pair of
 blocks is compared once. In a task, members stand in tiles whose bit planes are
 stored vertically: bit j of a plane's word belongs to member j. A plane at a
 time, the differing bits are added to carry-save counters of all members at
@@ -11,9 +11,11 @@ once; a row of comparisons whose members all exceed the radius is abandoned.
 
 A tile reports the links of a smallest spanning forest, not all pairs.
 
-Groups of similar texts (``one_per_group``) need a wider radius than bands can
-cover for certain, so fingerprints only come first there: those of 128 bits that
-meet on any of 48 bands give links, which are checked against the exact
+One text of each group goes on in the pipeline (``one_per_print_group``).
+
+Groups by the similarity of shingle sets (``one_per_group``) are another law.
+They need a wider radius than bands can cover for certain, so fingerprints only
+come first there: those of 128 bits that meet on any of 48 bands give links, which are checked against the exact
 similarity of the shingle sets and contract large groups at little cost. Then a
 complete filter follows: texts whose similarity reaches the limit share a
 shingle among the rarest of each (prefix filter), in places that leave room for
@@ -24,6 +26,7 @@ checked exactly, so no link is lost, whatever the fingerprints found.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -232,22 +235,58 @@ def close_links(spark: SparkSession, prints: DataFrame, bands: list[list[int]],
     return dealt.mapInArrow(_compare(radius, first_radius), "a binary, b binary, distance int").select("a", "b").distinct()
 
 
+def block_bands(blocks: int, agree: int) -> list[list[int]]:
+    """Any ``agree`` of ``blocks`` blocks of two bytes each, as byte numbers."""
+    return [[byte for i in own for byte in (2 * i, 2 * i + 1)] for own in combinations(range(blocks), agree)]
+
+
 #: Any two of the four 16-bit blocks of a 64-bit fingerprint.
-PAIR_BANDS = [[2 * i, 2 * i + 1, 2 * j, 2 * j + 1] for i in range(4) for j in range(i + 1, 4)]
+PAIR_BANDS = block_bands(4, 2)
+#: Beyond it, three blocks would have fewer than 21 bits.
+MOST_RADIUS = 6
+
+
+def block_keys(prints: list[bytes], blocks: int) -> list[bytes]:
+    """64-bit fingerprints cut into ``blocks`` (4 or more) nearly equal runs of bits, each written as two bytes."""
+    whole = np.frombuffer(b"".join(prints), ">u8").astype(np.uint64)
+    cuts = [64 * i // blocks for i in range(blocks + 1)]
+    parts = [(whole >> np.uint64(64 - b)) & np.uint64((1 << (b - a)) - 1) for a, b in pairwise(cuts)]
+    return [row.tobytes() for row in np.stack(parts, axis=1).astype(">u2")]
+
+
+def links_within(spark: SparkSession, prints: DataFrame, radius: int) -> DataFrame:
+    """Links (``a``, ``b``) that hold groups of different 64-bit fingerprints within ``radius`` <= 6 together.
+
+    Of radius + 3 blocks of bits at most ``radius`` differ, so fingerprints
+    that close agree on three blocks, and none is missed; up to radius 2 two of
+    four blocks do. Three blocks of eight have 24 bits: few others meet there.
+    """
+    if not 0 <= radius <= MOST_RADIUS:
+        raise ValueError(f"the bands are complete and selective up to {MOST_RADIUS} differing bits")
+    if radius <= 2:
+        return close_links(spark, prints.withColumn("keys", F.col("fingerprint")), PAIR_BANDS, radius)
+    blocks = radius + 3
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                column = batch.column("fingerprint")
+                yield pa.RecordBatch.from_arrays([column, pa.array(block_keys(column.to_pylist(), blocks), pa.binary())], names=["fingerprint", "keys"])
+
+    keyed = prints.select("fingerprint").mapInArrow(keys, "fingerprint binary, keys binary")
+    return close_links(spark, keyed, block_bands(blocks, 3), radius)
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, words: int = 3, radius: int = 2, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """(``doc_id``, ``fingerprint``, ``component_id``) per row; 64-bit fingerprints link at ``radius`` <= 2 differing bits.
+    """(``doc_id``, ``fingerprint``, ``component_id``) per row; 64-bit fingerprints link at ``radius`` <= 6 differing bits.
 
     ``component_id`` is the smallest id reachable. Texts without words have
     fingerprint zero. Null ids are kept but never name a group that has another
     id; rows that repeat an id are rows of their own. An empty table gives no rows.
     """
-    if radius > 2:
-        raise ValueError("the bands are complete up to two differing bits")
     marked = saved(spark, fingerprints(docs, words, 1, text=text, row_id=row_id), "fingerprints")
     prints = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    found = components(spark, close_links(spark, prints.withColumn("keys", F.col("fingerprint")), PAIR_BANDS, radius))
+    found = components(spark, links_within(spark, prints, radius))
     roots = prints.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     roots = saved(spark, roots, "roots")
     smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -255,6 +294,39 @@ def near_groups(spark: SparkSession, docs: DataFrame, words: int = 3, radius: in
     return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def one_per_print_group(spark: SparkSession, docs: DataFrame, words: int = 3, radius: int = 5, text: str = "text", row_id: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each group that ``near_groups`` finds; columns as they were.
+
+    The row with the smallest id stays (null ids are larger than others); of
+    rows that share fingerprint and id, the one with the smallest text. Texts
+    without words form one group. An empty table gives no rows; columns may
+    have any names.
+    """
+    ship(spark)
+    own = Row(docs, None, text)
+    source = docs.select(own.packed().alias("row"), F.coalesce(F.col(row_id).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    schema = T.StructType([*source.schema, T.StructField("fingerprint", T.BinaryType())])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            out = [fingerprint(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=schema.fieldNames())
+
+    marked = saved(spark, source.mapInArrow(mark, schema), "marked")
+    kept: list[DataFrame] = []
+    with tidy(spark, kept):
+        prints = saved(spark, marked.groupBy("fingerprint").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "prints")
+        found = components(spark, links_within(spark, prints, radius))
+        roots = prints.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+        first = roots.groupBy("root").agg(F.min(F.struct("least", "fingerprint")).alias("first"), F.sum("n").alias("rows"))
+        first = saved(spark, first.select("first.fingerprint", F.col("first.least").alias("id"), "rows"), "first")
+        kept.append(first)
+    whole = marked.join(first, ["fingerprint", "id"]).select("rows", "fingerprint", "text", own.unpacked().alias("row"))
+    single = whole.filter("rows = 1").select("row.*")
+    several = whole.filter("rows > 1").groupBy("fingerprint").agg(F.min_by("row", "text").alias("row"))
+    return single.unionByName(several.select("row.*"))
+
+
 #: For similar texts: 48 bands of 16 bits drawn from 128, the same for ever.
 _DRAWN = np.concatenate([np.random.default_rng(128 + i).permutation(128) for i in range(6)])
 DRAWN_BANDS = [[2 * i, 2 * i + 1] for i in range(48)]

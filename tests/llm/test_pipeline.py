@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from made_docs import docs  # noqa: F401
 from tableferry.llm import common
 from tableferry.llm.queries import ORACLES, QUERIES
+from tableferry.llm.simhash import fingerprint, shingle_hashes
 from tableferry.sources.files import path_exists
 
 SF = "/root/testdata/sf0.001"
@@ -60,6 +62,21 @@ def test_stages_by_hand(spark, folder):
     assert set(packed.doc_id) == set(near) and packed.groupby("sequence_id").length.sum().max() <= 2048
 
 
+def test_near_stage_goes_by_fingerprints(spark, docs):
+    """Similar shingle sets do not decide: of texts that share 0.8 and more, those with far fingerprints stay; close ones go however few shingles they share."""
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(6))
+    texts = {}
+    for _ in range(30):
+        base = [word() for _ in range(90)]
+        texts[len(texts)] = " ".join(base)
+        texts[len(texts)] = " ".join(base + [word() for _ in range(12)])
+    prints = {i: int.from_bytes(fingerprint(shingle_hashes(t, 3)), "big") for i, t in texts.items()}
+    want = [i for i in texts if i % 2 == 0 or (prints[i] ^ prints[i - 1]).bit_count() > 5]
+    assert 30 < len(want) < 60
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs(*texts.items()), "").collect()) == want
+
+
 def test_intermediate_tables_go_with_their_stage(spark, folder):
     """Written stages leave nothing but their output; a frame that was not written keeps what it reads."""
     sf_dir, _ = folder

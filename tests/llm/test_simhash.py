@@ -7,7 +7,7 @@ import xxhash
 
 from made_docs import docs  # noqa: F401
 from tableferry.llm.components import components
-from tableferry.llm.simhash import Tile, fingerprint, forest, near_groups, one_per_group, shingle_hashes
+from tableferry.llm.simhash import Tile, block_bands, block_keys, fingerprint, forest, links_within, near_groups, one_per_group, one_per_print_group, shingle_hashes
 
 
 def by_hand(text, words=3):
@@ -96,6 +96,53 @@ def test_links_over_chains_equal_brute_force(spark, monkeypatch, docs):
     assert {n: got.get(n, n) for n in names} == root
 
 
+@pytest.mark.parametrize("radius", [3, 5, 6])
+def test_close_fingerprints_share_three_blocks(radius):
+    rng = np.random.default_rng(radius)
+    bands = block_bands(radius + 3, 3)
+    for _ in range(200):
+        x = int(rng.integers(0, 1 << 64, dtype=np.uint64))
+        y = x ^ sum(1 << int(b) for b in rng.choice(64, radius, replace=False))
+        a, b = (bytes(k) for k in block_keys([x.to_bytes(8, "big"), y.to_bytes(8, "big")], radius + 3))
+        assert len(a) == 2 * (radius + 3)
+        assert any(all(a[i] == b[i] for i in own) for own in bands)
+    with pytest.raises(ValueError):
+        links_within(None, None, 7)
+
+
+def test_one_of_each_group_of_close_fingerprints(spark, docs):
+    """The fingerprint's distance alone decides, against brute force."""
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    pairs = [(None, "no words here but these"), (7, ""), (6, None), (6, " \n"), (5, "short text"), (9, "Short  text")]
+    for k in range(40):  # one to ten words changed of 60 to 300
+        base = [word() for _ in range(draw.choice([60, 150, 300]))]
+        for i in range(2):
+            pairs.append((100 + 2 * k + i, " ".join(base)))
+            for at in draw.sample(range(len(base)), draw.randint(1, 10)):
+                base[at] = word()
+    prints = {i: by_hand(t or "") for i, t in pairs if i is not None}
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in prints:
+        for j in prints:
+            if (prints[i] ^ prints[j]).bit_count() <= 5:
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    want = sorted({find(i) for i in prints})
+    assert 50 < len(want) < 83
+    kept = one_per_print_group(spark, docs(*pairs))
+    assert kept.columns == docs().columns
+    got = kept.collect()
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in got) == [-1, *want]
+    assert one_per_print_group(spark, docs()).count() == 0
+
+
 def test_one_of_each_group_of_similar_texts(spark, docs):
     draw = random.Random(1)
     word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
