@@ -7,6 +7,7 @@ import pytest
 from made_docs import docs  # noqa: F401
 from tableferry.llm import suffix_dedup
 from tableferry.llm.suffix_dedup import remove_repeats, repeated_starts
+from tableferry.sources.files import path_exists
 
 
 def by_hand(texts, length):
@@ -57,3 +58,24 @@ def test_text_keeps_whole_characters(spark, docs):
     shared = "0123456789" * 5
     found = remove_repeats(spark, docs((1, "é" + shared + "à"), (2, "ã" + shared + "è")), 50)
     assert sorted(r.kept_text for r in found.collect()) == ["ãè", "éà"]
+
+
+def test_runs_of_single_anchors_are_gone_before_texts_move(spark, docs, monkeypatch):
+    draw = random.Random(2)
+    word = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    common, held, rows = word(80), [], {}
+
+    def saved(spark, df, label):
+        if label == "shards":
+            held.extend(name for name, (path, _) in rows.items() if path_exists(spark, path))
+        table = common_saved(spark, df, label)
+        rows[label] = table._written_at, table.count()
+        return table
+
+    common_saved = suffix_dedup.saved
+    monkeypatch.setattr(suffix_dedup, "saved", saved)
+    texts = [word(400) for _ in range(20)] + [word(100) + common, common + word(100)]
+    got = {r.doc_id: bytes(r.kept) for r in remove_repeats(spark, docs(*enumerate(texts)), 50).select("row.doc_id", "kept").collect()}
+    assert [got[i] for i in range(len(texts))] == by_hand(texts, 50)
+    assert sorted(held) == ["regions", "shared-runs"]
+    assert rows["shared-runs"][1] * 10 < rows["runs"][1]
