@@ -32,7 +32,17 @@ def shrink_partitions(df: DataFrame, factor: int = 4, how: str = "rebalance") ->
         return df.hint("rebalance")
     if how != "coalesce":
         raise ValueError(f"unknown way to shrink: {how!r}")
-    return df.coalesce(max(1, df.rdd.getNumPartitions() // factor))
+    partitions = df.rdd.getNumPartitions()
+    if df.inputFiles():
+        factor = max(1, min(factor, TARGET_BYTES // _scan_bytes(df.sparkSession)))
+        return df.coalesce(max(1, -(-partitions // factor)))
+    return df.coalesce(max(1, partitions // factor))
+
+
+def _scan_bytes(spark: SparkSession) -> int:
+    """Bytes of the largest partition that a scan makes."""
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    return max(1, size(spark.conf.get("spark.sql.files.maxPartitionBytes")))
 
 
 def packed_scan(spark: SparkSession, files: DataFrame, target_bytes: int = TARGET_BYTES, schema: T.StructType | None = None, base: str | None = None) -> Iterator[DataFrame]:

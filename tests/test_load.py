@@ -48,6 +48,26 @@ def test_partition_folders_are_packed_too(spark, tmp_path):
     assert list_files(spark, f"{tmp_path}/out").count() == 1
 
 
+def test_shrink_merges_no_more_scan_partitions_than_a_target_file(spark, tmp_path):
+    """Fourteen partitions of the largest size: four and more in one task would exceed the target."""
+    path, name = str(tmp_path / "many"), "spark.sql.files.maxPartitionBytes"
+    spark.range(0, 14, 1, 14).write.parquet(path)
+    before = {n: spark.conf.get(n) for n in (name, "spark.sql.files.openCostInBytes")}
+    try:
+        for each, most in (("128m", 2), ("100m", 2), ("256m", 1), ("512m", 1), ("16m", 4)):
+            spark.conf.set(name, each)
+            spark.conf.set("spark.sql.files.openCostInBytes", each)  # so that every file is a partition
+            frame = spark.read.parquet(path)
+            assert frame.rdd.getNumPartitions() == 14
+            merged = layout.shrink_partitions(frame, how="coalesce")
+            assert merged.rdd.getNumPartitions() == -(-14 // most)
+            assert max(merged.select("id").rdd.glom().map(len).collect()) <= most
+            assert sorted(r.id for r in merged.collect()) == list(range(14))
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
+
 def test_shrink_partitions(spark):
     assert layout.shrink_partitions(spark.range(0, 100, 1, 9), how="coalesce").rdd.getNumPartitions() == 2
     assert layout.shrink_partitions(spark.range(0, 100, 1, 3), how="coalesce").rdd.getNumPartitions() == 1
