@@ -1,6 +1,7 @@
 """Batches that are run again, pools, and what dead runs leave."""
 
 import json
+from threading import Barrier
 
 import pytest
 from conftest import SF, rows
@@ -78,6 +79,22 @@ def test_every_table_has_its_pool(spark, schema, tmp_path, monkeypatch):
     assert spark.sparkContext.getConf().get("spark.scheduler.mode") == "FAIR"
 
 
+def test_tables_side_by_side_keep_their_pools(spark, schema, tmp_path, monkeypatch):
+    root, names = str(tmp_path), ["nation", "region"]
+    lake(spark, root, names)
+    both, pools = Barrier(2, timeout=60), {}
+
+    def look(spark, job, **flags):
+        both.wait()  # every pool is set
+        pools[job.table] = spark.sparkContext.getLocalProperty(move.POOL)
+        both.wait()  # and none is set back
+        return dict(table=job.table, status="SUCCESS")
+
+    monkeypatch.setattr(move, "run_job", look)
+    move.move_all(spark, config(root, schema, names), parallel=2)
+    assert pools == {"nation": "nation", "region": "region"}
+
+
 @pytest.fixture
 def dead(spark, tmp_path, monkeypatch):
     """Another application's run: makes things under its own name, then ends without a word."""
