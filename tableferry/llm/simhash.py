@@ -221,13 +221,14 @@ def close_links(spark: SparkSession, prints: DataFrame, bands: list[list[int]],
     ``prints`` has ``fingerprint`` and ``keys``; ``bands`` lists byte numbers of
     ``keys``. Band values of one member are dropped after a count that is
     combined before its shuffle; values with over ``block`` members are dealt to
-    blocks, every pair of which meets in one tile.
+    blocks, every pair of which meets in one tile. Spark takes the exploded rows
+    for one per fingerprint, so the join may not choose to broadcast them.
     """
     band = F.explode(F.array(*[F.struct(F.lit(i).alias("band"), F.concat(*[F.substring("keys", b + 1, 1) for b in own]).alias("value")) for i, own in enumerate(bands)])).alias("b")
     rows = prints.select("fingerprint", band).select("b.*", "fingerprint")
     counts = rows.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / block).cast("int")
-    met = rows.join(counts, ["band", "value"]).withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int"))
+    met = rows.hint("merge").join(counts, ["band", "value"]).withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = met.select("band", "value", "fingerprint", "mine", others)
     dealt = dealt.select("band", "value", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "fingerprint")

@@ -6,6 +6,7 @@ import pytest
 import xxhash
 
 from made_docs import docs  # noqa: F401
+from tableferry.llm.common import saved
 from tableferry.llm.components import components
 from tableferry.llm.simhash import Tile, block_bands, block_keys, fingerprint, forest, links_within, near_groups, one_per_group, one_per_print_group, shingle_hashes
 
@@ -110,6 +111,15 @@ def test_close_fingerprints_share_three_blocks(radius):
         links_within(None, None, 7)
 
 
+@pytest.mark.parametrize("radius", [2, 5])
+def test_exploded_rows_are_never_broadcast(spark, radius):
+    rows = [(bytes(row),) for row in np.random.default_rng(0).integers(0, 256, (50, 8)).tolist()]
+    prints = spark.createDataFrame([*rows, (rows[0][0][:7] + bytes([rows[0][0][7] ^ 1]),)], "fingerprint binary")
+    links = links_within(spark, saved(spark, prints, "prints"), radius)
+    assert links.count() == 1
+    assert "SortMergeJoin" in (plan := links._jdf.queryExecution().executedPlan().toString()) and "Broadcast" not in plan
+
+
 def test_one_of_each_group_of_close_fingerprints(spark, docs):
     """The fingerprint's distance alone decides, against brute force."""
     draw = random.Random(8)
